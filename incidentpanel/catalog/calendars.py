@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.registry import query
-from incidentpanel.catalog.roles import DAY_CTE, INC, WEEK_SPLITS, daily_panel, incidents, state_extras, table
+from incidentpanel.catalog.roles import DAY_CTE, INC, daily_panel, incidents, state_extras, table
 from incidentpanel.functions.temporal import week_start
 from incidentpanel.operators import calendar_tables as K
 

@@ -17,6 +17,7 @@ from incidentpanel.catalog.roles import (
     incidents,
     located_customers,
     modelling_panel,
+    pinned_panel,
     point_segment_sql,
     road_segments,
     table,
@@ -320,7 +321,7 @@ def _rank(name: str, direction: str) -> str:
     SELECT * FROM u""",
 )
 def panel_diagnostics(spark, sf):
-    return P.panel_diagnostics(modelling_panel(spark, sf))
+    return P.panel_diagnostics(pinned_panel(spark, sf))
 
 
 @query(
@@ -336,15 +337,19 @@ def top_bottom(spark, sf):
     return P.top_and_bottom(totals, ["split"], "total", "rgi_id", 3)
 
 
+PROBABILITIES = [0.1, 0.25, 0.5, 0.75, 0.99]
+
+
 @query(
     "exact_quantiles",
-    """SELECT 'l_extendedprice' AS variable, p, round(quantile_cont(l_extendedprice, p), 6) AS quantile
-         FROM lineitem, (VALUES (0.1::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.99::DOUBLE)) q(p) GROUP BY p
-       UNION ALL SELECT 'l_quantity', p, round(quantile_cont(l_quantity, p), 6)
-         FROM lineitem, (VALUES (0.1::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.99::DOUBLE)) q(p) GROUP BY p""",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, CAST({p} AS DOUBLE) AS p, round(quantile_cont({c}, {p}), 6) AS quantile FROM lineitem"
+        for c in ("l_extendedprice", "l_quantity")
+        for p in PROBABILITIES
+    ),
 )
 def quantiles(spark, sf):
-    return exact_quantiles(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], [0.1, 0.25, 0.5, 0.75, 0.99])
+    return exact_quantiles(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], PROBABILITIES)
 
 
 @query(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from incidentpanel.functions.temporal import week_start
 from incidentpanel.operators.calendar_tables import weekly_holiday_features
 from incidentpanel.operators.panel import count_events, day_panel, dense_weekly_panel, week_panel, with_week_splits
+from incidentpanel.session import checkpointed
 
 # Split bounds (Mondays) that fit the order dates.
 WEEK_SPLITS = {
@@ -191,6 +192,11 @@ def modelling_panel(spark: SparkSession, sf: str) -> DataFrame:
     return with_week_splits(dense_weekly_panel(static, targets, holidays, lo, hi), WEEK_SPLITS)
 
 
+def pinned_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The modelling panel checkpointed once, for jobs that read it several times."""
+    return checkpointed(spark, modelling_panel(spark, sf))
+
+
 SPLIT_CASE = " ".join(
     f"WHEN {{0}} BETWEEN DATE '{lo}' AND DATE '{hi}' THEN '{name}'" for name, (lo, hi) in WEEK_SPLITS.items()
 )

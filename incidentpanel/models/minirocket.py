@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,34 +97,38 @@ def transform(x: np.ndarray, rocket: Rocket) -> np.ndarray:
     return np.concatenate(blocks, axis=1).astype(np.float32)
 
 
-def stack_sequences(column: pd.Series) -> np.ndarray:
-    return np.stack([np.stack([np.asarray(c, dtype=np.float32) for c in s]) for s in column])
+def as_cube(column: pa.ListArray, n_channels: int) -> np.ndarray:
+    """Arrow list<list<float>> to (samples, channels, time) without a Python loop."""
+    flat = column.flatten().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), n_channels, -1).astype(np.float32, copy=False)
 
 
-def fit_on(samples: DataFrame, n_features: int, seed: int, sample_size: int = 256, order: str = "xxhash64") -> Rocket:
+def fit_on(samples: DataFrame, n_features: int, seed: int, sample_size: int = 256) -> Rocket:
     """Fit from a fixed-size, reproducible sample of training windows."""
     keys = [c for c in samples.columns if c not in ("sequence", "y_raw", "y_scaled", "y_mean", "y_std", "split")]
     train = samples.filter(F.col("split") == "train")
-    rows = train.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(sample_size).select("sequence").toPandas()
-    if rows.empty:
+    picked = train.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(sample_size).select("sequence").toArrow()
+    if picked.num_rows == 0:
         raise ValueError("no training windows to fit on")
-    return fit(stack_sequences(rows["sequence"]), n_features, seed)
+    cube = np.array(picked.column("sequence").to_pylist(), dtype=np.float32)
+    return fit(cube, n_features, seed)
 
 
-def featurize(samples: DataFrame, rocket: Rocket) -> DataFrame:
+def featurize(samples: DataFrame, rocket: Rocket, chunk: int = 512) -> DataFrame:
     """Replace ``sequence`` by ``features``; Arrow batches, no shuffle."""
-    spark = samples.sparkSession
-    shared = spark.sparkContext.broadcast(rocket)
+    shared = samples.sparkSession.sparkContext.broadcast(rocket)
     kept = [f for f in samples.schema.fields if f.name != "sequence"]
     schema = T.StructType([*kept, T.StructField("features", T.ArrayType(T.FloatType()))])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame) == 0:
-                continue
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at : at + 256]
-                made = transform(stack_sequences(part["sequence"]), shared.value)
-                yield part.drop(columns="sequence").assign(features=list(made))
-
-    return samples.mapInPandas(run, schema)
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, chunk):
+                part = batch.slice(at, chunk)
+                column = part.column("sequence")
+                made = transform(as_cube(column, len(column[0])), shared.value)
+                offsets = pa.array(np.arange(0, made.size + 1, made.shape[1], dtype=np.int32))
+                features = pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], features], [*names, "features"])
+
+    return samples.mapInArrow(run, schema)

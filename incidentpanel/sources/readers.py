@@ -39,7 +39,9 @@ def read_delimited(
     spark: SparkSession, paths: Sequence[str], sep: str = ";", encoding: str = "ISO-8859-1"
 ) -> DataFrame:
     """Yearly text files as strings, one scan, each row tagged with its file's year."""
-    year = F.regexp_extract(F.col("_metadata.file_name"), r"((?:19|20)\d{2})", 1)
+    # The year stands in the file name or in the name of its folder.
+    tail = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*/[^/]*)$", 1)
+    year = F.regexp_extract(tail, r"((?:19|20)\d{2})", 1)
     frame = spark.read.options(header=True, sep=sep, encoding=encoding).csv(list(paths))
     return frame.withColumn("source_year_file", year.try_cast("int"))
 
