@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.registry import query
-from incidentpanel.catalog.roles import DAY_CTE, daily_panel, table
+from incidentpanel.catalog.roles import DAY_CTE, daily_panel, day_span, table
 from incidentpanel.operators import dashboard as D
 from incidentpanel.skew import latest_by
 
@@ -27,7 +27,7 @@ def raw_forecast(spark, sf):
 
 
 def last_day(spark, sf):
-    return table(spark, sf, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
+    return day_span(spark, sf)[1]
 
 
 def merged(spark, sf, victims=False):

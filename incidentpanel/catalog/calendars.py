@@ -6,8 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.registry import query
-from incidentpanel.catalog.roles import DAY_CTE, INC, daily_panel, incidents, state_extras, table
-from incidentpanel.functions.temporal import week_start
+from incidentpanel.catalog.roles import DAY_CTE, INC, daily_panel, day_span, incidents, state_extras, table, week_span
 from incidentpanel.operators import calendar_tables as K
 
 FIXED = ", ".join(f"({m}, {d}, {y})" for _, m, d, y in K.FIXED_HOLIDAYS)
@@ -28,8 +27,8 @@ hol AS (
 
 
 def _years(spark, sf):
-    orders = table(spark, sf, "orders")
-    return orders.agg(F.year(F.min("o_orderdate")) - 2).scalar(), orders.agg(F.year(F.max("o_orderdate")) + 2).scalar()
+    lo, hi = day_span(spark, sf)
+    return F.year(lo) - 2, F.year(hi) + 2
 
 
 def states(spark, sf):
@@ -69,8 +68,7 @@ wt AS (SELECT uf, date, CASE WHEN core THEN 1.0::DOUBLE
 
 
 def date_table(spark, sf):
-    orders = table(spark, sf, "orders")
-    lo, hi = (orders.agg(F.to_date(f("o_orderdate"))).scalar() for f in (F.min, F.max))
+    lo, hi = day_span(spark, sf)
     return K.date_features(states(spark, sf), lo, hi, state_extras(spark, sf))
 
 
@@ -137,8 +135,7 @@ def day_features_panel(spark, sf):
         FROM ss JOIN sh USING (uf, w) WINDOW k AS (PARTITION BY uf ORDER BY w)""",
 )
 def weekly_features(spark, sf):
-    orders = table(spark, sf, "orders")
-    lo, hi = (orders.agg(week_start(f("o_orderdate"))).scalar() for f in (F.min, F.max))
+    lo, hi = week_span(spark, sf)
     return K.weekly_holiday_features(states(spark, sf), lo, hi, state_extras(spark, sf))
 
 
@@ -164,7 +161,7 @@ def longest_busy_streak(spark, sf):
 )
 def forecast_batches(spark, sf):
     """Four-week batches over the last 53 weeks of the data."""
-    hi = table(spark, sf, "orders").agg(week_start(F.max("o_orderdate"))).scalar()
+    _, hi = week_span(spark, sf)
     return K.forecast_batches(spark, F.date_sub(hi, 364), hi, 4, 4)
 
 
@@ -179,7 +176,7 @@ def forecast_batches(spark, sf):
 )
 def future(spark, sf):
     panel = day_features_panel(spark, sf)
-    cut = table(spark, sf, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
+    _, cut = day_span(spark, sf)
     features = K.date_features(states(spark, sf), F.date_add(cut, 1), F.date_add(cut, 14), state_extras(spark, sf))
     rows = K.future_rows(panel, ["nome_municipio", "uf"], "codigo_municipio", "accident_date", 14, "accident_count", features)
     return rows.filter(F.col("split") == "forecast").select(

@@ -8,7 +8,7 @@ from incidentpanel.catalog.calendars import day_features_panel, states
 from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, samples_by_day, samples_by_week
 from incidentpanel.catalog.profiles import CATEGORIES, MODEL_KEYS, categorised, category_levels
 from incidentpanel.catalog.registry import query
-from incidentpanel.catalog.roles import INC, WEEK_SPLITS, modelling_panel, pinned_panel, state_extras, table
+from incidentpanel.catalog.roles import INC, WEEK_SPLITS, day_span, modelling_panel, pinned_panel, state_extras, table
 from incidentpanel.functions.temporal import calendar_cycles
 from incidentpanel.models import glm, minirocket, pooled, ridge, seasonal
 from incidentpanel.operators import evaluate as E
@@ -64,7 +64,7 @@ def recursive_forecast(spark, sf):
     rocket, features = rocket_features(spark, sf)
     models = ridge.train_per_entity(features, TOWN, (100.0,))
     panel = day_features_panel(spark, sf)
-    last = table(spark, sf, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
+    _, last = day_span(spark, sf)
     ahead = date_features(states(spark, sf), F.date_add(last, 1), F.date_add(last, 14), state_extras(spark, sf))
     extended = future_rows(panel, ["uf"], TOWN, DAY, 14, "accident_count", ahead)
     cycles = calendar_cycles(DAY)

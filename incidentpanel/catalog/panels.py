@@ -16,6 +16,7 @@ from incidentpanel.catalog.roles import (
     modelling_panel,
     region_static,
     table,
+    week_span,
     weekly_panel,
 )
 from incidentpanel.functions.temporal import week_start
@@ -135,9 +136,7 @@ def section_week_panel(spark, sf):
         (F.col("l_returnflag") == "R").cast("double").alias("mortos"),
     )
     counts = count_events(lines, ["l_suppkey", "week_start"]).withColumnRenamed("l_suppkey", "s_suppkey")
-    shipped = table(spark, sf, "lineitem")
-    lo = shipped.agg(week_start(F.min("l_shipdate"))).scalar()
-    hi = shipped.agg(week_start(F.max("l_shipdate"))).scalar()
+    lo, hi = week_span(spark, sf, "lineitem", "l_shipdate")
     return week_panel(supplier_sections(spark, sf), counts, "s_suppkey", lo, hi).drop("s_suppkey")
 
 

@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from incidentpanel.functions.temporal import week_start
 from incidentpanel.operators.calendar_tables import weekly_holiday_features
@@ -28,8 +29,26 @@ MODEL_WEEKS = (date(1995, 1, 2), date(2000, 12, 25))
 CORRIDOR = 0.2
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One shared table.  Its footer is read once; later reads reuse the schema."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def day_span(spark: SparkSession, sf: str, name: str = "orders", column: str = "o_orderdate"):
+    """First and last day of a table as literals: one small job, then plain plans."""
+    row = table(spark, sf, name).agg(F.to_date(F.min(column)).alias("lo"), F.to_date(F.max(column)).alias("hi")).first()
+    return F.lit(row["lo"]), F.lit(row["hi"])
+
+
+def week_span(spark: SparkSession, sf: str, name: str = "orders", column: str = "o_orderdate"):
+    lo, hi = day_span(spark, sf, name, column)
+    return week_start(lo), week_start(hi)
 
 
 def municipalities(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,17 +161,13 @@ def daily_panel(spark: SparkSession, sf: str, victims: bool = True) -> DataFrame
     if not victims:
         events = events.withColumns({"mortos": F.lit(0.0), "pessoas": F.lit(0.0)})
     counts = count_events(events, ["codigo_municipio", "accident_date"])
-    orders = table(spark, sf, "orders")
-    lo = orders.agg(F.to_date(F.min("o_orderdate"))).scalar()
-    hi = orders.agg(F.to_date(F.max("o_orderdate"))).scalar()
+    lo, hi = day_span(spark, sf)
     return day_panel(place_columns(spark, sf), counts, "codigo_municipio", "accident_date", lo, hi)
 
 
 def weekly_panel(spark: SparkSession, sf: str) -> DataFrame:
     counts = count_events(incidents(spark, sf), ["codigo_municipio", "week_start"])
-    orders = table(spark, sf, "orders")
-    lo = orders.agg(week_start(F.min("o_orderdate"))).scalar()
-    hi = orders.agg(week_start(F.max("o_orderdate"))).scalar()
+    lo, hi = week_span(spark, sf)
     return week_panel(place_columns(spark, sf), counts, "codigo_municipio", lo, hi)
 
 

@@ -93,69 +93,82 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], bins: int = 256) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000
+) -> DataFrame:
     """Exact interpolated quantiles of whole columns, one row per column and probability.
 
-    Equal values are counted first, so a hot value becomes one row.  Approximate
-    quantiles cut the values into ``bins`` slices; slice totals tell which slices
-    hold the wanted ranks, and only those are ranked exactly.
+    A sketch brackets each wanted rank; one pass counts what lies below each
+    bracket; only the values inside the brackets (a few per mille, equal values
+    counted as one row) are then ranked exactly.  A bracket that misses its rank
+    stops the job instead of giving a wrong value.  The first two passes run at
+    once and return one row of bounds and counts each.
     """
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns]))
-    ).filter(F.col("value").isNotNull())
-    counted = long.groupBy("variable", "value").agg(F.count("*").alias("copies"))
-    grid = [i / bins for i in range(1, bins)]
-    cuts = counted.groupBy("variable").agg(F.percentile_approx("value", grid, 10 * bins).alias("cuts"))
-    # One row per column: bounded by the number of columns asked for.
-    sliced = counted.join(F.broadcast(cuts), "variable").withColumn(
-        "slice", F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    ).drop("cuts")
-    totals = sliced.groupBy("variable", "slice").agg(F.sum("copies").alias("n"))
-    before = Window.partitionBy("variable").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.withColumns(
-        {
-            "below": F.coalesce(F.sum("n").over(before), F.lit(0)),
-            "total": F.sum("n").over(Window.partitionBy("variable")),
-        }
+    slack = 5.0 / accuracy
+    wanted = [(c, float(p)) for c in columns for p in probabilities]
+
+    edges = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
+    sketch = df.agg(
+        *[f(F.col(c).cast("double")).alias(f"{c}:{n}") for c in columns for f, n in ((F.min, "min"), (F.max, "max"))],
+        *[F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(f"{c}:edges") for c in columns],
     )
-    wanted = placed.select(
-        "variable", "slice", "below", "n", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"), "total"
-    ).withColumn("position", F.col("p") * (F.col("total") - 1))
-    lower, upper = F.floor("position"), F.ceil("position")
-    touched = wanted.filter(
-        (upper >= F.col("below")) & (lower < F.col("below") + F.col("n"))
+    bracket = sketch.first()
+    place = {float(p): 2 * i for i, p in enumerate(probabilities)}
+
+    def low(c: str, p: float) -> Column:
+        edge = bracket[f"{c}:min"] if p <= slack else (bracket[f"{c}:edges"] or [None] * 2 * len(edges))[place[p]]
+        return F.lit(edge)
+
+    def high(c: str, p: float) -> Column:
+        edge = bracket[f"{c}:max"] if p >= 1 - slack else (bracket[f"{c}:edges"] or [None] * 2 * len(edges))[place[p] + 1]
+        return F.lit(edge)
+
+    counts = df.agg(
+        *[F.count(c).alias(f"{c}:n") for c in columns],
+        *[F.count_if(F.col(c).cast("double") < low(c, p)).alias(f"{c}:{p}:below") for c, p in wanted],
+    ).first()
+    asked = F.array(
+        *[
+            F.when(
+                F.col(c).cast("double").between(low(c, p), high(c, p)),
+                F.struct(F.lit(c).alias("variable"), F.lit(p).alias("p"), F.col(c).cast("double").alias("value")),
+            )
+            for c, p in wanted
+        ]
     )
-    inside = Window.partitionBy("variable", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    keep = touched.select("variable", "slice", "below").distinct()
-    ranked = (
-        sliced.join(F.broadcast(keep), ["variable", "slice"])
-        .withColumn("first", F.col("below") + F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-        .withColumn("last", F.col("first") + F.col("copies") - 1)
-        .drop("below", "slice")
+    inside = (
+        df.select(F.explode(F.array_compact(asked)).alias("a"))
+        .select("a.*")
+        .groupBy("variable", "p", "value")
+        .agg(F.count("*").alias("copies"))
     )
-    asked = touched.select("variable", "p", "position").distinct()
-    at = lambda rank: F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("value")))
-    picked = (
-        ranked.join(F.broadcast(asked), "variable")
-        .groupBy("variable", "p", "position")
-        .agg(at(lower).alias("lo"), at(upper).alias("hi"))
+    below, total = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
+    for c, p in wanted:
+        hit = (F.col("variable") == c) & (F.col("p") == p)
+        below = F.when(hit, F.lit(counts[f"{c}:{p}:below"])).otherwise(below)
+        total = F.when(hit, F.lit(counts[f"{c}:n"])).otherwise(total)
+    before = Window.partitionBy("variable", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.withColumns(
+        {"first": below + F.coalesce(F.sum("copies").over(before), F.lit(0)), "position": F.col("p") * (total - 1)}
+    ).withColumn("last", F.col("first") + F.col("copies") - 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("value")))
+
+    picked = ranked.groupBy("variable", "p").agg(
+        at(F.floor("position")).alias("lo"), at(F.ceil("position")).alias("hi"), F.max("position").alias("position")
     )
     share = F.col("position") - F.floor("position")
-    return picked.select("variable", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * share).alias("quantile"))
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * share
+    missed = F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double")
+    return picked.select("variable", "p", F.when(value.isNull(), missed).otherwise(value).alias("quantile"))
 
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Rows inside the interquartile fences of every column."""
-    q = exact_quantiles(df, columns, [0.25, 0.75])
-    fences = q.groupBy().agg(
-        *[
-            F.max(F.when((F.col("variable") == c) & (F.col("p") == p), F.col("quantile"))).alias(f"__{c}_{name}")
-            for c in columns
-            for name, p in (("q1", 0.25), ("q3", 0.75))
-        ]
-    )
-    fence = fences.select(F.struct("*")).scalar()
+    # Two numbers per column reach the driver; as literals the fences prune the scan.
+    quantiles = {(r["variable"], r["p"]): r["quantile"] for r in exact_quantiles(df, columns, [0.25, 0.75]).collect()}
     for c in columns:
-        q1, q3 = fence[f"__{c}_q1"], fence[f"__{c}_q3"]
+        q1, q3 = quantiles[(c, 0.25)], quantiles[(c, 0.75)]
         df = df.filter(F.col(c).between(q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)))
     return df
