@@ -35,7 +35,7 @@ def polygon_parts(spark, sf):
 
 @query(
     "parse_geometry",
-    f"""WITH {POLYGONS} SELECT code AS codigo_municipio, 'POLYGON' AS geometry_type, CASE WHEN holed THEN 2 ELSE 1 END AS rings,
+    f"""WITH {POLYGONS} SELECT code AS codigo_municipio, 'Polygon' AS geometry_type, CASE WHEN holed THEN 2 ELSE 1 END AS rings,
         CASE WHEN holed THEN 8 ELSE 4 END AS edges, x0 AS min_x, y0 AS min_y, x0 + 2.25 AS max_x, y0 + 2.25 AS max_y, true AS round_trip FROM sq""",
 )
 def parse_geometry(spark, sf):

@@ -19,8 +19,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# WKT tag -> geometry type name.
+TYPE_NAMES = {
+    "POINT": "Point",
+    "LINESTRING": "LineString",
+    "POLYGON": "Polygon",
+    "MULTIPOINT": "MultiPoint",
+    "MULTILINESTRING": "MultiLineString",
+    "MULTIPOLYGON": "MultiPolygon",
+    "GEOMETRYCOLLECTION": "GeometryCollection",
+}
+
+
 def geometry_type(wkt: Column | str) -> Column:
-    return F.nullif(F.regexp_extract(F.upper(F.trim(col(wkt))), "^[A-Z]+", 0), F.lit(""))
+    tag = F.regexp_extract(F.upper(F.trim(col(wkt))), "^[A-Z]+", 0)
+    names = F.create_map(*[F.lit(v) for pair in TYPE_NAMES.items() for v in pair])
+    return F.try_element_at(names, tag)
 
 
 def parse_wkt(wkt: Column | str) -> Column:

@@ -101,30 +101,32 @@ def exact_quantiles(
     A sketch brackets each wanted rank; one pass counts what lies below each
     bracket; only the values inside the brackets (a few per mille, equal values
     counted as one row) are then ranked exactly.  A bracket that misses its rank
-    stops the job instead of giving a wrong value.  The first two passes run at
-    once and return one row of bounds and counts each.
+    stops the job instead of giving a wrong value.  The passes before the last
+    run at once and return one row of sizes, bounds and counts each.
     """
-    slack = 5.0 / accuracy
     wanted = [(c, float(p)) for c in columns for p in probabilities]
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    # Wide enough for the sketch's error and for both neighbours of a fractional rank.
+    slack = {c: max(5.0 / accuracy, 2.0 / max(sizes[c], 1)) for c in columns}
 
-    edges = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
-    sketch = df.agg(
+    def edges(c: str) -> list[float]:
+        return [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack[c], slack[c])]
+
+    bracket = df.agg(
         *[f(F.col(c).cast("double")).alias(f"{c}:{n}") for c in columns for f, n in ((F.min, "min"), (F.max, "max"))],
-        *[F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(f"{c}:edges") for c in columns],
-    )
-    bracket = sketch.first()
+        *[F.percentile_approx(F.col(c).cast("double"), edges(c), accuracy).alias(f"{c}:edges") for c in columns],
+    ).first()
     place = {float(p): 2 * i for i, p in enumerate(probabilities)}
 
     def low(c: str, p: float) -> Column:
-        edge = bracket[f"{c}:min"] if p <= slack else (bracket[f"{c}:edges"] or [None] * 2 * len(edges))[place[p]]
-        return F.lit(edge)
+        found = bracket[f"{c}:edges"]
+        return F.lit(bracket[f"{c}:min"] if p <= slack[c] or found is None else found[place[p]])
 
     def high(c: str, p: float) -> Column:
-        edge = bracket[f"{c}:max"] if p >= 1 - slack else (bracket[f"{c}:edges"] or [None] * 2 * len(edges))[place[p] + 1]
-        return F.lit(edge)
+        found = bracket[f"{c}:edges"]
+        return F.lit(bracket[f"{c}:max"] if p >= 1 - slack[c] or found is None else found[place[p] + 1])
 
     counts = df.agg(
-        *[F.count(c).alias(f"{c}:n") for c in columns],
         *[F.count_if(F.col(c).cast("double") < low(c, p)).alias(f"{c}:{p}:below") for c, p in wanted],
     ).first()
     asked = F.array(
@@ -146,7 +148,7 @@ def exact_quantiles(
     for c, p in wanted:
         hit = (F.col("variable") == c) & (F.col("p") == p)
         below = F.when(hit, F.lit(counts[f"{c}:{p}:below"])).otherwise(below)
-        total = F.when(hit, F.lit(counts[f"{c}:n"])).otherwise(total)
+        total = F.when(hit, F.lit(sizes[c])).otherwise(total)
     before = Window.partitionBy("variable", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     ranked = inside.withColumns(
         {"first": below + F.coalesce(F.sum("copies").over(before), F.lit(0)), "position": F.col("p") * (total - 1)}
