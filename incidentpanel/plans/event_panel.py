@@ -132,7 +132,7 @@ def standardise_territories(table: DataFrame, code: str, name: str, level: str,
         *[C.clean_text(c).alias(c) for c in kept],
         *([C.clean_text("sigla_rg", upper=True).alias("sigla_rg")] if "sigla_rg" in table.columns else []),
         C.numeric_text("area_km2").alias("area_km2_ibge"),
-        C.in_scope("sg_uf").alias("is_br101_uf_candidate"),
+        C.in_scope(C.clean_text("sg_uf", upper=True)).alias("is_br101_uf_candidate"),
         F.lit(level).alias("territorial_level"),
         F.lit(GEODETIC).alias("geometry_crs"),
         "geometry",
