@@ -94,76 +94,95 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    accuracy: int = 2_000,
+    limit: int = 50_000,
 ) -> DataFrame:
     """Exact interpolated quantiles of whole columns, one row per column and probability.
 
-    A sketch brackets each wanted rank; one pass counts what lies below each
-    bracket; only the values inside the brackets (a few per mille, equal values
-    counted as one row) are then ranked exactly.  A bracket that misses its rank
-    stops the job instead of giving a wrong value.  The passes before the last
-    run at once and return one row of sizes, bounds and counts each.
+    Every wanted rank starts with the bracket (min, max).  A sketch narrows each
+    bracket to about a hundredth and a count tells what lies below and inside,
+    until at most ``limit`` values are left or the bracket is a single value.
+    Only the values left are ranked, equal ones counted as one row.  The
+    narrowing passes run at once and bring back a few numbers each.  A bracket
+    that misses its rank stops the job instead of giving a wrong value.
     """
-    wanted = [(c, float(p)) for c in columns for p in probabilities]
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    # Wide enough for the sketch's error and for both neighbours of a fractional rank.
-    slack = {c: max(5.0 / accuracy, 2.0 / max(sizes[c], 1)) for c in columns}
-
-    def edges(c: str) -> list[float]:
-        return [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack[c], slack[c])]
-
-    bracket = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{c}:{n}") for c in columns for f, n in ((F.min, "min"), (F.max, "max"))],
-        *[F.percentile_approx(F.col(c).cast("double"), edges(c), accuracy).alias(f"{c}:edges") for c in columns],
+    value = {c: F.col(c).cast("double") for c in columns}
+    sizes = df.agg(
+        *[f(value[c]).alias(f"{c}:{n}") for c in columns for f, n in ((F.min, "lo"), (F.max, "hi"), (F.count, "n"))]
     ).first()
-    place = {float(p): 2 * i for i, p in enumerate(probabilities)}
-
-    def low(c: str, p: float) -> Column:
-        found = bracket[f"{c}:edges"]
-        return F.lit(bracket[f"{c}:min"] if p <= slack[c] or found is None else found[place[p]])
-
-    def high(c: str, p: float) -> Column:
-        found = bracket[f"{c}:edges"]
-        return F.lit(bracket[f"{c}:max"] if p >= 1 - slack[c] or found is None else found[place[p] + 1])
-
-    counts = df.agg(
-        *[F.count_if(F.col(c).cast("double") < low(c, p)).alias(f"{c}:{p}:below") for c, p in wanted],
-    ).first()
-    asked = F.array(
+    # (column, probability) -> low, high, rows below, rows inside.
+    state = {
+        (c, float(p)): (sizes[f"{c}:lo"], sizes[f"{c}:hi"], 0, sizes[f"{c}:n"]) for c in columns for p in probabilities
+    }
+    wide = {k for k, (lo, hi, _, n) in state.items() if n > limit and lo < hi}
+    while wide:
+        # Ranks that share a bracket share one sketch.
+        shared: dict[tuple, list] = {}
+        for c, p in sorted(wide):
+            lo, hi, below, n = state[(c, p)]
+            at = (p * (sizes[f"{c}:n"] - 1) - below) / (n - 1)
+            slack = max(10.0 / accuracy, 2.0 / n)
+            shared.setdefault((c, lo, hi), []).append((p, max(at - slack, 0.0), min(at + slack, 1.0)))
+        cuts = df.agg(
+            *[
+                F.percentile_approx(
+                    F.when(value[c].between(lo, hi), value[c]), [q for _, a, b in asked for q in (a, b)], accuracy
+                ).alias(str(i))
+                for i, ((c, lo, hi), asked) in enumerate(shared.items())
+            ]
+        ).first()
+        narrowed = {}
+        for i, ((c, lo, hi), asked) in enumerate(shared.items()):
+            for j, (p, a, b) in enumerate(asked):
+                narrowed[(c, p)] = (lo if a == 0.0 else cuts[i][2 * j], hi if b == 1.0 else cuts[i][2 * j + 1])
+        counts = df.agg(
+            *[F.count_if(value[c] < lo).alias(f"b{i}") for i, ((c, _), (lo, _)) in enumerate(narrowed.items())],
+            *[F.count_if(value[c].between(lo, hi)).alias(f"n{i}") for i, ((c, _), (lo, hi)) in enumerate(narrowed.items())],
+        ).first()
+        again = set()
+        for i, (key, (lo, hi)) in enumerate(narrowed.items()):
+            shrunk = counts[f"n{i}"] < state[key][3]
+            state[key] = (lo, hi, counts[f"b{i}"], counts[f"n{i}"])
+            if shrunk and counts[f"n{i}"] > limit and lo < hi:
+                again.add(key)
+        wide = again
+    candidate = F.array(
         *[
             F.when(
-                F.col(c).cast("double").between(low(c, p), high(c, p)),
-                F.struct(F.lit(c).alias("variable"), F.lit(p).alias("p"), F.col(c).cast("double").alias("value")),
+                value[c].between(lo, hi),
+                F.struct(
+                    F.lit(c).alias("variable"),
+                    F.lit(p).alias("p"),
+                    F.lit(below).cast("bigint").alias("below"),
+                    F.lit(p * (sizes[f"{c}:n"] - 1)).alias("position"),
+                    value[c].alias("value"),
+                ),
             )
-            for c, p in wanted
+            for (c, p), (lo, hi, below, _) in state.items()
         ]
     )
+    keys = ["variable", "p", "below", "position"]
     inside = (
-        df.select(F.explode(F.array_compact(asked)).alias("a"))
+        df.select(F.explode(F.array_compact(candidate)).alias("a"))
         .select("a.*")
-        .groupBy("variable", "p", "value")
+        .groupBy(*keys, "value")
         .agg(F.count("*").alias("copies"))
     )
-    below, total = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
-    for c, p in wanted:
-        hit = (F.col("variable") == c) & (F.col("p") == p)
-        below = F.when(hit, F.lit(counts[f"{c}:{p}:below"])).otherwise(below)
-        total = F.when(hit, F.lit(sizes[c])).otherwise(total)
     before = Window.partitionBy("variable", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = inside.withColumns(
-        {"first": below + F.coalesce(F.sum("copies").over(before), F.lit(0)), "position": F.col("p") * (total - 1)}
+    ranked = inside.withColumn(
+        "first", F.col("below") + F.coalesce(F.sum("copies").over(before), F.lit(0))
     ).withColumn("last", F.col("first") + F.col("copies") - 1)
 
     def at(rank: Column) -> Column:
         return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("value")))
 
-    picked = ranked.groupBy("variable", "p").agg(
-        at(F.floor("position")).alias("lo"), at(F.ceil("position")).alias("hi"), F.max("position").alias("position")
-    )
-    share = F.col("position") - F.floor("position")
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * share
+    picked = ranked.groupBy(*keys).agg(at(F.floor("position")).alias("lo"), at(F.ceil("position")).alias("hi"))
+    found = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("position") - F.floor("position"))
     missed = F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double")
-    return picked.select("variable", "p", F.when(value.isNull(), missed).otherwise(value).alias("quantile"))
+    return picked.select("variable", "p", F.when(found.isNull(), missed).otherwise(found).alias("quantile"))
 
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:

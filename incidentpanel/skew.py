@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from incidentpanel.session import checkpointed
 
-DEFAULT_SALTS = 8
+MIN_SALTS, MAX_SALTS = 8, 64
 
 
 def salted_join(
@@ -19,16 +19,19 @@ def salted_join(
     spread_by: Sequence[str],
     how: str = "inner",
     condition: Column | None = None,
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join a large fact side to a smaller side whose keys may be hot.
 
     Each fact row takes one of ``salts`` sub-keys from a hash of ``spread_by``;
     every lookup row is repeated once per sub-key, so one key is shared between
-    ``salts`` tasks.  Both inputs stay whole.  Spark may still choose a
-    broadcast join when its own size check allows one.
+    ``salts`` tasks (by default as many as the cluster runs at once, between 8
+    and 64); AQE splits what is still too large.  Both inputs stay whole.  Spark
+    may still choose a broadcast join when its own size check allows one.
     """
     salt = "__salt"
+    if salts is None:
+        salts = max(MIN_SALTS, min(MAX_SALTS, facts.sparkSession.sparkContext.defaultParallelism))
     left = facts.withColumn(salt, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = [salt, *keys]
