@@ -95,13 +95,18 @@ def samples_by_day(spark, sf, lookback=7):
     return S.daily_samples(day_features_panel(spark, sf), "codigo_municipio", "accident_date", lookback)
 
 
+def _f32(column: str) -> str:
+    """Samples hold 32-bit floats; round the same value."""
+    return f"round(CAST(CAST({column} AS REAL) AS DOUBLE), 4)"
+
+
 @query(
     "lookback_samples",
     f"""WITH {DAILY}, w AS (SELECT *, row_number() OVER k AS pos, lag(zc, 7) OVER k AS oldest, lag(zc, 1) OVER k AS newest,
-          avg(zc) OVER (k ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean_z, lag(weight, 1) OVER k AS last_weight FROM z
+          avg(CAST(CAST(zc AS REAL) AS DOUBLE)) OVER (k ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean_z, lag(weight, 1) OVER k AS last_weight FROM z
         WINDOW k AS (PARTITION BY codigo_municipio ORDER BY accident_date))
         SELECT codigo_municipio, CAST(accident_date AS VARCHAR) AS accident_date, split, 10 AS channels, 7 AS length,
-          round(oldest, 4) AS oldest, round(newest, 4) AS newest, round(mean_z, 4) AS mean_z, round(last_weight, 4) AS last_weight,
+          {_f32('oldest')} AS oldest, {_f32('newest')} AS newest, round(mean_z, 4) AS mean_z, round(last_weight, 4) AS last_weight,
           CAST(accident_count AS DOUBLE) AS y_raw, round(zc, 4) AS y_scaled, round(m, 6) AS y_mean, round(s, 6) AS y_std FROM w WHERE pos > 7""",
 )
 def lookback_samples(spark, sf):
@@ -197,11 +202,6 @@ smp AS (SELECT * FROM sm WHERE pos > 15 AND pos + 3 <= total AND split <> 'outsi
           AND datediff('day', {_START}, week_start) // 7 % {_STRIDE} = 0)"""
 
 
-def _f32(column: str) -> str:
-    """Samples hold 32-bit floats; round the same value."""
-    return f"round(CAST(CAST({column} AS REAL) AS DOUBLE), 4)"
-
-
 @query(
     "weekly_samples",
     f"""WITH {WEEKLY} SELECT group_name, rgi_id, split, CAST(week_start AS VARCHAR) AS forecast_batch_start, CAST(cutoff AS VARCHAR) AS cutoff_week_start,
