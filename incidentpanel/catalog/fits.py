@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.calendars import day_features_panel, states
-from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, samples_by_day, samples_by_week
+from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, samples_by_week
 from incidentpanel.catalog.profiles import CATEGORIES, MODEL_KEYS, categorised, category_levels
 from incidentpanel.catalog.registry import query
 from incidentpanel.catalog.roles import INC, WEEK_SPLITS, day_span, modelling_panel, pinned_panel, state_extras, table
@@ -14,16 +14,17 @@ from incidentpanel.models import glm, minirocket, pooled, ridge, seasonal
 from incidentpanel.operators import evaluate as E
 from incidentpanel.operators import profile as P
 from incidentpanel.operators.calendar_tables import date_features, future_rows
-from incidentpanel.operators.samples import EXOGENOUS
+from incidentpanel.operators.samples import EXOGENOUS, daily_samples
 from incidentpanel.session import checkpointed
 
 LOOKBACK = 14
 TOWN, DAY = "codigo_municipio", "accident_date"
 
 
-def rocket_features(spark, sf):
+def rocket_features(spark, sf, panel=None):
     """Fitted kernels and features of every daily sample, materialised once."""
-    samples = samples_by_day(spark, sf, LOOKBACK)
+    panel = checkpointed(spark, day_features_panel(spark, sf)) if panel is None else panel
+    samples = daily_samples(panel, TOWN, DAY, LOOKBACK)
     rocket = minirocket.fit_on(samples, 168, seed=101)
     return rocket, checkpointed(spark, minirocket.featurize(samples, rocket))
 
@@ -61,9 +62,9 @@ def model_scores(spark, sf):
 @query("recursive_forecast")
 def recursive_forecast(spark, sf):
     """Two weeks ahead, each day feeding the next."""
-    rocket, features = rocket_features(spark, sf)
+    panel = checkpointed(spark, day_features_panel(spark, sf))
+    rocket, features = rocket_features(spark, sf, panel)
     models = ridge.train_per_entity(features, TOWN, (100.0,))
-    panel = day_features_panel(spark, sf)
     _, last = day_span(spark, sf)
     ahead = date_features(states(spark, sf), F.date_add(last, 1), F.date_add(last, 14), state_extras(spark, sf))
     extended = future_rows(panel, ["uf"], TOWN, DAY, 14, "accident_count", ahead)

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from incidentpanel.functions.clean import col
+from incidentpanel.functions.geometry import let
 
 
 def week_start(c: Column | str) -> Column:
@@ -57,17 +58,25 @@ def calendar_cycles(day: Column | str) -> dict[str, Column]:
 
 def easter(year: Column | str) -> Column:
     """Gregorian Easter Sunday in integer arithmetic."""
-    y = col(year).cast("int")
 
-    def div(a: Column, n: int) -> Column:
-        return F.floor(a / n).cast("int")
-
-    golden = y % 19
-    century = div(y, 100)
-    rest = y % 100
-    moon_shift = div(century - div(century + 8, 25) + 1, 3)
-    epact = (golden * 19 + century - div(century, 4) - moon_shift + 15) % 30
-    weekday = (32 + (century % 4) * 2 + div(rest, 4) * 2 - epact - rest % 4) % 7
-    correction = div(golden + epact * 11 + weekday * 22, 451)
-    serial = epact + weekday - correction * 7 + 114
-    return F.make_date(y, div(serial, 31), serial % 31 + 1)
+    def epact(y: Column) -> Column:
+        century = F.floor(y / 100)
+        shift = F.floor((century - F.floor((century + 8) / 25) + 1) / 3)
+        return F.named_struct(
+            F.lit("golden"),
+            y % 19,
+            F.lit("moon"),
+            ((y % 19) * 19 + century - F.floor(century / 4) - shift + 15) % 30,
+            F.lit("sundays"),
+            (century % 4) * 2 + F.floor(y % 100 / 4) * 2 - y % 100 % 4 + 32,
+        )
+
+    def serial(k: Column) -> Column:
+        weekday = (k["sundays"] - k["moon"]) % 7
+        late = F.floor((k["golden"] + k["moon"] * 11 + weekday * 22) / 451)
+        return (k["moon"] + weekday - late * 7 + 114).cast("int")
+
+    y = col(year).cast("int")
+    return let(
+        let(epact(y), serial), lambda s: F.make_date(y, F.floor(s / 31).cast("int"), s % 31 + 1)
+    )

@@ -85,6 +85,7 @@ def registry(enriched: DataFrame, settings: DailySettings) -> DataFrame:
 def train(enriched: DataFrame, settings: DailySettings) -> dict[str, object]:
     """Kernels fitted on a bounded sample, one ridge per territory, errors per split."""
     spark = enriched.sparkSession
+    enriched = checkpointed(spark, enriched)
     samples = daily_samples(enriched, TOWN, DAY, settings.lookback, weather=settings.weather)
     rocket = minirocket.fit_on(samples, settings.n_kernels, settings.seed)
     features = checkpointed(spark, minirocket.featurize(samples, rocket))

@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Fixed when the session starts: no call-site capture for every column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
@@ -32,7 +35,7 @@ def build_session(app: str = "incidentpanel", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key.replace("__", "."), value)
     return tune(builder.getOrCreate())
 
