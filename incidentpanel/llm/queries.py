@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import mixing, simhash, urls
+from incidentpanel.llm import decontam, embeddings, langid, lm, mixing, pii, quality, simhash, urls, warc
 from incidentpanel.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+@query("op2_embedding_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors of one label."""
+    return embeddings.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 # The rules the contract names: host, path, verdict.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -69,6 +75,63 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(load(spark, sf_dir, "pages").select("page_id", "url"), urls.rule_table(spark, URL_RULES))
 
 
+@query("op4_suffix_tree_score")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the suffix tree and by the unigram base."""
+    return lm.score_all(load(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_decontaminate",
+    rf"""
+    WITH d AS (
+        SELECT row_number() OVER () AS n, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontam.WORDS}') AS w
+        FROM documents
+    ),
+    b AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{decontam.WORDS}') AS w
+        FROM benchmark
+    ),
+    c AS (SELECT item_id, w, least(len(w), {decontam.WINDOW}) AS k, unnest(range(1, len(w) - least(len(w), {decontam.WINDOW}) + 2)) AS i FROM b WHERE len(w) > 0),
+    v AS (SELECT DISTINCT item_id::VARCHAR AS item, k, array_to_string(w[i:i + k - 1], ' ') AS t FROM c),
+    p AS (SELECT n, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM v) WHERE len(w) >= k),
+    h AS (SELECT n, i, p.k, item FROM p JOIN v ON v.k = p.k AND v.t = array_to_string(w[i:i + p.k - 1], ' ')),
+    x AS (SELECT n, count(DISTINCT pos) AS hit FROM (SELECT n, unnest(range(i, i + k)) AS pos FROM h) GROUP BY n),
+    y AS (SELECT n, count(*) AS items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT n, item FROM h) GROUP BY n)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit, 0)::BIGINT AS n_hit, coalesce(items, 0)::BIGINT AS n_items,
+           sha256(coalesce(list, '')) AS items_sha256, coalesce(hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN x USING (n) LEFT JOIN y USING (n)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    return decontam.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return langid.identify(load(spark, sf_dir, "documents"))
+
+
+@query(
+    "op7_warc",
+    f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    g AS (SELECT *, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM g)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> first THEN first END AS refers_to
+    FROM f
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, read back and assembled."""
+    return warc.round_trip(load(spark, sf_dir, "pages"))
+
+
 @query(
     "op8_mix_sources",
     f"""
@@ -103,3 +166,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.mix_plan(load(spark, sf_dir, "documents")).drop("copies")
+
+
+@query("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.report(load(spark, sf_dir, "documents"))
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
