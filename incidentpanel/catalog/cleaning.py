@@ -10,7 +10,7 @@ from incidentpanel.catalog.roles import (
     INC,
     POINTS,
     ROADS,
-    WEEK_SPLITS,
+    week_splits,
     YEAR_SPLITS,
     incidents,
     located_customers,
@@ -263,7 +263,7 @@ def split_labels(spark, sf):
     years = {**YEAR_SPLITS, "test": (2000, 2000)}
     return table(spark, sf, "orders").select(
         "o_orderkey",
-        L.split_by_range(T.week_start("o_orderdate"), WEEK_SPLITS).alias("week_split"),
+        L.split_by_range(T.week_start("o_orderdate"), week_splits(spark, sf)).alias("week_split"),
         L.split_by_year(F.year("o_orderdate"), years).alias("year_split"),
     )
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.calendars import day_features_panel, states
-from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, samples_by_week
+from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, LOOKBACK, eval_splits, samples_by_week
 from incidentpanel.catalog.profiles import CATEGORIES, MODEL_KEYS, categorised, category_levels
 from incidentpanel.catalog.registry import query
-from incidentpanel.catalog.roles import INC, WEEK_SPLITS, day_span, modelling_panel, pinned_panel, state_extras, table
+from incidentpanel.catalog.roles import INC, day_span, modelling_panel, pinned_panel, state_extras, table, week_splits
 from incidentpanel.functions.temporal import calendar_cycles
 from incidentpanel.models import glm, minirocket, pooled, ridge, seasonal
 from incidentpanel.operators import evaluate as E
@@ -17,70 +17,70 @@ from incidentpanel.operators.calendar_tables import date_features, future_rows
 from incidentpanel.operators.samples import EXOGENOUS, daily_samples
 from incidentpanel.session import checkpointed
 
-LOOKBACK = 14
+FEATURES, SEED, AHEAD = 10_000, 101, 30
 TOWN, DAY = "codigo_municipio", "accident_date"
 
 
-def rocket_features(spark, sf, panel=None):
-    """Fitted kernels and features of every daily sample, materialised once."""
+def rocket_samples(spark, sf, panel=None):
+    """Fitted kernels and every daily sample, materialised once; features are made where they are used."""
     panel = checkpointed(spark, day_features_panel(spark, sf)) if panel is None else panel
-    samples = daily_samples(panel, TOWN, DAY, LOOKBACK)
-    rocket = minirocket.fit_on(samples, 168, seed=101)
-    return rocket, checkpointed(spark, minirocket.featurize(samples, rocket))
+    samples = checkpointed(spark, daily_samples(panel, TOWN, DAY, LOOKBACK))
+    return minirocket.fit_on(samples, FEATURES, seed=SEED), samples
 
 
 @query("minirocket_features")
 def minirocket_features(spark, sf):
     """Feature count, range and mean per split."""
-    rocket, features = rocket_features(spark, sf)
-    values = features.select("split", F.explode("features").alias("v"))
+    rocket, samples = rocket_samples(spark, sf)
+    total = F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v)
+    values = minirocket.featurize(samples, rocket).select(
+        "split", F.array_min("features").alias("low"), F.array_max("features").alias("high"), total.alias("total"), F.size("features").alias("n")
+    )
     return values.groupBy("split").agg(
-        F.min("v").alias("smallest"),
-        F.max("v").alias("largest"),
-        F.avg("v").alias("mean"),
-        (F.count("*") / rocket.n_features).alias("samples"),
+        F.min("low").alias("smallest"),
+        F.max("high").alias("largest"),
+        (F.sum("total") / F.sum("n")).alias("mean"),
+        F.max("n").alias("features"),
+        F.count("*").alias("samples"),
     )
 
 
 @query("ridge_per_entity")
 def ridge_per_entity(spark, sf):
     """One ridge per territory with its chosen penalty."""
-    _, features = rocket_features(spark, sf)
-    models = ridge.train_per_entity(features, TOWN, (1.0, 100.0, 10000.0))
+    rocket, samples = rocket_samples(spark, sf)
+    models = ridge.train_per_entity(samples, TOWN, rocket=rocket)
     return models.select(TOWN, "alpha", "selection_score", "n_train", F.size("coefficients").alias("n_features"))
 
 
 @query("model_scores")
 def model_scores(spark, sf):
     """Pooled and mean errors per split of the per-territory ridges."""
-    _, features = rocket_features(spark, sf)
-    models = checkpointed(spark, ridge.train_per_entity(features, TOWN, (1.0, 100.0, 10000.0)))
-    scored = ridge.score(features, models, TOWN).withColumn("actual", F.col("y_raw"))
+    rocket, samples = rocket_samples(spark, sf)
+    models = checkpointed(spark, ridge.train_per_entity(samples, TOWN, rocket=rocket))
+    scored = ridge.score_samples(samples, models, TOWN, rocket).withColumn("actual", F.col("y_raw"))
     return E.evaluate_entities(scored, TOWN)[0]
 
 
 @query("recursive_forecast")
 def recursive_forecast(spark, sf):
-    """Two weeks ahead, each day feeding the next."""
+    """Thirty days ahead, each day feeding the next."""
     panel = checkpointed(spark, day_features_panel(spark, sf))
-    rocket, features = rocket_features(spark, sf, panel)
-    models = ridge.train_per_entity(features, TOWN, (100.0,))
+    rocket, samples = rocket_samples(spark, sf, panel)
+    models = ridge.train_per_entity(samples, TOWN, rocket=rocket)
     _, last = day_span(spark, sf)
-    ahead = date_features(states(spark, sf), F.date_add(last, 1), F.date_add(last, 14), state_extras(spark, sf))
-    extended = future_rows(panel, ["uf"], TOWN, DAY, 14, "accident_count", ahead)
+    ahead = date_features(states(spark, sf), F.date_add(last, 1), F.date_add(last, AHEAD), state_extras(spark, sf))
+    extended = future_rows(panel, ["uf"], TOWN, DAY, AHEAD, "accident_count", ahead)
     cycles = calendar_cycles(DAY)
     extended = extended.withColumns(cycles)
     return ridge.recursive_forecast(extended, models, rocket, TOWN, DAY, [*cycles, *EXOGENOUS], LOOKBACK)
 
 
-GRID = [c for c in seasonal.candidate_grid() if sum(c) <= 2]
-
-
 @query("grid_selection")
 def grid_selection(spark, sf):
     """Validation search over seasonal autoregressions; failures stay as rows."""
     series = seasonal.entity_series(modelling_panel(spark, sf))
-    made = seasonal.candidate_forecasts(series, seasonal.candidate_grid(), "validation", WEEK_SPLITS["validation"])
+    made = seasonal.candidate_forecasts(series, seasonal.candidate_grid(), "validation", week_splits(spark, sf)["validation"])
     return seasonal.select_candidates(checkpointed(spark, made)).select(
         "rgi_id", "spec", "status", "n_predictions", "validation_rmse", "is_selected"
     )
@@ -88,12 +88,12 @@ def grid_selection(spark, sf):
 
 @query("seasonal_forecasts")
 def seasonal_forecasts(spark, sf):
-    """Refit of the selected candidates on the test origins."""
+    """Refit of the selected candidates on the validation and test origins."""
     panel = pinned_panel(spark, sf)
     series = seasonal.entity_series(panel)
-    search = seasonal.candidate_forecasts(series, GRID, "validation", WEEK_SPLITS["validation"])
+    search = seasonal.candidate_forecasts(series, seasonal.candidate_grid(), "validation", week_splits(spark, sf)["validation"])
     diagnostics = checkpointed(spark, seasonal.select_candidates(checkpointed(spark, search)))
-    return seasonal.selected_forecasts(series, diagnostics, {"test": WEEK_SPLITS["test"]})
+    return seasonal.selected_forecasts(series, diagnostics, eval_splits(spark, sf))
 
 
 @query("group_models")

@@ -10,10 +10,11 @@ from incidentpanel.catalog.roles import (
     DAY_CTE,
     INC,
     MODEL_CTE,
-    WEEK_SPLITS,
+    WEEK_SPLIT_SQL,
     modelling_panel,
     pinned_panel,
     table,
+    week_splits,
 )
 from incidentpanel.models.baseline import baseline_forecasts
 from incidentpanel.operators import activity as A
@@ -22,7 +23,8 @@ from incidentpanel.operators import samples as S
 from incidentpanel.operators.profile import feature_profile, feature_registry
 from incidentpanel.operators.calendar_tables import HOLIDAY_FEATURES
 
-HISTORY, GAP, HORIZON, LAGS = 12, 4, 4, (52, 104)
+HISTORY, GAP, HORIZON, LAGS = 12, 4, 4, (52, 104, 156)
+LOOKBACK = 90
 STRIDES = {"train": 1, "validation": 4, "test": 4}
 
 
@@ -91,7 +93,7 @@ z AS (SELECT dp.codigo_municipio, accident_date, accident_count, m, s, (accident
       FROM dp JOIN tr USING (codigo_municipio) JOIN wt ON wt.uf = dp.sg_uf AND wt.date = dp.accident_date)"""
 
 
-def samples_by_day(spark, sf, lookback=7):
+def samples_by_day(spark, sf, lookback=LOOKBACK):
     return S.daily_samples(day_features_panel(spark, sf), "codigo_municipio", "accident_date", lookback)
 
 
@@ -102,12 +104,12 @@ def _f32(column: str) -> str:
 
 @query(
     "lookback_samples",
-    f"""WITH {DAILY}, w AS (SELECT *, row_number() OVER k AS pos, lag(zc, 7) OVER k AS oldest, lag(zc, 1) OVER k AS newest,
-          avg(CAST(CAST(zc AS REAL) AS DOUBLE)) OVER (k ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean_z, lag(weight, 1) OVER k AS last_weight FROM z
+    f"""WITH {DAILY}, w AS (SELECT *, row_number() OVER k AS pos, lag(zc, {LOOKBACK}) OVER k AS oldest, lag(zc, 1) OVER k AS newest,
+          avg(CAST(CAST(zc AS REAL) AS DOUBLE)) OVER (k ROWS BETWEEN {LOOKBACK} PRECEDING AND 1 PRECEDING) AS mean_z, lag(weight, 1) OVER k AS last_weight FROM z
         WINDOW k AS (PARTITION BY codigo_municipio ORDER BY accident_date))
-        SELECT codigo_municipio, CAST(accident_date AS VARCHAR) AS accident_date, split, 10 AS channels, 7 AS length,
+        SELECT codigo_municipio, CAST(accident_date AS VARCHAR) AS accident_date, split, 10 AS channels, {LOOKBACK} AS length,
           {_f32('oldest')} AS oldest, {_f32('newest')} AS newest, round(mean_z, 4) AS mean_z, round(last_weight, 4) AS last_weight,
-          CAST(accident_count AS DOUBLE) AS y_raw, round(zc, 4) AS y_scaled, round(m, 6) AS y_mean, round(s, 6) AS y_std FROM w WHERE pos > 7""",
+          CAST(accident_count AS DOUBLE) AS y_raw, round(zc, 4) AS y_scaled, round(m, 6) AS y_mean, round(s, 6) AS y_std FROM w WHERE pos > {LOOKBACK}""",
 )
 def lookback_samples(spark, sf):
     """Daily windows summarised: shape, first, last and mean scaled count, last off-day weight."""
@@ -121,9 +123,9 @@ def lookback_samples(spark, sf):
         F.size("sequence").alias("channels"),
         F.size(counts).alias("length"),
         F.round(F.get(counts, F.lit(0)).cast("double"), 4).alias("oldest"),
-        F.round(F.get(counts, F.lit(6)).cast("double"), 4).alias("newest"),
-        F.round(total / 7, 4).alias("mean_z"),
-        F.round(F.get(F.get("sequence", F.lit(7)), F.lit(6)).cast("double"), 4).alias("last_weight"),
+        F.round(F.get(counts, F.lit(LOOKBACK - 1)).cast("double"), 4).alias("newest"),
+        F.round(total / LOOKBACK, 4).alias("mean_z"),
+        F.round(F.get(F.get("sequence", F.lit(7)), F.lit(LOOKBACK - 1)).cast("double"), 4).alias("last_weight"),
         "y_raw",
         F.round("y_scaled", 4).alias("y_scaled"),
         "y_mean",
@@ -183,11 +185,11 @@ def weather_coverage(spark, sf):
 def samples_by_week(spark, sf):
     panel, _ = grouped(spark, sf)
     indexed = panel.join(A.entity_vocabulary(panel).select("rgi_id", "rgi_index"), "rgi_id")
-    return S.weekly_samples(indexed, WEEK_SPLITS, HISTORY, GAP, HORIZON, LAGS, STRIDES)
+    return S.weekly_samples(indexed, week_splits(spark, sf), HISTORY, GAP, HORIZON, LAGS, STRIDES)
 
 
-_START = "CASE split " + " ".join(f"WHEN '{n}' THEN DATE '{lo}'" for n, (lo, _) in WEEK_SPLITS.items()) + " END"
-_END = "CASE split " + " ".join(f"WHEN '{n}' THEN DATE '{hi}'" for n, (_, hi) in WEEK_SPLITS.items()) + " END"
+_START = "CASE split " + " ".join(f"WHEN '{n}' THEN {lo}" for n, (lo, _) in WEEK_SPLIT_SQL.items()) + " END"
+_END = "CASE split " + " ".join(f"WHEN '{n}' THEN {hi}" for n, (_, hi) in WEEK_SPLIT_SQL.items()) + " END"
 _STRIDE = "CASE split " + " ".join(f"WHEN '{n}' THEN {v}" for n, v in STRIDES.items()) + " END"
 
 WEEKLY = f"""{RANKED},
@@ -195,7 +197,7 @@ sc AS (SELECT rgi_id, greatest(1, 1 + avg(accident_count) FILTER (WHERE split =
 sx AS (SELECT mp.*, scale, accident_count / scale AS s, row_number() OVER k AS pos, count(*) OVER (PARTITION BY mp.rgi_id) AS total
        FROM mp JOIN sc USING (rgi_id) WINDOW k AS (PARTITION BY mp.rgi_id ORDER BY week_start)),
 sm AS (SELECT *, lag(week_start, 4) OVER k AS cutoff, lag(s, 4) OVER k AS newest, lag(s, 15) OVER k AS oldest,
-         avg(CAST(CAST(s AS REAL) AS DOUBLE)) OVER (k ROWS BETWEEN 15 PRECEDING AND 4 PRECEDING) AS history_mean, coalesce(lag(s, 52) OVER k, 0) AS lag52, coalesce(lag(s, 104) OVER k, 0) AS lag104,
+         avg(CAST(CAST(s AS REAL) AS DOUBLE)) OVER (k ROWS BETWEEN 15 PRECEDING AND 4 PRECEDING) AS history_mean, coalesce(lag(s, 52) OVER k, 0) AS lag52, coalesce(lag(s, 104) OVER k, 0) AS lag104, coalesce(lag(s, 156) OVER k, 0) AS lag156,
          lead(accident_count, 3) OVER k AS last_target, sum(accident_count) OVER (k ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS target_sum
        FROM sx WINDOW k AS (PARTITION BY rgi_id ORDER BY week_start)),
 smp AS (SELECT * FROM sm WHERE pos > 15 AND pos + 3 <= total AND split <> 'outside_scope' AND week_start + 21 <= {_END}
@@ -205,7 +207,7 @@ smp AS (SELECT * FROM sm WHERE pos > 15 AND pos + 3 <= total AND split <> 'outsi
 @query(
     "weekly_samples",
     f"""WITH {WEEKLY} SELECT group_name, rgi_id, split, CAST(week_start AS VARCHAR) AS forecast_batch_start, CAST(cutoff AS VARCHAR) AS cutoff_week_start,
-        12 AS history, 4 AS steps, {_f32('oldest')} AS oldest, {_f32('newest')} AS newest, round(history_mean, 5) AS history_mean, {_f32('lag52')} AS lag52, {_f32('lag104')} AS lag104,
+        12 AS history, 4 AS steps, {_f32('oldest')} AS oldest, {_f32('newest')} AS newest, round(history_mean, 5) AS history_mean, {_f32('lag52')} AS lag52, {_f32('lag104')} AS lag104, {_f32('lag156')} AS lag156,
         CAST(last_target AS DOUBLE) AS last_target, CAST(target_sum AS DOUBLE) AS target_sum, round(scale, 4) AS target_scale, round(ln(1 + scale), 4) AS scale_feature
         FROM smp JOIN gr USING (rgi_id)""",
 )
@@ -231,6 +233,7 @@ def weekly_samples(spark, sf):
         F.round(total("recent_history") / HISTORY, 5).alias("history_mean"),
         F.round(item(F.get("seasonal_context", F.lit(0)), 0), 4).alias("lag52"),
         F.round(item(F.get("seasonal_context", F.lit(0)), 1), 4).alias("lag104"),
+        F.round(item(F.get("seasonal_context", F.lit(0)), 2), 4).alias("lag156"),
         item("actual_targets", 3).alias("last_target"),
         total("actual_targets").alias("target_sum"),
         F.round(F.col("target_scale").cast("double"), 4).alias("target_scale"),
@@ -248,7 +251,10 @@ def sample_manifest(spark, sf):
 
 
 def matrix(spark, sf):
-    return S.feature_matrix(samples_by_week(spark, sf), HISTORY, HORIZON, len(LAGS), width=3)
+    """Flat samples; the identity is as wide as the largest activity group."""
+    samples = samples_by_week(spark, sf)
+    width = samples.agg(F.max("rgi_index")).first()[0] + 1
+    return S.feature_matrix(samples, HISTORY, HORIZON, len(LAGS), width=width)
 
 
 @query(
@@ -273,7 +279,7 @@ def feature_matrix(spark, sf):
 
 @query(
     "feature_registry",
-    f"""WITH {WEEKLY}, r(role, n) AS (VALUES ('recent_history_feature', 12), ('seasonal_feature', 8), ('future_holiday_feature', 24), ('rgi_identity_feature', 4),
+    f"""WITH {WEEKLY}, r(role, n) AS (VALUES ('recent_history_feature', 12), ('seasonal_feature', 12), ('future_holiday_feature', 24), ('rgi_identity_feature', 1 + (SELECT max(c) FROM (SELECT count(*) AS c FROM gr GROUP BY group_name))),
           ('static_feature', 2), ('target', 8), ('metadata', 7))
         SELECT role, CAST(n AS BIGINT) AS columns, role LIKE '%\\_feature' ESCAPE '\\' AS included_in_model, (SELECT count(*) FROM smp) AS sample_rows FROM r""",
 )
@@ -289,12 +295,13 @@ def registry(spark, sf):
 @query(
     "matrix_profile",
     f"""WITH {WEEKLY} SELECT 'recent_history_t_minus_1' AS feature_name, count(*) AS non_null_count, 0 AS null_count, round(avg(newest), 4) AS mean,
-        round(min(newest), 4) AS min, round(max(newest), 4) AS max FROM smp""",
+        round(stddev_pop(newest), 4) AS std,
+        round(min(newest), 4) AS min, round(max(newest), 4) AS max, count(DISTINCT CAST(newest AS REAL)) AS n_unique FROM smp""",
 )
 def matrix_profile(spark, sf):
     made = feature_profile(matrix(spark, sf), ["recent_history_t_minus_1"])
-    rounded = {c: F.round(c, 4) for c in ("mean", "min", "max")}
-    return made.withColumns(rounded).select("feature_name", "non_null_count", "null_count", "mean", "min", "max")
+    rounded = {c: F.round(c, 4) for c in ("mean", "std", "min", "max")}
+    return made.withColumns(rounded)
 
 
 @query(
@@ -309,11 +316,12 @@ def short_r2(df):
     return df.withColumn("r2", F.round("r2", 5))
 
 
-EVAL = {k: WEEK_SPLITS[k] for k in ("validation", "test")}
+def eval_splits(spark, sf):
+    return {k: v for k, v in week_splits(spark, sf).items() if k != "train"}
 
 
 def baselines(spark, sf):
-    return baseline_forecasts(modelling_panel(spark, sf), EVAL)
+    return baseline_forecasts(modelling_panel(spark, sf), eval_splits(spark, sf))
 
 
 BASE = f"""{MODEL_CTE},
@@ -355,7 +363,7 @@ ERR = """round(sqrt(avg((actual - prediction) * (actual - prediction))), 6) AS r
 )
 def forecast_metrics(spark, sf):
     panel = pinned_panel(spark, sf)
-    return E.evaluate_panel_forecasts(panel, baseline_forecasts(panel, EVAL))[0]
+    return E.evaluate_panel_forecasts(panel, baseline_forecasts(panel, eval_splits(spark, sf)))[0]
 
 
 @query(
@@ -366,7 +374,7 @@ def forecast_metrics(spark, sf):
 )
 def entity_forecast_metrics(spark, sf):
     panel = pinned_panel(spark, sf)
-    return E.evaluate_panel_forecasts(panel, baseline_forecasts(panel, EVAL))[1]
+    return E.evaluate_panel_forecasts(panel, baseline_forecasts(panel, eval_splits(spark, sf)))[1]
 
 
 @query(
@@ -392,7 +400,7 @@ def grouped_baselines(spark, sf):
     """Baselines with group and architecture columns, as the pooled models have them."""
     panel, _ = grouped(spark, sf)
     members = panel.select("rgi_id", "group_name").distinct()
-    made = baseline_forecasts(panel, EVAL).join(members, "rgi_id")
+    made = baseline_forecasts(panel, eval_splits(spark, sf)).join(members, "rgi_id")
     return panel, made.withColumn("architecture", F.col("model"))
 
 

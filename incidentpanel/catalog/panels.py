@@ -9,7 +9,8 @@ from incidentpanel.catalog.roles import (
     DAY_CTE,
     INC,
     MODEL_CTE,
-    MODEL_WEEKS,
+    FIRST_WEEK,
+    LAST_WEEK,
     WEEK_CTE,
     daily_panel,
     incidents,
@@ -33,8 +34,6 @@ from incidentpanel.operators.panel import (
     with_victims,
 )
 
-LO, HI = MODEL_WEEKS
-
 
 @query(
     "time_bounds",
@@ -156,11 +155,11 @@ def metadata(spark, sf):
     f"""WITH {INC} SELECT codigo_municipio AS rgi_id, CAST(w AS VARCHAR) AS week_start, count(*) AS accident_count,
         CAST(w + 6 AS VARCHAR) AS week_end, isoyear(w) || '-W' || lpad(CAST(week(w) AS VARCHAR), 2, '0') AS year_week,
         isoyear(w) AS iso_year, week(w) AS iso_week
-        FROM inc WHERE w BETWEEN DATE '{LO}' AND DATE '{HI}' GROUP BY 1, w""",
+        FROM inc GROUP BY 1, w""",
 )
 def targets(spark, sf):
-    calendar = weekly_calendar(spark, F.lit(LO), F.lit(HI))
-    events = incidents(spark, sf, victims=False).filter(F.col("week_start").between(F.lit(LO), F.lit(HI)))
+    calendar = weekly_calendar(spark, *week_span(spark, sf))
+    events = incidents(spark, sf, victims=False)
     return weekly_targets(events.withColumnRenamed("codigo_municipio", "rgi_id"), calendar)
 
 
@@ -204,14 +203,14 @@ ex AS (SELECT CASE WHEN r_regionkey <> 4 THEN 'R' || r_regionkey END AS uf,
 
 
 def gappy(spark, sf):
-    """Incidents with missing states, years, regions and timestamps."""
+    """Incidents with missing states, years, regions and timestamps, and with regions nobody knows."""
     k = F.col("id")
     return incidents(spark, sf, victims=False).select(
         "id",
         F.when(k % 17 != 0, F.col("timestamp")).alias("timestamp"),
         F.when(k % 13 != 0, F.col("year")).alias("year"),
         F.when(k % 11 != 0, F.concat(F.lit(" "), F.lower("uf"))).alias("uf"),
-        F.when(k % 7 != 0, F.col("codigo_municipio")).alias("codigo_rgi"),
+        F.when(k % 19 == 0, "99").when(k % 7 != 0, F.col("codigo_municipio")).alias("codigo_rgi"),
         F.when(k % 5 != 0, F.col("nome_municipio")).alias("nome_rgi"),
     )
 
@@ -219,7 +218,7 @@ def gappy(spark, sf):
 GAPPY = """
 gap AS (SELECT id, CASE WHEN id % 17 <> 0 THEN ts END AS ts, CASE WHEN id % 17 <> 0 THEN w END AS w,
           CASE WHEN id % 13 <> 0 THEN year END AS year, CASE WHEN id % 11 <> 0 THEN uf END AS uf,
-          CASE WHEN id % 7 <> 0 THEN CAST(CAST(codigo_municipio AS INTEGER) AS VARCHAR) END AS rgi,
+          CASE WHEN id % 19 = 0 THEN '99' WHEN id % 7 <> 0 THEN CAST(CAST(codigo_municipio AS INTEGER) AS VARCHAR) END AS rgi,
           CASE WHEN id % 5 <> 0 THEN nome_municipio END AS nome FROM inc)"""
 
 
@@ -235,14 +234,12 @@ def exclusion_anti_join(spark, sf):
 
 
 def numeric_static(spark, sf):
-    return region_static(spark, sf).withColumn("rgi_id", F.col("rgi_id").cast("int").cast("string")).filter(
-        F.col("rgi_id") != "24"
-    )
+    return region_static(spark, sf).withColumn("rgi_id", F.col("rgi_id").cast("int").cast("string"))
 
 
 KEPT = f"""NOT EXISTS (SELECT 1 FROM ex WHERE ex.uf IS NOT DISTINCT FROM g.uf AND ex.year IS NOT DISTINCT FROM g.year)"""
-USED = f"""g.ts IS NOT NULL AND g.year IS NOT NULL AND g.w BETWEEN DATE '{LO}' AND DATE '{HI}' AND {KEPT}
-           AND g.rgi IS NOT NULL AND g.rgi <> '24'"""
+USED = f"""g.ts IS NOT NULL AND g.year IS NOT NULL AND {KEPT}
+           AND g.rgi IS NOT NULL AND g.rgi <> '99'"""
 
 
 @query(
@@ -252,7 +249,7 @@ USED = f"""g.ts IS NOT NULL AND g.year IS NOT NULL AND g.w BETWEEN DATE '{LO}' A
         FROM gap g JOIN static s ON CAST(s.rgi_id AS INTEGER) = CAST(g.rgi AS INTEGER) WHERE {USED}""",
 )
 def events_for_model(spark, sf):
-    return modelling_events(gappy(spark, sf), exclusion_list(spark, sf), numeric_static(spark, sf), F.lit(LO), F.lit(HI))
+    return modelling_events(gappy(spark, sf), exclusion_list(spark, sf), numeric_static(spark, sf), *week_span(spark, sf))
 
 
 @query(
@@ -265,14 +262,14 @@ def events_for_model(spark, sf):
         UNION ALL SELECT 'retained_rgis', count(DISTINCT rgi) FROM gap g WHERE {USED}""",
 )
 def funnel(spark, sf):
-    return preparation_funnel(gappy(spark, sf), exclusion_list(spark, sf), numeric_static(spark, sf), F.lit(LO), F.lit(HI))
+    return preparation_funnel(gappy(spark, sf), exclusion_list(spark, sf), numeric_static(spark, sf), *week_span(spark, sf))
 
 
 @query(
     "dense_weekly_panel",
     f"""WITH {MODEL_CTE} SELECT rgi_id, rgi_name, uf, CAST(week_start AS VARCHAR) AS week_start,
         isoyear(week_start) || '-W' || lpad(CAST(week(week_start) AS VARCHAR), 2, '0') AS year_week,
-        datediff('day', DATE '{LO}', week_start) // 7 AS week_index, accident_count, split FROM mp""",
+        datediff('day', {FIRST_WEEK}, week_start) // 7 AS week_index, accident_count, split FROM mp""",
 )
 def dense_panel(spark, sf):
     return modelling_panel(spark, sf).select(
@@ -315,10 +312,11 @@ def unique_key_check(spark, sf):
 
 @query(
     "in_scope_semi_join",
-    f"""WITH {INC} SELECT id, CAST(w AS VARCHAR) AS week_start FROM inc WHERE w BETWEEN DATE '{LO}' AND DATE '{HI}'""",
+    f"""WITH {INC} SELECT id, CAST(w AS VARCHAR) AS week_start FROM inc WHERE w BETWEEN {FIRST_WEEK} + 7 AND {LAST_WEEK} - 7""",
 )
 def in_scope_semi_join(spark, sf):
-    weeks = weekly_calendar(spark, F.lit(LO), F.lit(HI)).select("week_start")
+    lo, hi = week_span(spark, sf)
+    weeks = weekly_calendar(spark, F.date_add(lo, 7), F.date_sub(hi, 7)).select("week_start")
     return incidents(spark, sf, victims=False).join(weeks, "week_start", "left_semi").select("id", "week_start")
 
 

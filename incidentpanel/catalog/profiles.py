@@ -329,12 +329,12 @@ def panel_diagnostics(spark, sf):
     f"""WITH {MODEL_CTE}, t AS (SELECT split, rgi_id, CAST(sum(accident_count) AS BIGINT) AS total FROM mp GROUP BY 1, 2),
         r AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY total DESC, rgi_id) AS hi,
                 row_number() OVER (PARTITION BY split ORDER BY total, rgi_id) AS lo FROM t)
-        SELECT split, rgi_id, total, hi AS rank, 'top' AS side FROM r WHERE hi <= 3
-        UNION ALL SELECT split, rgi_id, total, lo, 'bottom' FROM r WHERE lo <= 3""",
+        SELECT split, rgi_id, total, hi AS rank, 'top' AS side FROM r WHERE hi <= 10
+        UNION ALL SELECT split, rgi_id, total, lo, 'bottom' FROM r WHERE lo <= 10""",
 )
 def top_bottom(spark, sf):
     totals = modelling_panel(spark, sf).groupBy("split", "rgi_id").agg(F.sum("accident_count").alias("total"))
-    return P.top_and_bottom(totals, ["split"], "total", "rgi_id", 3)
+    return P.top_and_bottom(totals, ["split"], "total", "rgi_id", 10)
 
 
 PROBABILITIES = [0.1, 0.25, 0.5, 0.75, 0.99]

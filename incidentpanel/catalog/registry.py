@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from incidentpanel.session import tune
+from incidentpanel.session import own_scratch, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +38,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune(spark)
+            tune(own_scratch(spark))
             return plain(fn(spark, sf_dir))
 
         run.__doc__ = fn.__doc__

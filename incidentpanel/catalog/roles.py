@@ -18,14 +18,16 @@ from incidentpanel.operators.calendar_tables import weekly_holiday_features
 from incidentpanel.operators.panel import count_events, day_panel, dense_weekly_panel, week_panel, with_week_splits
 from incidentpanel.session import checkpointed
 
-# Split bounds (Mondays) that fit the order dates.
-WEEK_SPLITS = {
-    "train": (date(1995, 1, 2), date(1998, 12, 28)),
-    "validation": (date(1999, 1, 4), date(1999, 12, 27)),
-    "test": (date(2000, 1, 3), date(2000, 12, 25)),
+# Inner split bounds (Mondays); training starts and testing ends with the data.
+TRAIN_END, VALIDATION, TEST_START = date(1998, 12, 28), (date(1999, 1, 4), date(1999, 12, 27)), date(2000, 1, 3)
+FIRST_WEEK = "(SELECT CAST(date_trunc('week', min(o_orderdate)) AS DATE) FROM orders)"
+LAST_WEEK = "(SELECT CAST(date_trunc('week', max(o_orderdate)) AS DATE) FROM orders)"
+WEEK_SPLIT_SQL = {
+    "train": (FIRST_WEEK, f"DATE '{TRAIN_END}'"),
+    "validation": tuple(f"DATE '{d}'" for d in VALIDATION),
+    "test": (f"DATE '{TEST_START}'", LAST_WEEK),
 }
 YEAR_SPLITS = {"train": (1995, 1998), "validation": (1999, 1999), "test": (2000, 2001)}
-MODEL_WEEKS = (date(1995, 1, 2), date(2000, 12, 25))
 CORRIDOR = 0.2
 
 
@@ -51,6 +53,12 @@ def week_span(spark: SparkSession, sf: str, name: str = "orders", column: str =
     return week_start(lo), week_start(hi)
 
 
+def week_splits(spark: SparkSession, sf: str) -> dict[str, tuple[date, date]]:
+    """Split bounds that cover every week of the orders."""
+    first, last = table(spark, sf, "orders").agg(*[week_start(f("o_orderdate")) for f in (F.min, F.max)]).first()
+    return {"train": (first, TRAIN_END), "validation": VALIDATION, "test": (TEST_START, last)}
+
+
 def municipalities(spark: SparkSession, sf: str) -> DataFrame:
     """25 nations as territories, with state and macro-region labels."""
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
@@ -195,16 +203,16 @@ def state_extras(spark: SparkSession, sf: str) -> DataFrame:
 
 def modelling_panel(spark: SparkSession, sf: str) -> DataFrame:
     """Region x week modelling panel with holiday features and split labels."""
-    lo, hi = (F.lit(d) for d in MODEL_WEEKS)
+    splits = week_splits(spark, sf)
+    lo, hi = F.lit(splits["train"][0]), F.lit(splits["test"][1])
     static = region_static(spark, sf)
     targets = (
         incidents(spark, sf, victims=False)
-        .filter(F.col("week_start").between(lo, hi))
         .groupBy(F.col("codigo_municipio").alias("rgi_id"), "week_start")
         .agg(F.count("*").alias("accident_count"))
     )
     holidays = weekly_holiday_features(static.select("uf"), lo, hi, state_extras(spark, sf))
-    return with_week_splits(dense_weekly_panel(static, targets, holidays, lo, hi), WEEK_SPLITS)
+    return with_week_splits(dense_weekly_panel(static, targets, holidays, lo, hi), splits)
 
 
 def pinned_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,7 +221,7 @@ def pinned_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SPLIT_CASE = " ".join(
-    f"WHEN {{0}} BETWEEN DATE '{lo}' AND DATE '{hi}' THEN '{name}'" for name, (lo, hi) in WEEK_SPLITS.items()
+    f"WHEN {{0}} BETWEEN {lo} AND {hi} THEN '{name}'" for name, (lo, hi) in WEEK_SPLIT_SQL.items()
 )
 
 
@@ -230,7 +238,7 @@ static AS (
   SELECT codigo_municipio AS rgi_id, nome_municipio AS rgi_name, sg_uf AS uf,
          coalesce(n, 0) * CAST(1.5 AS DOUBLE) AS br101_length_km_in_rgi
   FROM places LEFT JOIN road ON n_nationkey = s_nationkey),
-mw AS (SELECT CAST(unnest(generate_series(DATE '{MODEL_WEEKS[0]}', DATE '{MODEL_WEEKS[1]}', INTERVAL 7 DAY)) AS DATE) AS week_start),
+mw AS (SELECT CAST(unnest(generate_series({FIRST_WEEK}, {LAST_WEEK}, INTERVAL 7 DAY)) AS DATE) AS week_start),
 mc AS (SELECT codigo_municipio AS rgi_id, w AS week_start, count(*) AS n FROM inc GROUP BY 1, 2),
 mp AS (
   SELECT s.*, mw.week_start, coalesce(mc.n, 0) AS accident_count, {split_sql('mw.week_start')} AS split

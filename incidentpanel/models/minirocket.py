@@ -45,20 +45,28 @@ def _plan(length: int, n_features: int, max_dilations: int) -> tuple[list[int],
     return dilations.tolist(), shares.tolist()
 
 
-def _taps(x: np.ndarray, dilation: int) -> np.ndarray:
-    """Nine shifted, zero-padded copies of the series: (9, samples, channels, time)."""
+def _taps(x: np.ndarray, dilation: int) -> list[np.ndarray]:
+    """Nine shifted views of the zero-padded series, each (channels, time, samples)."""
     reach = 4 * dilation
-    padded = np.pad(x, ((0, 0), (0, 0), (reach, reach)))
-    length = x.shape[2]
-    return np.stack([padded[:, :, k * dilation : k * dilation + length] for k in range(9)])
+    padded = np.pad(x, ((0, 0), (reach, reach), (0, 0)))
+    return [padded[:, k * dilation : k * dilation + x.shape[1]] for k in range(9)]
 
 
-def _responses(x: np.ndarray, rocket_dilation: int, channels: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """Convolution output per triple: 3 * sum of its taps - sum of all taps."""
-    taps = _taps(x, rocket_dilation)
-    total = taps.sum(axis=0)
-    for triple, used in zip(TRIPLES, channels):
-        yield 3 * taps[triple][:, :, used].sum(axis=(0, 2)) - total[:, used].sum(axis=1)
+def _response(taps: list[np.ndarray], total: np.ndarray, triple: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Convolution output (time, samples): 3 * sum of the triple's taps - sum of all taps."""
+    first, *rest = ((tap, c) for tap in triple for c in used)
+    made = taps[first[0]][first[1]].copy()
+    for tap, c in rest:
+        made += taps[tap][c]
+    made *= 3
+    for c in used:
+        made -= total[c]
+    return made
+
+
+def _by_time(x: np.ndarray) -> np.ndarray:
+    """(samples, channels, time) to (channels, time, samples), so sums over time run along memory."""
+    return np.ascontiguousarray(x.transpose(1, 2, 0))
 
 
 def fit(sample: np.ndarray, n_features: int = 10_000, seed: int = 101, max_dilations: int = 32) -> Rocket:
@@ -73,13 +81,16 @@ def fit(sample: np.ndarray, n_features: int = 10_000, seed: int = 101, max_dilat
         channels = [
             rng.choice(n_channels, min(n_channels, max(1, int(2 ** rng.uniform(0, most)))), replace=False) for _ in TRIPLES
         ]
-        picked = sample[rng.integers(len(sample), size=1)]
         biases = []
-        for response in _responses(picked, dilation, channels):
+        for triple, used in zip(TRIPLES, channels):
+            # A window of its own for every kernel and dilation.
+            picked = sample[rng.integers(len(sample), size=1)]
+            taps = _taps(_by_time(picked), dilation)
+            response = _response(taps, sum(taps), triple, used)
             # Low-discrepancy quantiles in (0, 1).
             q = ((drawn + np.arange(1, share + 1)) * golden) % 1
             drawn += share
-            biases.append(np.quantile(response[0], q).astype(np.float32))
+            biases.append(np.quantile(response[:, 0], q).astype(np.float32))
         all_channels.append(channels)
         all_biases.append(biases)
     return Rocket(dilations, all_channels, all_biases)
@@ -87,14 +98,24 @@ def fit(sample: np.ndarray, n_features: int = 10_000, seed: int = 101, max_dilat
 
 def transform(x: np.ndarray, rocket: Rocket) -> np.ndarray:
     """Proportion of positive values per kernel and bias: (samples, features)."""
-    blocks = []
+    series = _by_time(x)
+    length = series.shape[1]
+    made = np.empty((rocket.n_features, len(x)), np.float32)
+    at = 0
     for d, (dilation, channels, biases) in enumerate(zip(rocket.dilations, rocket.channels, rocket.biases)):
         reach = 4 * dilation
-        for k, (response, bias) in enumerate(zip(_responses(x, dilation, channels), biases)):
-            padded = (d + k) % 2 == 0 or response.shape[1] <= 2 * reach
-            window = response if padded else response[:, reach:-reach]
-            blocks.append((window[:, :, None] > bias).mean(axis=1))
-    return np.concatenate(blocks, axis=1).astype(np.float32)
+        taps = _taps(series, dilation)
+        total = sum(taps)
+        for k, (triple, used, bias) in enumerate(zip(TRIPLES, channels, biases)):
+            response = _response(taps, total, triple, used)
+            padded = (d + k) % 2 == 0 or length <= 2 * reach
+            window = response if padded else response[reach:-reach]
+            # Counts of a short window fit a byte, which adds up fastest.
+            kind = np.uint8 if len(window) < 256 else np.uint32
+            for b in bias:
+                made[at] = (window > b).sum(axis=0, dtype=kind) / np.float32(len(window))
+                at += 1
+    return np.ascontiguousarray(made.T)
 
 
 def as_cube(column: pa.ListArray, n_channels: int) -> np.ndarray:
@@ -104,7 +125,11 @@ def as_cube(column: pa.ListArray, n_channels: int) -> np.ndarray:
 
 
 def fit_on(samples: DataFrame, n_features: int, seed: int, sample_size: int = 256) -> Rocket:
-    """Fit from a fixed-size, reproducible sample of training windows."""
+    """Fit from a fixed-size, reproducible sample of training windows.
+
+    The windows only give bias quantiles, without labels; ``sample_size`` bounds what the
+    driver reads (a setting of the daily plan).
+    """
     keys = [c for c in samples.columns if c not in ("sequence", "y_raw", "y_scaled", "y_mean", "y_std", "split")]
     train = samples.filter(F.col("split") == "train")
     picked = train.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(sample_size).select("sequence").toArrow()
@@ -114,7 +139,7 @@ def fit_on(samples: DataFrame, n_features: int, seed: int, sample_size: int = 25
     return fit(cube, n_features, seed)
 
 
-def featurize(samples: DataFrame, rocket: Rocket, chunk: int = 512) -> DataFrame:
+def featurize(samples: DataFrame, rocket: Rocket, chunk: int = 256) -> DataFrame:
     """Replace ``sequence`` by ``features``; Arrow batches, no shuffle."""
     shared = samples.sparkSession.sparkContext.broadcast(rocket)
     kept = [f for f in samples.schema.fields if f.name != "sequence"]

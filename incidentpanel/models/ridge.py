@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from incidentpanel.models import minirocket
 
@@ -17,50 +19,78 @@ ALPHAS = (10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0, 10000.0, 30000.0)
 
 
 def solve_path(x: np.ndarray, y: np.ndarray, alphas: Sequence[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Coefficients, intercepts and leave-one-out errors for all penalties from one SVD."""
+    """Coefficients, intercepts and leave-one-out errors for all penalties from one decomposition."""
     x_mean, y_mean = x.mean(axis=0), y.mean()
-    u, s, vt = np.linalg.svd(x - x_mean, full_matrices=False)
+    centred = x - x_mean
+    if x.shape[1] > x.shape[0]:
+        # More features than rows: the small Gram matrix gives the same decomposition.
+        squares, u = np.linalg.eigh(centred @ centred.T)
+        squares = np.maximum(squares, 0.0)
+    else:
+        u, s, _ = np.linalg.svd(centred, full_matrices=False)
+        squares = s**2
     rotated = u.T @ (y - y_mean)
     coefs, intercepts, loo = [], [], []
     for alpha in alphas:
-        shrink = s / (s**2 + alpha)
-        beta = vt.T @ (shrink * rotated)
-        leverage = ((u**2) * (s * shrink)).sum(axis=1) + 1.0 / len(y)
-        fitted = u @ (s * shrink * rotated) + y_mean
+        shrink = squares / (squares + alpha)
+        beta = centred.T @ (u @ (rotated / (squares + alpha)))
+        leverage = ((u**2) * shrink).sum(axis=1) + 1.0 / len(y)
+        fitted = u @ (shrink * rotated) + y_mean
         coefs.append(beta)
         intercepts.append(y_mean - x_mean @ beta)
         loo.append(np.mean(((y - fitted) / np.maximum(1.0 - leverage, 1e-12)) ** 2))
     return np.array(coefs), np.array(intercepts), np.array(loo)
 
 
+def _matrix(rows: pa.Table, rocket: minirocket.Rocket | None, chunk: int = 256) -> np.ndarray:
+    """Features of a group's rows: as given, or made from their sequences."""
+    if rocket is None:
+        flat = rows.column("features").combine_chunks()
+        return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1).astype(float)
+    column = rows.column("sequence").combine_chunks()
+    cube = minirocket.as_cube(column, len(column[0])) if len(column) else np.zeros((0, 1, 1), np.float32)
+    parts = [minirocket.transform(cube[at : at + chunk], rocket) for at in range(0, len(cube), chunk)]
+    return np.concatenate(parts) if parts else np.zeros((0, rocket.n_features), np.float32)
+
+
 def train_per_entity(
-    features: DataFrame, entity: str, alphas: Sequence[float] = ALPHAS, selection_split: str = "validation"
+    features: DataFrame,
+    entity: str,
+    alphas: Sequence[float] = ALPHAS,
+    selection_split: str = "validation",
+    rocket: minirocket.Rocket | None = None,
 ) -> DataFrame:
     """One model row per entity.
 
+    With ``rocket`` the rows carry sequences and their features are made inside the
+    entity's task, so the wide feature table is never stored or shuffled.
+
     The penalty with the lowest error on the selection split wins; without such
     rows the leave-one-out error decides.  A group holds one entity's windows,
     at most one per calendar day.
     """
     grid = [float(a) for a in alphas]
     kind = features.schema[entity].dataType
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        train = frame[frame["split"] == "train"]
-        if train.empty:
-            return pd.DataFrame(columns=[f.name for f in schema.fields])
-        x = np.stack(train["features"]).astype(float)
-        coefs, intercepts, loo = solve_path(x, train["y_scaled"].to_numpy(float), grid)
-        chosen = frame[frame["split"] == selection_split]
-        if chosen.empty:
+    shared = features.sparkSession.sparkContext.broadcast(rocket)
+
+    def fit(group: pa.Table) -> pa.Table:
+        split = np.array(group.column("split").to_pylist(), dtype=object)
+        learn = np.flatnonzero(split == "train")
+        if not len(learn):
+            return target.empty_table()
+        train = group.take(learn)
+        y = train.column("y_scaled").to_numpy()
+        coefs, intercepts, loo = solve_path(_matrix(train, shared.value).astype(float), y, grid)
+        chosen = group.take(np.flatnonzero(split == selection_split))
+        if not len(chosen):
             best, score = int(np.argmin(loo)), None
         else:
-            made = np.stack(chosen["features"]).astype(float) @ coefs.T + intercepts
-            errors = ((made - chosen["y_scaled"].to_numpy(float)[:, None]) ** 2).mean(axis=0)
+            made = _matrix(chosen, shared.value) @ coefs.T + intercepts
+            errors = ((made - chosen.column("y_scaled").to_numpy()[:, None]) ** 2).mean(axis=0)
             best, score = int(np.argmin(errors)), float(errors.min())
-        first = train.iloc[0]
-        row = [first[entity], grid[best], score, len(train), coefs[best], intercepts[best], first["y_mean"], first["y_std"]]
-        return pd.DataFrame([row], columns=[f.name for f in schema.fields])
+        first = train.slice(0, 1).select([entity, "y_mean", "y_std"]).to_pylist()[0]
+        row = [first[entity], grid[best], score, len(train), coefs[best].tolist(), float(intercepts[best]), first["y_mean"], first["y_std"]]
+        return pa.Table.from_pylist([dict(zip(target.names, row))], target)
 
     schema = T.StructType(
         [
@@ -74,10 +104,36 @@ def train_per_entity(
             T.StructField("y_std", T.DoubleType()),
         ]
     )
+    target = to_arrow_schema(schema)
     needed = features.filter(F.col("split").isin("train", selection_split)).select(
-        entity, "split", "features", "y_scaled", "y_mean", "y_std"
+        entity, "split", "features" if rocket is None else "sequence", "y_scaled", "y_mean", "y_std"
+    )
+    return needed.groupBy(entity).applyInArrow(fit, schema)
+
+
+def score_samples(samples: DataFrame, models: DataFrame, entity: str, rocket: minirocket.Rocket) -> DataFrame:
+    """Like ``score`` for rows with sequences: each entity meets its model in one task.
+
+    Entities without a model have no rows.
+    """
+    kept = [f for f in samples.schema.fields if f.name != "sequence"]
+    schema = T.StructType([*kept, T.StructField("prediction_scaled", T.DoubleType())])
+    target = to_arrow_schema(schema)
+    shared = samples.sparkSession.sparkContext.broadcast(rocket)
+
+    def run(rows: pa.Table, model: pa.Table) -> pa.Table:
+        if not len(rows) or not len(model):
+            return target.empty_table()
+        weights = np.array(model.column("coefficients")[0].as_py())
+        made = _matrix(rows, shared.value) @ weights + model.column("intercept")[0].as_py()
+        return rows.drop_columns(["sequence"]).append_column("prediction_scaled", pa.array(made)).select(target.names).cast(target)
+
+    pairs = samples.groupBy(entity).cogroup(models.select(entity, "coefficients", "intercept").groupBy(entity))
+    return (
+        pairs.applyInArrow(run, schema)
+        .withColumn("prediction", F.col("prediction_scaled") * F.col("y_std") + F.col("y_mean"))
+        .withColumn("predicted_accident_count", F.greatest("prediction", F.lit(0.0)))
     )
-    return needed.groupBy(entity).applyInPandas(fit, schema)
 
 
 def score(features: DataFrame, models: DataFrame, entity: str, strict: bool = True) -> DataFrame:

@@ -365,26 +365,27 @@ def feature_registry(frame: DataFrame, holiday_prefixes: Sequence[str]) -> DataF
 
 
 def feature_profile(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts, moments, range and distinct values per column, one pass plus one distinct pass."""
+    """Counts, moments, range and distinct values per column.
+
+    Moments come from one aggregate over the rows (a running variance, exact for large
+    means too), distinct values from a second one that counts values first.
+    """
     long = frame.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(c).cast("double").alias("v")) for c in columns])
         )
     )
-    # Counting values first keeps distinct counting skew-free.
-    valued = long.groupBy("feature_name", "v").agg(F.count("*").alias("n"))
-    total = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
-    mean = F.sum(F.col("v") * F.col("n")) / total
-    square = F.sum(F.col("v") * F.col("v") * F.col("n")) / total
-    return valued.groupBy("feature_name").agg(
-        F.coalesce(total, F.lit(0)).alias("non_null_count"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        mean.alias("mean"),
-        F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("std"),
+    moments = long.groupBy("feature_name").agg(
+        F.count("v").alias("non_null_count"),
+        F.count_if(F.col("v").isNull()).alias("null_count"),
+        F.avg("v").alias("mean"),
+        F.stddev_pop("v").alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        F.count("v").alias("n_unique"),
     )
+    # Counting values first keeps distinct counting skew-free.
+    distinct = long.select("feature_name", "v").distinct().groupBy("feature_name").agg(F.count("v").alias("n_unique"))
+    return moments.join(distinct, "feature_name")
 
 
 def feature_tiers(coefficients: DataFrame, audit: DataFrame, label: str) -> DataFrame:

@@ -200,13 +200,9 @@ def one_hot(index: Column, size: Column) -> Column:
 
 
 def feature_matrix(
-    samples: DataFrame, history: int, horizon: int, lags: int, width: int = 0, limit: int | None = None
+    samples: DataFrame, history: int, horizon: int, lags: int, width: int = 0
 ) -> DataFrame:
-    """One flat column per feature and step.
-
-    ``width`` > 0 adds that many one-hot identity columns; ``limit`` is the
-    optional size of a feature-store view.
-    """
+    """One flat column per feature and step; ``width`` > 0 adds that many one-hot identity columns."""
     cols = [F.col(c) for c in samples.columns if c in ("split", "group_name", "rgi_id", "rgi_name", "uf")]
     cols += [F.col(c) for c in ("forecast_batch_start", "cutoff_week_start", "road_length", "scale_feature")]
     if "rgi_index" in samples.columns:
@@ -227,5 +223,4 @@ def feature_matrix(
     cols += [(F.col("rgi_index") == i).cast("double").alias(f"rgi_one_hot_{i + 1:02d}") for i in range(width)]
     for name, source in (("target_scaled", "targets"), ("actual_target", "actual_targets")):
         cols += [F.get(source, F.lit(s - 1)).alias(f"{name}_step_{s}") for s in range(1, horizon + 1)]
-    flat = samples.select(*cols)
-    return flat.orderBy("group_name", "split", "rgi_id", "forecast_batch_start").limit(limit) if limit else flat
+    return samples.select(*cols)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,23 +42,25 @@ def build_session(app: str = "incidentpanel", master: str | None = None, **conf:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for checkpoints and staged tables.
+    """Shared folder for checkpoints and staged tables: ``spark.checkpoint.dir``, or what the context was given."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    found = configured or context.getCheckpointDir()
+    if not found:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return found
+
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without that setting falls back to a temporary folder of this machine.
+def own_scratch(spark: SparkSession) -> SparkSession:
+    """For tests and trials: give a session on one machine a temporary folder if it has none.
+
+    On a cluster nothing is set, so a missing folder is reported where it is needed.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="incidentpanel-")
-    context.setCheckpointDir(folder)
-    return folder
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+    if unset and re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="incidentpanel-"))
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

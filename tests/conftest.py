@@ -11,13 +11,14 @@ from incidentpanel.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
