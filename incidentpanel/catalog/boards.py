@@ -160,9 +160,9 @@ def ranking(spark, sf):
 )
 def period_delta(spark, sf):
     panel = daily_panel(spark, sf)
+    # The panel is dense by day, so the period before is the day before.
     now = last_day(spark, sf)
-    before = D.previous_period(panel, DAY, now)
-    return D.period_delta(panel, DAY, now, before, TOWN, "people_involved", PICK)
+    return D.period_delta(panel, DAY, now, F.date_sub(now, 1), TOWN, "people_involved", PICK)
 
 
 @query(

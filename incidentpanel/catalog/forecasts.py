@@ -21,6 +21,8 @@ from incidentpanel.operators import activity as A
 from incidentpanel.operators import evaluate as E
 from incidentpanel.operators import samples as S
 from incidentpanel.operators.profile import feature_profile, feature_registry
+from incidentpanel.session import scratch_path
+from incidentpanel.sources.writers import save_samples
 from incidentpanel.operators.calendar_tables import HOLIDAY_FEATURES
 
 HISTORY, GAP, HORIZON, LAGS = 12, 4, 4, (52, 104, 156)
@@ -86,6 +88,11 @@ def entity_index(spark, sf):
     return A.entity_vocabulary(grouped(spark, sf)[0])
 
 
+def _f32(column: str) -> str:
+    """Samples hold 32-bit floats; round the same value."""
+    return f"round(CAST(CAST({column} AS REAL) AS DOUBLE), 4)"
+
+
 DAILY = f"""{WEIGHTS}, {DAY_CTE[len(INC) + 1:]},
 tr AS (SELECT codigo_municipio, avg(accident_count) AS m, stddev_pop(accident_count) AS s FROM dp WHERE year(accident_date) <= 1998 GROUP BY 1),
 z AS (SELECT dp.codigo_municipio, accident_date, accident_count, m, s, (accident_count - m) / s AS zc, weight,
@@ -97,11 +104,6 @@ def samples_by_day(spark, sf, lookback=LOOKBACK):
     return S.daily_samples(day_features_panel(spark, sf), "codigo_municipio", "accident_date", lookback)
 
 
-def _f32(column: str) -> str:
-    """Samples hold 32-bit floats; round the same value."""
-    return f"round(CAST(CAST({column} AS REAL) AS DOUBLE), 4)"
-
-
 @query(
     "lookback_samples",
     f"""WITH {DAILY}, w AS (SELECT *, row_number() OVER k AS pos, lag(zc, {LOOKBACK}) OVER k AS oldest, lag(zc, 1) OVER k AS newest,
@@ -133,6 +135,55 @@ def lookback_samples(spark, sf):
     )
 
 
+WEATHER = f"""{DAILY}, wr AS (SELECT lpad(CAST(user_id % 25 AS VARCHAR), 2, '0') AS town, CAST(CAST(ts AS DATE) - INTERVAL 26 YEAR AS DATE) AS d, value, event_id,
+          row_number() OVER (PARTITION BY user_id % 25, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS r FROM events),
+wx AS (SELECT z.*, value AS warm, CASE WHEN event_id % 3 <> 0 THEN value END AS rain FROM z LEFT JOIN wr ON wr.town = codigo_municipio AND wr.d = accident_date AND r = 1),
+wm AS (SELECT codigo_municipio, coalesce(avg(warm) FILTER (WHERE split = 'train'), 0) AS wm,
+         CASE WHEN stddev_pop(warm) FILTER (WHERE split = 'train') >= 1e-8 THEN stddev_pop(warm) FILTER (WHERE split = 'train') ELSE 1 END AS ws FROM wx GROUP BY 1),
+wz AS (SELECT wx.*, (coalesce(warm, wm) - wm) / ws AS wzc FROM wx JOIN wm USING (codigo_municipio))"""
+
+
+def weather_panel(spark, sf):
+    """Day panel with weather; the readings of 2024 stand for those of 1998, which is in the training years."""
+    moved = weather_channels(spark, sf).withColumn("accident_date", F.add_months("accident_date", -12 * 26))
+    return day_features_panel(spark, sf).join(moved, ["codigo_municipio", "accident_date"], "left")
+
+
+@query(
+    "enriched_day_panel_weather",
+    f"""WITH {WEATHER} SELECT codigo_municipio, CAST(accident_date AS VARCHAR) AS accident_date, accident_count, weight AS non_working_day_weight,
+        round(warm, 6) AS target_max_temp_c, round(warm / 2, 6) AS target_min_temp_c, round(rain, 6) AS target_precipitation_mm FROM wx""",
+)
+def enriched_day_panel_weather(spark, sf):
+    return weather_panel(spark, sf).select(
+        "codigo_municipio", "accident_date", "accident_count", "non_working_day_weight", "target_max_temp_c", "target_min_temp_c", "target_precipitation_mm"
+    )
+
+
+@query(
+    "weather_samples",
+    f"""WITH {WEATHER}, w AS (SELECT *, row_number() OVER k AS pos, lag(wzc, {LOOKBACK}) OVER k AS oldest, lag(wzc, 1) OVER k AS newest,
+          avg(CAST(CAST(wzc AS REAL) AS DOUBLE)) OVER (k ROWS BETWEEN {LOOKBACK} PRECEDING AND 1 PRECEDING) AS mean_warm FROM wz
+        WINDOW k AS (PARTITION BY codigo_municipio ORDER BY accident_date))
+        SELECT codigo_municipio, CAST(accident_date AS VARCHAR) AS accident_date, split, 17 AS channels, {LOOKBACK} AS length,
+          {_f32('oldest')} AS oldest, {_f32('newest')} AS newest, round(mean_warm, 4) AS mean_warm FROM w WHERE pos > {LOOKBACK}""",
+)
+def weather_samples(spark, sf):
+    """Windows of 17 channels, summarised by the scaled maximum temperature."""
+    made = S.daily_samples(weather_panel(spark, sf), "codigo_municipio", "accident_date", LOOKBACK, weather=True)
+    warm = F.get("sequence", F.lit(10))
+    return made.select(
+        "codigo_municipio",
+        "accident_date",
+        "split",
+        F.size("sequence").alias("channels"),
+        F.size(warm).alias("length"),
+        F.round(F.get(warm, F.lit(0)).cast("double"), 4).alias("oldest"),
+        F.round(F.get(warm, F.lit(LOOKBACK - 1)).cast("double"), 4).alias("newest"),
+        F.round(F.aggregate(warm, F.lit(0.0), lambda a, v: a + v) / LOOKBACK, 4).alias("mean_warm"),
+    )
+
+
 @query(
     "zscore_train_only",
     f"""WITH {DAILY} SELECT codigo_municipio, CAST(accident_date AS VARCHAR) AS accident_date, round(zc, 6) AS accident_count_z FROM z""",
@@ -250,6 +301,19 @@ def sample_manifest(spark, sf):
     return E.sample_manifest(samples_by_week(spark, sf), ["group_name", "split"])
 
 
+@query(
+    "sample_store",
+    f"""WITH {WEEKLY} SELECT group_name, split, count(*) AS n_samples, round(avg(last_target), 6) AS last_target FROM smp JOIN gr USING (rgi_id) GROUP BY 1, 2""",
+)
+def sample_store(spark, sf):
+    """Samples written with their arrays, one folder per group and split, and read back."""
+    path = save_samples(samples_by_week(spark, sf), scratch_path(spark, "samples"))
+    back = spark.read.parquet(path)
+    return back.groupBy("group_name", "split").agg(
+        F.count("*").alias("n_samples"), F.avg(F.get("actual_targets", F.lit(HORIZON - 1)).cast("double")).alias("last_target")
+    )
+
+
 def matrix(spark, sf):
     """Flat samples; the identity is as wide as the largest activity group."""
     samples = samples_by_week(spark, sf)

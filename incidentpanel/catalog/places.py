@@ -22,7 +22,6 @@ from incidentpanel.functions import crs
 from incidentpanel.functions import geometry as G
 from incidentpanel.operators import spatial as S
 from incidentpanel.operators.weather import match_cells, missing_days, nearest_per_day
-from incidentpanel.skew import latest_by
 
 CELL = 0.5
 
@@ -126,6 +125,40 @@ def dissolve_roads(spark, sf):
     )
 
 
+@query(
+    "multipart_sections",
+    f"""WITH {ROADS}, p AS (SELECT snapshot_year, road_id, sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))) AS len FROM seg GROUP BY 1, 2)
+        SELECT snapshot_year, 'MultiLineString' AS geometry_type, count(*) + 1 AS parts, count(*) AS sections, round(sum(len), 6) AS length FROM p GROUP BY 1""",
+)
+def multipart_sections(spark, sf):
+    """All roads of a snapshot as one MULTILINESTRING with an empty stretch; its parts become sections, those without length go."""
+    body = F.regexp_replace("geometry", "^LINESTRING ", "")
+    parts = supplier_roads(spark, sf).groupBy("snapshot_year").agg(F.array_sort(F.collect_list(body)).alias("p"))
+    stub = F.array(F.lit("(-55 -29, -55 -29)"))
+    lines = parts.select("snapshot_year", F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.concat("p", stub), ", "), F.lit(")")).alias("geometry"))
+    rings = lines.select("snapshot_year", G.geometry_type("geometry").alias("geometry_type"), F.posexplode(G.parse_wkt("geometry")).alias("part", "ring"))
+    edges = G.all_edges(F.array("ring"))
+    length = F.aggregate(edges, F.lit(0.0), lambda s, e: s + F.hypot(e["x2"] - e["x1"], e["y2"] - e["y1"]))
+    return rings.select("snapshot_year", "geometry_type", length.alias("l")).groupBy("snapshot_year", "geometry_type").agg(
+        F.count("*").alias("parts"), F.count_if(F.col("l") > 0).alias("sections"), F.sum("l").alias("length")
+    )
+
+
+@query(
+    "multipolygon_area",
+    f"""WITH {POLYGONS} SELECT state AS uf, 'MultiPolygon' AS geometry_type, count(*) AS polygons, round(sum(5.0625 - CASE WHEN holed THEN 0.25 ELSE 0 END)::DOUBLE, 6) AS area FROM sq GROUP BY 1""",
+)
+def multipolygon_area(spark, sf):
+    """The squares of a state, moved apart, as one MULTIPOLYGON: its area is the sum of theirs."""
+    k = F.col("codigo_municipio").cast("int")
+    moved = nation_polygons(spark, sf).withColumn("r", G.map_points(G.parse_wkt("geometry"), lambda x, y: (x + k * 10, y)))
+    body = F.regexp_replace(G.to_wkt_polygon("r"), "^POLYGON ", "")
+    joined = moved.groupBy("sg_uf").agg(F.array_sort(F.collect_list(body)).alias("p"))
+    wkt = F.concat(F.lit("MULTIPOLYGON ("), F.array_join("p", ", "), F.lit(")"))
+    made = S.polygon_measures(joined.select("sg_uf", F.size("p").alias("polygons"), wkt.alias("geometry"), G.geometry_type(wkt).alias("geometry_type")))
+    return made.select(F.col("sg_uf").alias("uf"), "geometry_type", "polygons", (F.col("polygon_area_km2") * 1e6).alias("area"))
+
+
 @query(
     "merge_overlapping_roads",
     """WITH s AS (SELECT s_nationkey AS lane, s_suppkey % 50 AS a, s_suppkey % 50 + 1 + s_suppkey % 7 AS b FROM supplier),
@@ -156,11 +189,14 @@ def points_in_corridor(spark, sf):
         cx AS (SELECT unnest(range(CAST(floor((lx - 0.3) / 0.05) AS BIGINT), CAST(floor((hx + 0.3) / 0.05) AS BIGINT) + 1)) AS i FROM b),
         cy AS (SELECT unnest(range(CAST(floor((ly - 0.3) / 0.05) AS BIGINT), CAST(floor((hy + 0.3) / 0.05) AS BIGINT) + 1)) AS j FROM b),
         c AS (SELECT i, j, (i + 0.5::DOUBLE) * 0.05::DOUBLE AS cxx, (j + 0.5::DOUBLE) * 0.05::DOUBLE AS cyy FROM cx, cy)
-        SELECT count(*) AS cells, round(count(*) * 0.0025 / 1e6, 6) AS corridor_area_km2
+        SELECT count(*) AS cells, CAST(count(*) * 25 AS DOUBLE) AS corridor_area_km2
         FROM c WHERE EXISTS (SELECT 1 FROM seg WHERE {point_segment_sql('cxx', 'cyy')} <= {CORRIDOR})""",
 )
 def corridor_area(spark, sf):
-    return S.corridor_area(road_segments(spark, sf), CORRIDOR, 0.05)
+    """The plane is scaled by 100 000, so that units act as metres and the area as square kilometres."""
+    scale = 100_000.0
+    segs = road_segments(spark, sf).select(*[(F.col(c) * scale).alias(c) for c in S.SEGMENT])
+    return S.corridor_area(segs, CORRIDOR * scale, 0.05 * scale)
 
 
 @query(
@@ -173,7 +209,7 @@ def point_in_polygon(spark, sf):
     """First polygon by code that strictly contains the point; unmatched points stay."""
     _, edges = polygon_parts(spark, sf)
     index = S.polygon_index(edges.select("codigo_municipio", *S.SEGMENT), "codigo_municipio", CELL)
-    placed = S.assign_polygon(usable_points(spark, sf), index, CELL, [F.col("codigo_municipio")])
+    placed = S.assign_polygon(usable_points(spark, sf), index, CELL, ["codigo_municipio"])
     status = F.when(F.col("codigo_municipio").isNotNull(), "matched_exact_polygon").otherwise("unmatched_exact_polygon")
     return placed.select("id", "codigo_municipio", status.alias("match_status"))
 
@@ -200,9 +236,8 @@ def same_state_first(spark, sf):
     _, edges = polygon_parts(spark, sf)
     index = S.polygon_index(edges.select("codigo_municipio", "sg_uf", *S.SEGMENT), "codigo_municipio", CELL, ["sg_uf"])
     points = usable_points(spark, sf).withColumn("own", F.concat(F.lit("R"), (F.col("c_nationkey") % 5).cast("string")))
-    order = [F.when(F.col("sg_uf") == F.col("own"), 0).otherwise(1), F.col("sg_uf"), F.col("codigo_municipio")]
-    matches = S.points_in_polygons(points, index, CELL)
-    return latest_by(matches, ["id"], order, smallest=True).select("id", "codigo_municipio")
+    placed = S.assign_polygon(points, index, CELL, ["sg_uf", "codigo_municipio"], prefer=("own", "sg_uf"))
+    return placed.filter("codigo_municipio IS NOT NULL").select("id", "codigo_municipio")
 
 
 @query(
@@ -328,9 +363,9 @@ def nearest(spark, sf):
     s = F.col("s_suppkey")
     keyed = table(spark, sf, "supplier").select(
         s.alias("seg_id"),
-        F.floor(s / 100).alias("road_id"),
-        ((F.lit(-5500) + s % 100 * 10) / F.lit(100.0)).alias("x1"),
-        ((F.lit(-2950) + s % 100 % 7 * 5 + F.floor(s / 100) % 20 * 45) / F.lit(100.0)).alias("y1"),
+        F.floor(s / 10).alias("road_id"),
+        ((F.lit(-5500) + s % 10 * 10) / F.lit(100.0)).alias("x1"),
+        ((F.lit(-2950) + s % 10 % 7 * 5 + F.floor(s / 20) % 20 * 45) / F.lit(100.0)).alias("y1"),
     )
     ends = keyed.select((F.col("seg_id") - 1).alias("seg_id"), "road_id", F.col("x1").alias("x2"), F.col("y1").alias("y2"))
     segs = keyed.join(ends, ["seg_id", "road_id"]).withColumns(
@@ -365,7 +400,7 @@ def centroid_owner(spark, sf):
         F.col("codigo_municipio").alias("source_code"), F.col("centroid.x").alias("x"), F.col("centroid.y").alias("y")
     )
     index = S.polygon_index(edges.select("codigo_municipio", *S.SEGMENT), "codigo_municipio", CELL)
-    owned = S.assign_polygon(centres, index, CELL, [F.col("codigo_municipio")], "source_code", boundary=True)
+    owned = S.assign_polygon(centres, index, CELL, ["codigo_municipio"], "source_code", boundary=True)
     status = F.when(F.col("codigo_municipio").isNotNull(), "matched_centroid_superposition").otherwise(
         "fallback_source_polygon_centroid"
     )

@@ -38,7 +38,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from incidentpanel.catalog.roles import forget_schemas
+
             tune(own_scratch(spark))
+            forget_schemas()
             return plain(fn(spark, sf_dir))
 
         run.__doc__ = fn.__doc__

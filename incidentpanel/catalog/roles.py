@@ -34,8 +34,13 @@ CORRIDOR = 0.2
 _SCHEMAS: dict[str, StructType] = {}
 
 
+def forget_schemas() -> None:
+    """Called when a query starts, so a table rewritten between queries is read as it is now."""
+    _SCHEMAS.clear()
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One shared table.  Its footer is read once; later reads reuse the schema."""
+    """One shared table.  Within a query its footer is read once; later reads reuse the schema."""
     path = f"{sf}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
@@ -212,7 +217,7 @@ def modelling_panel(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.count("*").alias("accident_count"))
     )
     holidays = weekly_holiday_features(static.select("uf"), lo, hi, state_extras(spark, sf))
-    return with_week_splits(dense_weekly_panel(static, targets, holidays, lo, hi), splits)
+    return with_week_splits(dense_weekly_panel(static, targets, holidays, lo, hi, grouped=True), splits)
 
 
 def pinned_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,11 +314,11 @@ IN_SQUARE = """(px > x0 AND px < x0 + 2.25 AND py > y0 AND py < y0 + 2.25
 
 
 def supplier_roads(spark: SparkSession, sf: str) -> DataFrame:
-    """A line per hundred suppliers, as WKT, with a snapshot year."""
+    """A line per ten suppliers, as WKT; two roads that follow each other share their line in different snapshots."""
     s = F.col("s_suppkey")
-    road, i = F.floor(s / 100), s % 100
+    road, i = F.floor(s / 10), s % 10
     lon = (F.lit(-5500) + i * 10) / F.lit(100.0)
-    lat = (F.lit(-2950) + i % 7 * 5 + road % 20 * 45) / F.lit(100.0)
+    lat = (F.lit(-2950) + i % 7 * 5 + F.floor(road / 2) % 20 * 45) / F.lit(100.0)
     text = F.concat_ws(" ", lon.cast("string"), lat.cast("string"))
     vertices = F.transform(F.array_sort(F.collect_list(F.struct(s.alias("k"), text.alias("t")))), lambda v: v["t"])
     return (
@@ -331,9 +336,9 @@ def supplier_roads(spark: SparkSession, sf: str) -> DataFrame:
 
 ROADS = """
 vtx AS (
-  SELECT s_suppkey AS k, s_suppkey // 100 AS road_id, 2017 + (s_suppkey // 100) % 3 * 4 AS snapshot_year,
-         (-5500 + (s_suppkey % 100) * 10) / 100.0::DOUBLE AS x,
-         (-2950 + (s_suppkey % 100) % 7 * 5 + (s_suppkey // 100) % 20 * 45) / 100.0::DOUBLE AS y
+  SELECT s_suppkey AS k, s_suppkey // 10 AS road_id, 2017 + (s_suppkey // 10) % 3 * 4 AS snapshot_year,
+         (-5500 + (s_suppkey % 10) * 10) / 100.0::DOUBLE AS x,
+         (-2950 + (s_suppkey % 10) % 7 * 5 + (s_suppkey // 20) % 20 * 45) / 100.0::DOUBLE AS y
   FROM supplier),
 seg AS (
   SELECT a.k AS seg_id, a.road_id, a.snapshot_year, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,14 +122,19 @@ def weather_files(spark, sf):
             series(lambda e: e["n"].cast("string")).alias("precipitation_sum"),
         ).alias("daily"),
     )
-    one = payload.filter(F.col("elevation") % 2 == 0)
-    many = payload.filter(F.col("elevation") % 2 == 1).groupBy((F.col("elevation") % 7).alias("g")).agg(
-        F.collect_list(F.struct("latitude", "longitude", "elevation", "daily")).alias("responses")
-    )
+    # A response or list holds the cells of a stretch of 100 numbers, as a service answers it.
+    cell = F.struct("latitude", "longitude", "elevation", "daily")
+    kind, stretch = F.col("elevation") % 4, F.floor(F.col("elevation") / 100).alias("g")
     folder = scratch_path(spark, "weather")
-    one.write.json(f"{folder}/single")
+    payload.filter(kind == 0).write.json(f"{folder}/single")
+    many = payload.filter(kind % 2 == 1).groupBy(stretch).agg(F.collect_list(cell).alias("responses"))
     many.select("responses").write.json(f"{folder}/batched")
-    return R.read_weather_json(spark, f"{folder}/*", multiline=False)
+    # One file per list and per indented object: neither can be read line by line.
+    listed = payload.filter(kind == 2).groupBy(stretch).agg(F.to_json(F.collect_list(cell)).alias("value"))
+    spread = listed.select(F.regexp_replace("value", r"\},\{", "},\n{").alias("value"), "g")
+    spread.repartitionByRange(listed.count() or 1, "g").select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/list")
+    by_line = R.read_weather_json(spark, [f"{folder}/single", f"{folder}/batched"], multiline=False)
+    return by_line.unionByName(R.read_weather_json(spark, f"{folder}/list", multiline=True))
 
 
 CELL_DAYS = """
@@ -241,7 +247,7 @@ def ingest_territories(spark, sf):
 
 @query(
     "ingest_road_snapshot",
-    "SELECT s_suppkey // 100 AS road_number, 2021 AS snapshot_year, '101' AS br_canonical FROM supplier GROUP BY 1 HAVING count(*) > 1 AND (s_suppkey // 100) % 2 = 0",
+    "SELECT s_suppkey // 10 AS road_number, 2021 AS snapshot_year, '101' AS br_canonical FROM supplier GROUP BY 1 HAVING count(*) > 1 AND (s_suppkey // 10) % 2 = 0",
 )
 def ingest_road_snapshot(spark, sf):
     roads = supplier_roads(spark, sf).select(
@@ -274,6 +280,24 @@ def static(spark, sf):
     return made.select("rgi_id", "rgi_name", "uf", F.round("br101_length_m_in_rgi", 2).alias("length_m"))
 
 
+@query(
+    "published_order",
+    f"""WITH {INC} SELECT year, count(*) AS rows, 0 AS out_of_order FROM inc GROUP BY 1""",
+)
+def published_order(spark, sf):
+    """Events published by year: inside every file they lie by territory, time and id."""
+    events = incidents(spark, sf, victims=False).select("id", "codigo_municipio", "timestamp", "year")
+    order = ["codigo_municipio", "timestamp", "id"]
+    path = W.write_table(events, scratch_path(spark, "published"), ["year"], order=order)
+    back = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    key = F.struct(*order)
+    # A file is bounded by the writer's task.
+    before = F.lag(key).over(Window.partitionBy("file").orderBy("place"))
+    return back.select("year", (before > key).alias("wrong")).groupBy("year").agg(
+        F.count("*").alias("rows"), F.count_if("wrong").alias("out_of_order")
+    )
+
+
 @query("dataset_paths", "SELECT r_name, 's3a://lake/gold/panel/uf=' || r_name AS path FROM region")
 def dataset_paths(spark, sf):
     base = R.dataset_uri("s3://lake/", "/gold/panel/", "uf=")

@@ -159,9 +159,10 @@ def period_delta(
             .otherwise("Estável"),
         )
     )
-    own = delta.filter(F.col(entity) == selected)
-    rest = delta.filter(F.col(entity) != selected).orderBy(F.abs(change).desc(), entity).limit(top)
-    return own.unionByName(rest)
+    # One row per entity: a single pass ranks the others and keeps the selected one.
+    is_own = F.col(entity) == selected
+    others = Window.partitionBy(is_own).orderBy(F.abs(change).desc(), entity)
+    return delta.withColumn("__n", F.row_number().over(others)).filter(is_own | (F.col("__n") <= top)).drop("__n")
 
 
 def series_by_source(panel: DataFrame, day: str, entity: str, metric: str) -> DataFrame:

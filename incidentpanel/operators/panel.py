@@ -158,8 +158,13 @@ def stack_row(row: DataFrame, key: str, value: str, kind: str = "bigint") -> Dat
     )
 
 
-def dense_weekly_panel(static: DataFrame, targets: DataFrame, holidays: DataFrame, lo: Column, hi: Column) -> DataFrame:
-    """Region x week modelling panel; fails unless it is unique per region and week."""
+def dense_weekly_panel(
+    static: DataFrame, targets: DataFrame, holidays: DataFrame, lo: Column, hi: Column, grouped: bool = False
+) -> DataFrame:
+    """Region x week modelling panel; fails unless it is unique per region and week.
+
+    ``grouped`` tells that the targets were just grouped by region and week.
+    """
     grid = spine(require_unique(static, ["rgi_id"], "static features"), lo, hi, "week_start", 7).withColumns(
         {
             "week_end": F.date_add("week_start", 6),
@@ -169,7 +174,7 @@ def dense_weekly_panel(static: DataFrame, targets: DataFrame, holidays: DataFram
             "week_index": (F.datediff("week_start", lo) / 7).cast("int"),
         }
     )
-    counts = require_unique(targets, ["rgi_id", "week_start"], "weekly targets")
+    counts = targets if grouped else require_unique(targets, ["rgi_id", "week_start"], "weekly targets")
     counted = grid.join(counts.select("rgi_id", "week_start", "accident_count"), ["rgi_id", "week_start"], "left")
     joined = counted.join(holidays.select("uf", "week_start", *HOLIDAY_FEATURES), ["uf", "week_start"], "left")
     return joined.withColumn("accident_count", F.coalesce("accident_count", F.lit(0)).cast("int")).fillna(

@@ -64,6 +64,7 @@ def coverage_review(
     )
 
 
+# The two texts below are fixed values.
 def manual_exclusions(coverage: DataFrame, excluded_states: Sequence[str], state: str = "uf", year: str = "year") -> DataFrame:
     listed = F.coalesce(F.col(state).isin(list(excluded_states)), F.lit(False))
     reason = "Excessive missing spatial coverage in point map (manual visual review)."

@@ -255,15 +255,32 @@ def assign_polygon(
     points: DataFrame,
     index: DataFrame,
     size: float,
-    order: Sequence[Column],
+    order: Sequence[str],
     point_id: str = "id",
     x: str = "x",
     y: str = "y",
     boundary: bool = False,
+    prefer: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Left join to the first matching polygon by ``order``; unmatched points stay."""
-    matches = points_in_polygons(points, index, size, point_id, x, y, boundary, "left")
-    return latest_by(matches, [point_id], order, smallest=True)
+    """Left join to the first matching polygon by its columns ``order``; unmatched points stay.
+
+    All polygons that can hold a point cover its cell, so they are put into one ordered
+    array per cell (bounded by how many overlap there) and the point takes the first
+    that holds it: no pairs, no aggregate.  With ``prefer`` (point column, polygon
+    column) polygons that agree in it come first.
+    """
+    keys = [c for c in index.columns if c not in ("__cx", "__cy", "edges")]
+    polygon = F.struct(*order, *[k for k in keys if k not in order], "edges")
+    cells = index.groupBy("__cx", "__cy").agg(F.array_sort(F.collect_list(polygon)).alias("__polygons"))
+    located = salted_join(_with_cells(points, x, y, size), cells, ["__cx", "__cy"], [point_id], "left")
+    hits = F.filter("__polygons", lambda p: G.inside(F.col(x), F.col(y), p["edges"], boundary))
+    kept = F.transform(hits, lambda p: F.struct(*[p[k].alias(k) for k in keys]))
+    first = F.get("__hits", F.lit(0))
+    if prefer:
+        own = F.filter("__hits", lambda p: p[prefer[1]] == F.col(prefer[0]))
+        first = F.coalesce(F.get(own, F.lit(0)), first)
+    chosen = located.withColumn("__hits", kept).withColumn("__first", first)
+    return chosen.select(*points.columns, *[F.col(f"__first.{k}").alias(k) for k in keys])
 
 
 def polygons_near_corridor(

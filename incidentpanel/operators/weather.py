@@ -33,7 +33,7 @@ def scope_points(polygons: DataFrame, code: str = "codigo_municipio", wkt: str =
     )
     edges = polygon_edges(polygons.select(code, wkt), wkt, projected=True)
     index = polygon_index(edges, code, size)
-    owned = assign_polygon(centres, index, size, [F.col(code)], "source_code", boundary=True)
+    owned = assign_polygon(centres, index, size, [code], "source_code", boundary=True)
     back = unproject(F.col("x"), F.col("y"))
     placed = owned.withColumn("__g", back).select(
         F.coalesce(code, "source_code").alias(code),

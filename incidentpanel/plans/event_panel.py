@@ -34,6 +34,7 @@ COUNT_COLUMNS = [
     "veiculos",
 ]
 
+# Column names of the published tables.
 TERRITORY_TEXT = [
     "cd_uf",
     "nm_uf",
@@ -96,6 +97,9 @@ def standardise_events(raw: DataFrame, road: str = "101") -> DataFrame:
             columns[name] = F.upper(F.trim(name))
         elif name == "municipio":
             columns[name] = F.trim(name)
+        elif name == "id":
+            # Whole numbers beyond 2^53 do not survive a double.
+            columns[name] = F.coalesce(F.trim(name).try_cast("bigint"), C.numeric_text(name).try_cast("bigint"))
         elif name in {"km", "latitude", "longitude"} or name in COUNT_COLUMNS:
             columns[name] = C.numeric_text(name)
     base = raw.withColumns(columns)
@@ -227,10 +231,12 @@ def canonical_events(events: DataFrame, snapshots: DataFrame, settings: Corridor
     return checkpointed(events.sparkSession, shaped)
 
 
-def _located_in(events: DataFrame, scope: DataFrame, code: str, settings: CorridorSettings, order: list[Column]) -> DataFrame:
+def _located_in(
+    events: DataFrame, scope: DataFrame, code: str, settings: CorridorSettings, order: list[str], prefer: tuple[str, str] | None = None
+) -> DataFrame:
     edges = S.polygon_edges(scope.select(code, "sg_uf", "geometry"), projected=True)
     index = S.polygon_index(edges, code, settings.cell_m, ["sg_uf"])
-    return S.assign_polygon(events, index, settings.cell_m, order, "row_key").drop("sg_uf")
+    return S.assign_polygon(events, index, settings.cell_m, order, "row_key", prefer=prefer).drop("sg_uf")
 
 
 def _bounds(events: DataFrame, day: str) -> tuple[Column, Column]:
@@ -258,7 +264,7 @@ def municipality_panel(
     sections, _ = road_sections(scope, code, road_union(snapshots, settings), "municipio", settings)
     in_state = events.filter(F.col("uf") == state)
     canonical = canonical_events(in_state, snapshots, settings)
-    placed = _located_in(canonical, scope, code, settings, [F.col(code)]).join(scope.select(code, name), code, "left")
+    placed = _located_in(canonical, scope, code, settings, [code]).join(scope.select(code, name), code, "left")
     placed = checkpointed(events.sparkSession, placed.withColumn("accident_date", F.to_date("timestamp")))
     dated = in_state.filter(F.col("timestamp").isNotNull() & F.col("week_start").isNotNull())
     first, last = _bounds(dated.select(F.to_date("timestamp").alias("d")), "d")
@@ -287,8 +293,7 @@ def region_panel(
     sections, pieces = road_sections(scope, code, road_union(snapshots, settings), "rgi", settings)
     sections = checkpointed(spark, sections)
     canonical = canonical_events(events, snapshots, settings)
-    own_first = [F.when(F.col("sg_uf") == F.col("uf"), 0).otherwise(1), F.col("sg_uf"), F.col(code)]
-    placed = _located_in(canonical, scope, code, settings, own_first)
+    placed = _located_in(canonical, scope, code, settings, ["sg_uf", code], prefer=("uf", "sg_uf"))
     segments = pieces.select(code, *S.SEGMENT).join(sections.select(code, "section_id", "road_length_m"), code)
     matched = S.nearest_section(placed, segments, code, settings.buffer_m * 2, "row_key")
     matched = matched.join(scope.select(code, name, "cd_rgint", "nm_rgint"), code, "left").withColumns(

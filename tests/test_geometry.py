@@ -60,7 +60,7 @@ def test_points_in_polygons(spark, size, boundary):
 def test_first_match_keeps_unmatched(spark):
     df = spark.createDataFrame([(1, 2.5, 2.5), (2, 100.0, 100.0), (3, 9.0, 3.0)], "id long, x double, y double")
     index = S.polygon_index(S.polygon_edges(polygons(spark)), "code", 1.0)
-    got = {r["id"]: r["code"] for r in S.assign_polygon(df, index, 1.0, [F.col("code")]).collect()}
+    got = {r["id"]: r["code"] for r in S.assign_polygon(df, index, 1.0, ["code"]).collect()}
     assert got == {1: "a", 2: None, 3: "c"}
 
 
