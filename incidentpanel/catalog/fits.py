@@ -1,14 +1,19 @@
-"""Queries that fit models.  They have no SQL twin; the tests check them numerically."""
+"""Queries that fit models.
+
+The full models have no SQL twin; the closed forms next to them (one feature, one term,
+given kernels) do, and the tests check the same code numerically.
+"""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.calendars import day_features_panel, states
 from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, LOOKBACK, eval_splits, samples_by_week
 from incidentpanel.catalog.profiles import CATEGORIES, MODEL_KEYS, categorised, category_levels
 from incidentpanel.catalog.registry import query
-from incidentpanel.catalog.roles import INC, day_span, modelling_panel, pinned_panel, state_extras, table, week_splits
+from incidentpanel.catalog.roles import DAY_CTE, INC, daily_panel, day_span, incidents, modelling_panel, pinned_panel, state_extras, table, week_splits
 from incidentpanel.functions.temporal import calendar_cycles
 from incidentpanel.models import glm, minirocket, pooled, ridge, seasonal
 from incidentpanel.operators import evaluate as E
@@ -104,12 +109,108 @@ def group_models(spark, sf):
     forecasts = pooled.pooled_forecasts(rows, features)
     sizes = rows.groupBy("group_name").agg(F.count_distinct("rgi_id").alias("n"))
     scored = E.evaluate_by(forecasts, ["group_name", "architecture", "split"])
-    key = F.concat(
-        "group_name", F.lit(f"|history={HISTORY}|horizon={HORIZON}|latency={GAP}|lags={'-'.join(map(str, LAGS))}|rgis="), F.col("n").cast("string")
-    )
+    key = F.concat("group_name", F.lit(pooled.key_settings(HISTORY, HORIZON, GAP, LAGS)), F.col("n").cast("string"))
     return scored.join(sizes, "group_name").withColumn("comparison_key", key).drop("n")
 
 
+@query(
+    "ridge_closed_form",
+    f"""WITH {DAY_CTE}, rm AS (SELECT codigo_municipio, CAST(count(*) AS DOUBLE) AS n, avg(day(accident_date)) AS mx, avg(accident_count) AS my,
+          sum(day(accident_date) * accident_count) AS sxy, sum(day(accident_date) * day(accident_date)) AS sxx FROM dp GROUP BY 1),
+        rb AS (SELECT *, (sxy - n * mx * my) / (sxx - n * mx * mx + 1000.0) AS beta FROM rm)
+        SELECT codigo_municipio, CAST(n AS BIGINT) AS n_train, round(beta, 6) AS coefficient, round(my - mx * beta, 6) AS intercept FROM rb""",
+)
+def ridge_closed_form(spark, sf):
+    """One feature (day of the month) and one penalty, where the ridge has a closed form."""
+    one = F.lit(1.0)
+    rows = daily_panel(spark, sf, victims=False).select(
+        TOWN,
+        F.lit("train").alias("split"),
+        F.array(F.dayofmonth(DAY).cast("float")).alias("features"),
+        F.col("accident_count").cast("double").alias("y_scaled"),
+        F.lit(0.0).alias("y_mean"),
+        one.alias("y_std"),
+    )
+    return ridge.train_per_entity(rows, TOWN, [1000.0]).select(
+        TOWN, "n_train", F.get("coefficients", F.lit(0)).alias("coefficient"), "intercept"
+    )
+
+
+@query(
+    "kernel_shares",
+    f"""WITH {INC},
+        mo AS (SELECT codigo_municipio, year, month(d) - 1 AS t, count(*) AS x FROM inc GROUP BY 1, 2, 3),
+        wn AS (SELECT DISTINCT codigo_municipio, year FROM mo),
+        tp AS (SELECT unnest(range(0, 9)) AS j), ts AS (SELECT unnest(range(0, 12)) AS t),
+        dl(i, dil) AS (VALUES (0, 1), (1, 2)),
+        tr AS (SELECT a.j AS a, b.j AS b, c.j AS c, row_number() OVER (ORDER BY a.j, b.j, c.j) - 1 AS k FROM tp a, tp b, tp c WHERE a.j < b.j AND b.j < c.j),
+        tap AS (SELECT w.codigo_municipio, w.year, dl.i, dil, ts.t, tp.j, coalesce(mo.x, 0) AS x FROM wn w, dl, ts, tp
+                LEFT JOIN mo ON mo.codigo_municipio = w.codigo_municipio AND mo.year = w.year AND mo.t = ts.t + (tp.j - 4) * dil),
+        rs AS (SELECT codigo_municipio, year, i, dil, t, k, sum(CASE WHEN j IN (a, b, c) THEN 2 ELSE -1 END * x) AS r FROM tap, tr GROUP BY 1, 2, 3, 4, 5, 6)
+        SELECT codigo_municipio, year, i * 84 + k AS feature, round(avg(CAST(r > 0.5 AS DOUBLE)), 5) AS share FROM rs
+        WHERE (i + k) % 2 = 0 OR 12 <= 8 * dil OR t BETWEEN 4 * dil AND 11 - 4 * dil GROUP BY 1, 2, 3""",
+)
+def kernel_shares(spark, sf):
+    """All 84 kernels at two dilations with a given bias, on the twelve monthly counts of a territory's year."""
+    events = incidents(spark, sf, victims=False)
+    monthly = events.groupBy(TOWN, "year", F.month(DAY).alias("m")).agg(F.count("*").alias("n"))
+    by_month = monthly.groupBy(TOWN, "year").agg(F.map_from_entries(F.collect_list(F.struct("m", "n"))).alias("n"))
+    series = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.coalesce(F.try_element_at("n", m), F.lit(0)).cast("float"))
+    samples = by_month.select(TOWN, "year", F.array(series).alias("sequence"))
+    only = [np.array([0])] * len(minirocket.TRIPLES)
+    bias = [np.array([0.5], np.float32)] * len(minirocket.TRIPLES)
+    rocket = minirocket.Rocket([1, 2], [only, only], [bias, bias])
+    made = minirocket.featurize(samples, rocket)
+    return made.select(TOWN, "year", F.posexplode("features").alias("feature", "share")).withColumn("share", F.round(F.col("share").cast("double"), 5))
+
+
+ONE_TERM = f"""WITH {DAY_CTE}, g AS (SELECT lpad(CAST(month(accident_date) AS VARCHAR), 2, '0') AS level_label, avg(accident_count) AS m,
+          sum(fatal_accident_count) / CAST(sum(accident_count) AS DOUBLE) AS p FROM dp GROUP BY 1),
+        r AS (SELECT m AS m0, p AS p0 FROM g WHERE level_label = '01')"""
+
+
+def one_term(spark, sf, family):
+    """GLM of the daily counts (or of the share of fatal ones) on the month alone, against January."""
+    frame = daily_panel(spark, sf).select("month", "accident_count", "fatal_accident_count")
+    terms = [("month", f"{m:02d}") for m in range(2, 13)]
+    if family == "poisson":
+        model = glm.fit_glm(glm.design(frame.select("month", "accident_count"), terms), "poisson", "accident_count")
+    else:
+        used = frame.filter("accident_count > 0").withColumn("share", F.col("fatal_accident_count") / F.col("accident_count"))
+        model = glm.fit_glm(glm.design(used, terms), "binomial", "share", "accident_count")
+    made = glm.coefficient_table(model, terms, spark)
+    return made.select("level_label", F.round("coefficient", 4).alias("coefficient"))
+
+
+@query("poisson_one_term", f"{ONE_TERM} SELECT level_label, round(ln(m / m0), 4) AS coefficient FROM g, r WHERE level_label <> '01'")
+def poisson_one_term(spark, sf):
+    return one_term(spark, sf, "poisson")
+
+
+@query("binomial_one_term", f"{ONE_TERM} SELECT level_label, round(ln(p / (1 - p)) - ln(p0 / (1 - p0)), 4) AS coefficient FROM g, r WHERE level_label <> '01'")
+def binomial_one_term(spark, sf):
+    return one_term(spark, sf, "binomial")
+
+
+@query(
+    "joint_ranking",
+    """WITH v AS (SELECT DISTINCT o_orderpriority AS variable, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS k FROM orders),
+       j AS (SELECT variable, CASE WHEN k <> 1 THEN k % 4 END AS c, CASE WHEN k <> 5 THEN k * 3 % 4 END AS s FROM v),
+       t AS (SELECT *, coalesce(c, 0) + coalesce(s, 0) AS score FROM j)
+       SELECT variable, score AS overall_candidate_score, CASE WHEN c IS NOT NULL THEN 'count' ELSE 'severity' END AS reference_level,
+         CASE WHEN score >= 5 THEN 'high_priority' WHEN score >= 3 THEN 'promising' WHEN score >= 1 THEN 'watchlist' ELSE 'low_priority' END AS overall_candidate_tier FROM t""",
+)
+def joint_ranking(spark, sf):
+    """The joint ranking alone, on given scores; each side lacks one variable."""
+    k = F.substring("o_orderpriority", 1, 1).cast("int")
+    v = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("variable"), k.alias("k")).distinct()
+    count = v.filter("k <> 1").select("variable", (F.col("k") % 4).alias("count_candidate_score"), F.lit("count").alias("count_reference_level"))
+    severity = v.filter("k <> 5").select(
+        "variable", (F.col("k") * 3 % 4).alias("severity_candidate_score"), F.lit("severity").alias("severity_reference_level")
+    )
+    return P.overall_ranking(count, severity).select("variable", "overall_candidate_score", "reference_level", "overall_candidate_tier")
+
+
 def screening(spark, sf, family):
     """Audit, coefficients and tiers of one GLM on the cell frame."""
     events = categorised(spark, sf)

@@ -17,9 +17,14 @@ from incidentpanel.operators.keys import union_all
 FAMILIES = ("linear", "boosted_trees")
 
 
-def comparison_key(group: str, history: int, horizon: int, gap: int, lags: Sequence[int], regions: int) -> str:
+def key_settings(history: int, horizon: int, gap: int, lags: Sequence[int]) -> str:
+    """The part of a comparison key between the group and its number of regions."""
     joined = "-".join(str(lag) for lag in lags)
-    return f"{group}|history={history}|horizon={horizon}|latency={gap}|lags={joined}|rgis={regions}"
+    return f"|history={history}|horizon={horizon}|latency={gap}|lags={joined}|rgis="
+
+
+def comparison_key(group: str, history: int, horizon: int, gap: int, lags: Sequence[int], regions: int) -> str:
+    return f"{group}{key_settings(history, horizon, gap, lags)}{regions}"
 
 
 def step_rows(samples: DataFrame, history: int, lags: int, horizon: int) -> tuple[DataFrame, list[str]]:

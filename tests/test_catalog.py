@@ -22,7 +22,7 @@ from tools.compare import TABLES, rows  # noqa: E402
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="shared tables are not here")
 # These fit models for a while; test_models.py checks the same code on small data.
-SLOW = {"grid_selection", "seasonal_forecasts", "group_models", "ridge_per_entity", "model_scores", "recursive_forecast"}
+SLOW = {"minirocket_features", "grid_selection", "seasonal_forecasts", "group_models", "ridge_per_entity", "model_scores", "recursive_forecast"}
 
 
 @pytest.fixture(scope="module")
