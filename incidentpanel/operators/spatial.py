@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from incidentpanel.functions import geometry as G
 from incidentpanel.functions.crs import project
+from incidentpanel.session import checkpointed
 from incidentpanel.skew import latest_by, salted_join
 
 SEGMENT = ("x1", "y1", "x2", "y2")
@@ -186,10 +187,20 @@ def corridor_flag(
     y: str = "y",
     name: str = "inside_corridor",
 ) -> DataFrame:
-    """All points with a flag; points without coordinates are outside."""
-    usable = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(point_id, x, y)
-    hits = within_corridor(usable, segments, distance, point_id, x, y).select(point_id, F.lit(True).alias(name))
-    return points.join(hits, point_id, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    """All points with a flag; points without coordinates are outside.
+
+    The road pieces that reach into a cell stand in one array, so a point meets its cell
+    once and keeps its row: one join, nothing joined back.
+    """
+    size = max(float(distance), 1e-9)
+    pieces = _cover(segments.select(*SEGMENT).distinct(), float(distance), size)
+    cells = pieces.groupBy("__cx", "__cy").agg(F.collect_list(F.struct(*SEGMENT)).alias("__pieces"))
+    located = salted_join(_with_cells(points, x, y, size), cells, ["__cx", "__cy"], [point_id], "left")
+    near = F.exists(
+        "__pieces",
+        lambda p: G.point_segment_distance(F.col(x), F.col(y), *[p[c] for c in SEGMENT]) <= F.lit(float(distance)),
+    )
+    return located.select(*points.columns, F.coalesce(near, F.lit(False)).alias(name))
 
 
 def corridor_area(segments: DataFrame, distance: float, cell: float) -> DataFrame:
@@ -395,7 +406,8 @@ def nearest_section(
     from at most a hundred boxes per territory, those boxes that can hold their
     nearest segment, and are compared with the segments of these boxes only.
     """
-    segs = sections.select(F.col(territory), "section_id", "road_length_m", *SEGMENT)
+    # Read by the near and by the far search.
+    segs = checkpointed(sections.sparkSession, sections.select(F.col(territory), "section_id", "road_length_m", *SEGMENT))
     usable = points.filter(F.col(territory).isNotNull()).select(point_id, territory, x, y)
     size = float(reach)
     near = salted_join(
