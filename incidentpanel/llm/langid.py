@@ -219,8 +219,13 @@ def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least: float = 0.5) -> DataFrame:
-    """The documents whose language is told with at least probability ``least``, all columns kept."""
+def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least: float = 0.0) -> DataFrame:
+    """The documents that have a language, all columns kept.
+
+    Rejected are null texts, texts without a letter, and with ``least`` also texts whose
+    language is less probable; a short clean text may be even between two languages, so
+    by default no such text goes.
+    """
     model = train(training_rows(docs, modulus, remainder))
     mark = "__langid"
     marked = docs.withColumn(mark, predicted(docs, model, F.col("text")))
