@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentpanel.session import checkpointed, scratch_path, tune
+from incidentpanel.session import checkpointed, own_scratch, scratch_path, tune
+from incidentpanel.skew import salted_join
 
 # Whole texts travel to Python workers, so batches are bounded by bytes as well as rows.
 BATCH_CONF = {
@@ -18,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Library settings plus small Arrow batches."""
-    tune(spark)
+    """Library settings, small Arrow batches, and a scratch folder where a local session has none."""
+    tune(own_scratch(spark))
     for key, value in BATCH_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -42,6 +43,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# The largest table to broadcast, in bytes of its rows' content.
+BROADCAST_BYTES = 16 << 20
+
+
+def join_sized(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner", weight=None) -> DataFrame:
+    """Join a pinned, usually small table whose size is measured first.
+
+    Up to ``BROADCAST_BYTES`` it is broadcast, so the big side (often whole texts) stays
+    where it is; beyond that both sides are shuffled with hot keys of the big side cut
+    into sub-keys by ``spread_by``.  ``weight`` gives a row's bytes (by default 16).
+    """
+    size = small.agg(F.sum(F.lit(16) if weight is None else weight)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return big.join(F.broadcast(small), keys, how)
+    return salted_join(big, small, keys, spread_by, how)
+
+
 def bucket(column: str, modulus: int):
     """crc32 of a key written as text, modulo ``modulus`` (null stays null)."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(modulus))

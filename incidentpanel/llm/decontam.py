@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentpanel.llm.common import ascii_lower, pinned
+from incidentpanel.llm.common import ascii_lower, join_sized, pinned
 
 WINDOW = 10
 SHINGLE = 3
@@ -84,15 +84,18 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
             ],
         )
     )
-    wanted = tokens.select("h").distinct()
+    wanted = pinned(tokens.select("h").distinct())
     slim = keyed.select("__key", F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)).alias("w"))
     matches = pinned(
         reduce(
             DataFrame.union,
             [
-                slim.select("__key", F.size("w").alias("n"), F.posexplode(_hashes(F.col("w"), k)).alias("pos", "h"))
-                .join(wanted, "h")
-                .select("__key", "n", "pos", "h")
+                join_sized(
+                    slim.select("__key", F.size("w").alias("n"), F.posexplode(_hashes(F.col("w"), k)).alias("pos", "h")),
+                    wanted,
+                    ["h"],
+                    ["__key", "pos"],
+                ).select("__key", "n", "pos", "h")
                 for k in sorted(sizes)
             ],
         ).distinct()
@@ -111,8 +114,9 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
         .select("__key", F.struct(start.alias("start"), "len", "wkey").alias("c"))
     )
     # Bounded by the length of one text.
-    lists = candidates.groupBy("__key").agg(F.collect_set("c").alias("__candidates"))
-    joined = keyed.join(lists, "__key", "left").withColumn(
+    lists = pinned(candidates.groupBy("__key").agg(F.collect_set("c").alias("__candidates")))
+    size = F.aggregate("__candidates", F.lit(16), lambda s, c: s + F.length(c["wkey"]) + 32)
+    joined = join_sized(keyed, lists, ["__key"], _ids(docs) or ["__key"], "left", size).withColumn(
         "__words", F.when(F.col("__candidates").isNotNull(), words_of(text))
     )
     words = F.col("__words")
@@ -122,6 +126,10 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
     return joined.withColumn("__hits", F.when(F.size(real) > 0, real)).drop("__words", "__candidates")
 
 
+def _ids(docs: DataFrame) -> list[str]:
+    return [c for c in ("doc_id",) if c in docs.columns]
+
+
 def _covered(hits: Column) -> Column:
     """Words inside any window: lengths of the union of the intervals."""
     zero = F.struct(F.lit(0).cast("long").alias("covered"), F.lit(0).cast("long").alias("upto"))
@@ -152,12 +160,13 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
         )
     )
     found = marked.where("found is not null").select("__key", F.explode("found").alias("wkey")).distinct()
-    items = (
+    items = pinned(
         found.join(windows.select("wkey", "item"), "wkey")
         .groupBy("__key")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    joined = marked.join(items, "__key", "left")
+    size = F.aggregate("items", F.lit(16), lambda s, x: s + F.length(x) + 16)
+    joined = join_sized(marked, items, ["__key"], ["doc_id"], "left", size)
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
         "doc_id",

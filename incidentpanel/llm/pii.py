@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentpanel.llm.common import pinned
+from incidentpanel.llm.common import join_sized, pinned
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 8
@@ -213,7 +213,13 @@ def found_spans(marked: DataFrame, accepted: DataFrame) -> DataFrame:
             F.concat(out, F.array(x))
         ),
     )
-    return lists.select("__key", clear.alias("__found"))
+    return pinned(lists.select("__key", clear.alias("__found")))
+
+
+def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of one text may be a third of all: the few found spans go to the rows, not the other way round."""
+    size = F.aggregate("__found", F.lit(16), lambda s, x: s + F.length(x["value"]) + 32)
+    return join_sized(rows, found, ["__key"], [c for c in ("doc_id",) if c in rows.columns] or ["__key"], "left", size)
 
 
 def _all_spans(base: Column, found: Column) -> Column:
@@ -240,7 +246,7 @@ def report(docs: DataFrame, **settings) -> DataFrame:
     """
     marked = pinned(with_mentions(docs.select("doc_id", "text")).select("doc_id", "__key", "__base", "__loose"))
     found = found_spans(marked, discover(marked, **settings))
-    joined = marked.join(found, "__key", "left")
+    joined = _with_found(marked, found)
     seeds = _all_spans(F.col("__base"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>"))
     kinds = F.transform("__base", lambda m: m["kind"])
     counts = [
@@ -261,7 +267,7 @@ def masked(docs: DataFrame, **settings) -> DataFrame:
     """
     marked = pinned(with_mentions(docs.select("text")).select("__key", "__base", "__loose"))
     found = found_spans(marked, discover(marked, **settings))
-    joined = with_mentions(docs).drop("__loose").join(found, "__key", "left")
+    joined = _with_found(with_mentions(docs).drop("__loose"), found)
     # A key is a hash: a span of another text with the same hash would not hold the same value.
     real = F.filter("__found", lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]) == s["value"])
     spans = joined.withColumn("__spans", _all_spans(F.col("__base"), real))
