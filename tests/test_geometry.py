@@ -193,3 +193,12 @@ def test_scope_contains_touching_polygons(spark):
     road = spark.createDataFrame([(50.0, 50.0, 100.0, 50.0)], "x1 double, y1 double, x2 double, y2 double")
     made = S.polygons_near_corridor(polys, S.polygon_edges(polys), road, "code", 0.5, 7.0)
     assert {r["code"] for r in made.collect()} == {"holds", "near"}
+
+
+def test_first_match_needs_no_aggregate_over_points(spark):
+    points = spark.range(50).select("id", (F.col("id") * 1.0).alias("x"), F.lit(0.5).alias("y"), F.lit("payload").alias("p"))
+    index = S.polygon_index(S.polygon_edges(polygons(spark)), "code", 1.0)
+    plan = S.assign_polygon(points, index, 1.0, ["code"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    flag = S.corridor_flag(points, spark.createDataFrame([(0.0, 0.0, 9.0, 0.0)], "x1 double, y1 double, x2 double, y2 double"), 1.0)
+    assert {r["id"] for r in flag.filter("inside_corridor").collect()} == set(range(10))

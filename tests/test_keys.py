@@ -86,3 +86,23 @@ def test_upsert_is_idempotent(spark):
     twice = K.upsert(once, new, ["k"], order)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("a", 2, "z"), ("b", 1, "y"), ("c", 1, "w")]
     assert latest_by(old, ["k"], order, smallest=True).count() == 2
+
+
+def test_feature_profile_of_large_values(spark):
+    from incidentpanel.operators.profile import feature_profile
+
+    df = spark.createDataFrame([(1e9,), (1e9 + 1,), (1e9 + 2,), (None,), (1e9,)], "v double")
+    r = feature_profile(df, ["v"]).collect()[0]
+    assert (r["non_null_count"], r["null_count"], r["n_unique"]) == (4, 1, 3)
+    assert r["std"] == pytest.approx(0.829156, abs=1e-6) and r["mean"] == pytest.approx(1e9 + 0.75)
+
+
+def test_scratch_folder_is_required():
+    from types import SimpleNamespace
+
+    from incidentpanel.session import scratch_root
+
+    context = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda k: None), getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(session)

@@ -193,3 +193,47 @@ def test_poisson_glm_matches_irls(spark):
 
 def test_comparison_key():
     assert pooled.comparison_key("low_activity", 2, 1, 1, (1, 2), 3) == "low_activity|history=2|horizon=1|latency=1|lags=1-2|rgis=3"
+
+
+def test_minirocket_draws_a_window_for_each_kernel_and_dilation():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(40, 2, 90)).astype(np.float32)
+    rocket = minirocket.fit(x, 84 * 12, seed=5)
+    assert len(rocket.dilations) > 2 and rocket.n_features == 84 * 12
+    # Windows of very different size: the size of a kernel's biases tells which window they came from.
+    scaled = x[:10] * (10.0 ** np.arange(10))[:, None, None].astype(np.float32)
+    rocket = minirocket.fit(scaled, 84 * 12, seed=5)
+    for biases in rocket.biases:
+        assert len({round(float(np.log10(np.abs(b).max()))) for b in biases}) > 5
+
+
+def test_wide_ridge_equals_the_primal_solution():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(20, 50)), rng.normal(size=20)
+    coefs, intercepts, _ = ridge.solve_path(x, y, [0.5, 20.0])
+    for k, alpha in enumerate((0.5, 20.0)):
+        xc, yc = x - x.mean(0), y - y.mean()
+        beta = np.linalg.solve(xc.T @ xc + alpha * np.eye(50), xc.T @ yc)
+        assert np.allclose(coefs[k], beta) and intercepts[k] == pytest.approx(y.mean() - x.mean(0) @ beta)
+
+
+def test_samples_are_fitted_and_scored_like_their_features(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for town in ("a", "b"):
+        for i in range(50):
+            split = "train" if i < 35 else ("validation" if i < 43 else "test")
+            sequence = [[float(v) for v in rng.normal(size=20)] for _ in range(2)]
+            rows.append((town, i, split, sequence, float(rng.normal()), float(rng.normal()), 1.0, 2.0))
+    df = spark.createDataFrame(
+        rows, "town string, i int, split string, sequence array<array<float>>, y_raw double, y_scaled double, y_mean double, y_std double"
+    )
+    rocket = minirocket.fit_on(df, 168, seed=1)
+    features = minirocket.featurize(df, rocket)
+    stored = {r["town"]: r for r in ridge.train_per_entity(features, "town").collect()}
+    models = ridge.train_per_entity(df, "town", rocket=rocket)
+    for r in models.collect():
+        assert r["alpha"] == stored[r["town"]]["alpha"] and np.allclose(r["coefficients"], stored[r["town"]]["coefficients"], atol=1e-6)
+    want = {(r["town"], r["i"]): r["prediction"] for r in ridge.score(features, models, "town").collect()}
+    got = {(r["town"], r["i"]): r["prediction"] for r in ridge.score_samples(df, models, "town", rocket).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-4) for k in want)

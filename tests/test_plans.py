@@ -281,3 +281,11 @@ def test_table_round_trips(spark):
     assert "PartitionFilters" in plan
     with pytest.raises(ValueError, match="available: id, year, v"):
         R.ingest_territories(df, {"nope": "x"}, "municipio")
+
+
+def test_event_ids_beyond_doubles_stay_whole(spark):
+    from incidentpanel.functions import clean as C
+
+    ids = spark.createDataFrame([("9007199254740993",), (" 12 ",), ("7,0",), ("x",)], "id string")
+    made = ids.select(F.coalesce(F.trim("id").try_cast("bigint"), C.numeric_text("id").try_cast("bigint")).alias("id"))
+    assert [r["id"] for r in made.collect()] == [9007199254740993, 12, 7, None]
