@@ -15,7 +15,11 @@ def event_stream(spark, sf, late):
 
 
 def counted(spark, sf, weekly):
-    """Count inside the stream; windows the watermark has not closed are read from the update log."""
+    """Count inside the stream; windows the watermark has not closed are read from the update log.
+
+    The feed is one file, so no event is late; with several, later ones reach the panel
+    through the batch history.
+    """
     stream = O.deduplicated(event_stream(spark, sf, "2 days"), ["event_id"])
     counts = O.windowed_counts(stream, "ts", ["event_type"], weekly)
     data, checkpoint = O.run_folders(spark, "counts")

@@ -20,10 +20,23 @@ from incidentpanel.skew import latest_by
 
 
 def read_events(
-    spark: SparkSession, folder: str, schema: T.StructType, time: str, late: str, files: str = "*"
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    time: str,
+    late: str,
+    files: str = "*",
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """File stream with an event-time watermark.  Event time must be a TIMESTAMP."""
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+    """File stream with an event-time watermark.  Event time must be a TIMESTAMP.
+
+    With ``files_per_trigger`` the files are taken in order of their arrival; an event
+    that arrives more than ``late`` behind the newest one seen is left to the batch history.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    raw = reader.parquet(folder)
     return raw.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
 
 
@@ -85,6 +98,16 @@ def read_overlay(spark: SparkSession, overlay: str, keys: Sequence[str], order:
     return latest_by(spark.read.parquet(overlay).drop("batch_id"), keys, order)
 
 
+def compact_overlay(spark: SparkSession, overlay: str, target: str, keys: Sequence[str], order: Sequence[Column]) -> str:
+    """Rewrite the stored batches below a new folder as one, newest row per key.
+
+    It gets the batch id -1, so batches that a restarted stream stores there later stand
+    beside it; the old folder is left to its owner.
+    """
+    read_overlay(spark, overlay, keys, order).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    return target
+
+
 def merged_view(history: DataFrame, overlay: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Batch history with the overlay on top."""
     return upsert(history, overlay, keys, order)

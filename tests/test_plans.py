@@ -289,3 +289,41 @@ def test_event_ids_beyond_doubles_stay_whole(spark):
     ids = spark.createDataFrame([("9007199254740993",), (" 12 ",), ("7,0",), ("x",)], "id string")
     made = ids.select(F.coalesce(F.trim("id").try_cast("bigint"), C.numeric_text("id").try_cast("bigint")).alias("id"))
     assert [r["id"] for r in made.collect()] == [9007199254740993, 12, 7, None]
+
+
+def test_late_events_reach_the_panel_through_the_history(spark, tmp_path):
+    schema = spark.createDataFrame([], "event_id long, ts timestamp, code string").schema
+    arrivals = [
+        [(1, "2024-01-01 08:00:00"), (2, "2024-01-02 09:00:00")],
+        [(3, "2024-01-10 08:00:00"), (4, "2024-01-10 10:00:00")],
+        # Late events are judged by the watermark of the batch before.
+        [(7, "2024-01-10 11:00:00")],
+        # Nine days behind what was seen, and a repeated event.
+        [(5, "2024-01-01 12:00:00"), (4, "2024-01-10 10:00:00"), (6, "2024-01-11 07:00:00")],
+    ]
+    feed = str(tmp_path / "feed")
+    for rows in arrivals:
+        part = spark.createDataFrame([(i, t, "a") for i, t in rows], "event_id long, ts string, code string")
+        part.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(feed)
+    events = O.read_events(spark, feed, schema, "ts", "2 days", files="*.parquet", files_per_trigger=1)
+    counts = O.windowed_counts(O.deduplicated(events, ["event_id"]), "ts", ["code"])
+    data = str(tmp_path / "data")
+    order = [F.col("accident_count")]
+
+    def store(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{data}/batch_id={batch_id}")
+
+    writer = counts.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", str(tmp_path / "c"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    keys = ["code", "period_start"]
+
+    def as_dict(df):
+        return {str(r["period_start"]): r["accident_count"] for r in df.collect()}
+
+    overlay = as_dict(O.read_overlay(spark, data, keys, order))
+    assert overlay["2024-01-01"] == 1 and overlay["2024-01-10"] == 3
+    history = spark.read.parquet(feed).distinct().groupBy("code", F.to_date("ts").alias("period_start")).agg(F.count("*").alias("accident_count"))
+    whole = {"2024-01-01": 2, "2024-01-02": 1, "2024-01-10": 3, "2024-01-11": 1}
+    assert as_dict(O.merged_view(history, O.read_overlay(spark, data, keys, order), keys, order)) == whole
+    compacted = O.compact_overlay(spark, data, str(tmp_path / "compacted"), keys, order)
+    assert as_dict(O.read_overlay(spark, compacted, keys, order)) == overlay
