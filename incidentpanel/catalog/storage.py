@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -298,7 +300,21 @@ def published_order(spark, sf):
     )
 
 
-@query("dataset_paths", "SELECT r_name, 's3a://lake/gold/panel/uf=' || r_name AS path FROM region")
+@query(
+    "dataset_paths",
+    f"""WITH {INC} SELECT uf, 's3a://lake/gold/panel/uf=' || uf AS path, count(*) AS rows FROM inc GROUP BY 1""",
+)
 def dataset_paths(spark, sf):
-    base = R.dataset_uri("s3://lake/", "/gold/panel/", "uf=")
-    return table(spark, sf, "region").select("r_name", F.concat(F.lit(base), "r_name").alias("path"))
+    """A logical dataset below a root: one partition per state resolved and read; the same name below an object store."""
+    events = incidents(spark, sf, victims=False).select("id", "uf")
+    root = scratch_path(spark, "lake")
+    W.write_table(events, R.dataset_uri(root, "/gold/panel/"), ["uf"])
+    # One row per state: a short list.
+    states = [r[0] for r in events.select("uf").distinct().orderBy("uf").collect()]
+    parts = [
+        spark.read.parquet(R.dataset_uri(root, "gold/panel", f"uf={uf}")).agg(F.count("*").alias("rows")).select(
+            F.lit(uf).alias("uf"), F.lit(R.dataset_uri("s3://lake/", "/gold/panel/", f"uf={uf}")).alias("path"), "rows"
+        )
+        for uf in states
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

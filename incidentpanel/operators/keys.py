@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentpanel.functions.labels import rule_condition
+from incidentpanel.session import checkpointed
 from incidentpanel.skew import latest_by
 from incidentpanel.sources.writers import align_to
 
@@ -93,96 +94,58 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    accuracy: int = 2_000,
-    limit: int = 50_000,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles of whole columns, one row per column and probability.
 
-    Every wanted rank starts with the bracket (min, max).  A sketch narrows each
-    bracket to about a hundredth and a count tells what lies below and inside,
-    until at most ``limit`` values are left or the bracket is a single value.
-    Only the values left are ranked, equal ones counted as one row.  The
-    narrowing passes run at once and bring back a few numbers each.  A bracket
-    that misses its rank stops the job instead of giving a wrong value.
+    Equal values are counted before they move, so a hot value is one row.  One range sort
+    orders the distinct values; a checkpoint pins which partition holds which, and the
+    partitions' sizes, one row each, turn places inside a partition into ranks.  The input
+    is read once.
     """
-    value = {c: F.col(c).cast("double") for c in columns}
-    sizes = df.agg(
-        *[f(value[c]).alias(f"{c}:{n}") for c in columns for f, n in ((F.min, "lo"), (F.max, "hi"), (F.count, "n"))]
-    ).first()
-    # (column, probability) -> low, high, rows below, rows inside.
-    state = {
-        (c, float(p)): (sizes[f"{c}:lo"], sizes[f"{c}:hi"], 0, sizes[f"{c}:n"]) for c in columns for p in probabilities
-    }
-    wide = {k for k, (lo, hi, _, n) in state.items() if n > limit and lo < hi}
-    while wide:
-        # Ranks that share a bracket share one sketch.
-        shared: dict[tuple, list] = {}
-        for c, p in sorted(wide):
-            lo, hi, below, n = state[(c, p)]
-            at = (p * (sizes[f"{c}:n"] - 1) - below) / (n - 1)
-            slack = max(10.0 / accuracy, 2.0 / n)
-            shared.setdefault((c, lo, hi), []).append((p, max(at - slack, 0.0), min(at + slack, 1.0)))
-        cuts = df.agg(
-            *[
-                F.percentile_approx(
-                    F.when(value[c].between(lo, hi), value[c]), [q for _, a, b in asked for q in (a, b)], accuracy
-                ).alias(str(i))
-                for i, ((c, lo, hi), asked) in enumerate(shared.items())
-            ]
-        ).first()
-        narrowed = {}
-        for i, ((c, lo, hi), asked) in enumerate(shared.items()):
-            for j, (p, a, b) in enumerate(asked):
-                narrowed[(c, p)] = (lo if a == 0.0 else cuts[i][2 * j], hi if b == 1.0 else cuts[i][2 * j + 1])
-        counts = df.agg(
-            *[F.count_if(value[c] < lo).alias(f"b{i}") for i, ((c, _), (lo, _)) in enumerate(narrowed.items())],
-            *[F.count_if(value[c].between(lo, hi)).alias(f"n{i}") for i, ((c, _), (lo, hi)) in enumerate(narrowed.items())],
-        ).first()
-        again = set()
-        for i, (key, (lo, hi)) in enumerate(narrowed.items()):
-            shrunk = counts[f"n{i}"] < state[key][3]
-            state[key] = (lo, hi, counts[f"b{i}"], counts[f"n{i}"])
-            if shrunk and counts[f"n{i}"] > limit and lo < hi:
-                again.add(key)
-        wide = again
-    candidate = F.array(
+    pair = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns]
+    counted = (
+        df.select(F.inline(F.array(*pair)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("variable", "value")
+        .agg(F.count("*").alias("copies"))
+    )
+    placed = checkpointed(
+        df.sparkSession, counted.orderBy("variable", "value").withColumn("__part", F.spark_partition_id())
+    )
+    sizes = placed.groupBy("variable", "__part").agg(F.sum("copies").alias("__n"))
+    # One row per partition and column: bounded by the number of tasks.
+    earlier = Window.partitionBy("variable").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "variable",
+        "__part",
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        F.sum("__n").over(Window.partitionBy("variable")).alias("__total"),
+    )
+    before = Window.partitionBy("variable", "__part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("__before") + F.coalesce(F.sum("copies").over(before), F.lit(0))
+    ranked = (
+        placed.join(F.broadcast(offsets), ["variable", "__part"])
+        .withColumn("first", first)
+        .withColumn("last", F.col("first") + F.col("copies") - 1)
+    )
+    asked = F.array(
         *[
-            F.when(
-                value[c].between(lo, hi),
-                F.struct(
-                    F.lit(c).alias("variable"),
-                    F.lit(p).alias("p"),
-                    F.lit(below).cast("bigint").alias("below"),
-                    F.lit(p * (sizes[f"{c}:n"] - 1)).alias("position"),
-                    value[c].alias("value"),
-                ),
-            )
-            for (c, p), (lo, hi, below, _) in state.items()
+            F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("__total") - 1)).alias("position"))
+            for p in probabilities
         ]
     )
-    keys = ["variable", "p", "below", "position"]
-    inside = (
-        df.select(F.explode(F.array_compact(candidate)).alias("a"))
-        .select("a.*")
-        .groupBy(*keys, "value")
-        .agg(F.count("*").alias("copies"))
-    )
-    before = Window.partitionBy("variable", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = inside.withColumn(
-        "first", F.col("below") + F.coalesce(F.sum("copies").over(before), F.lit(0))
-    ).withColumn("last", F.col("first") + F.col("copies") - 1)
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("value")))
+    def holds(rank: Column) -> Column:
+        return rank.between(F.col("first"), F.col("last"))
 
-    picked = ranked.groupBy(*keys).agg(at(F.floor("position")).alias("lo"), at(F.ceil("position")).alias("hi"))
+    hits = F.filter(asked, lambda o: holds(F.floor(o["position"])) | holds(F.ceil(o["position"])))
+    near = ranked.select("variable", "value", "first", "last", F.inline(hits))
+    picked = near.groupBy("variable", "p", "position").agg(
+        F.max(F.when(holds(F.floor("position")), F.col("value"))).alias("lo"),
+        F.max(F.when(holds(F.ceil("position")), F.col("value"))).alias("hi"),
+    )
     found = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("position") - F.floor("position"))
-    missed = F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double")
-    return picked.select("variable", "p", F.when(found.isNull(), missed).otherwise(found).alias("quantile"))
+    return picked.select("variable", "p", found.alias("quantile"))
 
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
