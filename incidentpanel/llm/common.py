@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentpanel.session import checkpointed, own_scratch, scratch_path, tune
-from incidentpanel.skew import salted_join
 
 # Whole texts travel to Python workers, so batches are bounded by bytes as well as rows.
 BATCH_CONF = {
@@ -47,17 +46,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_BYTES = 16 << 20
 
 
-def join_sized(big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner", weight=None) -> DataFrame:
+def join_sized(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", weight=None) -> DataFrame:
     """Join a pinned, usually small table whose size is measured first.
 
     Up to ``BROADCAST_BYTES`` it is broadcast, so the big side (often whole texts) stays
-    where it is; beyond that both sides are shuffled with hot keys of the big side cut
-    into sub-keys by ``spread_by``.  ``weight`` gives a row's bytes (by default 16).
+    where it is; beyond that both sides are shuffled, and adaptive execution splits the
+    hot keys of the big side.  ``weight`` gives a row's bytes (by default 16).
     """
     size = small.agg(F.sum(F.lit(16) if weight is None else weight)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), keys, how)
-    return salted_join(big, small, keys, spread_by, how)
+    return big.join(small, keys, how)
 
 
 def bucket(column: str, modulus: int):

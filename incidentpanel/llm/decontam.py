@@ -94,7 +94,6 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
                     slim.select("__key", F.size("w").alias("n"), F.posexplode(_hashes(F.col("w"), k)).alias("pos", "h")),
                     wanted,
                     ["h"],
-                    ["__key", "pos"],
                 ).select("__key", "n", "pos", "h")
                 for k in sorted(sizes)
             ],
@@ -116,7 +115,7 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
     # Bounded by the length of one text.
     lists = pinned(candidates.groupBy("__key").agg(F.collect_set("c").alias("__candidates")))
     size = F.aggregate("__candidates", F.lit(16), lambda s, c: s + F.length(c["wkey"]) + 32)
-    joined = join_sized(keyed, lists, ["__key"], _ids(docs) or ["__key"], "left", size).withColumn(
+    joined = join_sized(keyed, lists, ["__key"], "left", size).withColumn(
         "__words", F.when(F.col("__candidates").isNotNull(), words_of(text))
     )
     words = F.col("__words")
@@ -126,10 +125,6 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
     return joined.withColumn("__hits", F.when(F.size(real) > 0, real)).drop("__words", "__candidates")
 
 
-def _ids(docs: DataFrame) -> list[str]:
-    return [c for c in ("doc_id",) if c in docs.columns]
-
-
 def _covered(hits: Column) -> Column:
     """Words inside any window: lengths of the union of the intervals."""
     zero = F.struct(F.lit(0).cast("long").alias("covered"), F.lit(0).cast("long").alias("upto"))
@@ -166,7 +161,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     size = F.aggregate("items", F.lit(16), lambda s, x: s + F.length(x) + 16)
-    joined = join_sized(marked, items, ["__key"], ["doc_id"], "left", size)
+    joined = join_sized(marked, items, ["__key"], "left", size)
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
         "doc_id",
@@ -180,6 +175,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """The documents without any benchmark window, all columns kept."""
+    """The documents without any benchmark window, all columns kept.
+
+    Null and empty texts and repeated rows stay; an empty benchmark removes nothing.
+    """
     marked = with_hits(docs, pinned(benchmark_windows(benchmark, window)), shingle)
     return marked.where(F.col("__hits").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -92,7 +92,12 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling:
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling: float = CEILING, seed: str = SEED) -> DataFrame:
-    """The documents themselves, each repeated as often as it is taken, with its ``copy`` number from 1."""
+    """The documents themselves, each repeated as often as it is taken, with its ``copy`` number from 1.
+
+    The cases of ``mix_plan`` hold here too: a source without words is not taken, and an
+    empty document of another source follows that source's rate.  If the documents have
+    a column ``copy``, the number is called ``mix_copy``.
+    """
     sizes = docs.select("source", word_count(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("size"))
     targets = source_targets(sizes, weights, budget, ceiling)
     own = [F.col(f"`{c}`") for c in docs.columns]

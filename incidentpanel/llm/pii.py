@@ -219,7 +219,7 @@ def found_spans(marked: DataFrame, accepted: DataFrame) -> DataFrame:
 def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of one text may be a third of all: the few found spans go to the rows, not the other way round."""
     size = F.aggregate("__found", F.lit(16), lambda s, x: s + F.length(x["value"]) + 32)
-    return join_sized(rows, found, ["__key"], [c for c in ("doc_id",) if c in rows.columns] or ["__key"], "left", size)
+    return join_sized(rows, found, ["__key"], "left", size)
 
 
 def _all_spans(base: Column, found: Column) -> Column:

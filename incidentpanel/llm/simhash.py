@@ -190,7 +190,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id.
 
-    Keeps every column.  Of rows repeated under that same id one stays.  Rows are
+    Keeps every column.  Of rows repeated under that same id one stays; null and empty
+    texts are one group; an empty table gives an empty table.  Rows are
     named by 96 bits of hashes over id and text, so null ids work too, and the
     join and the removal of repeated rows share one shuffle.
     """
