@@ -31,7 +31,7 @@ MIN_COUNT = 2
 SMOOTHING = 0.5
 UNKNOWN = "und"
 # Texts are worked on in runs of about this many characters.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 @lru_cache(maxsize=1)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are worked on in runs of about this many bytes, hashes in runs of this many items.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 # The six white-space bytes, A-Z, and multipliers of the splitmix64 generator.
 SPACE = np.zeros(256, bool)
@@ -105,7 +105,7 @@ def text_blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int,
 class Tally:
     """Sums counts by 64-bit keys, carrying further columns; holds a bounded number of keys."""
 
-    def __init__(self, limit: int = 1 << 20):
+    def __init__(self, limit: int = 1 << 19):
         self.limit, self.parts, self.held = limit, [], 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray, *carried: np.ndarray) -> None:
@@ -121,7 +121,7 @@ class Tally:
 
     def full(self) -> bool:
         """Merge what is held; true if it is still more than the limit."""
-        if self.held > 2 * self.limit:
+        if self.held > 1.5 * self.limit:
             self.parts = [self._sum(self.parts)]
             self.held = len(self.parts[0][0])
         return self.held > self.limit and len(self.parts) == 1
