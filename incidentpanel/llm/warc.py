@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from incidentpanel.llm.common import pinned
+from incidentpanel.llm.common import pinned, stored
 from incidentpanel.session import scratch_path
 
 # Payloads shorter than this are stored every time.
@@ -272,7 +272,8 @@ def round_trip(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write(pages.select("page_id", "url", "html"), path, least_bytes)
-    captures = assemble(read(spark, path, with_payload=False))
+    # Parsed once; the assembly reads the records three times.
+    captures = assemble(stored(read(spark, path, with_payload=False), "warc-records"))
     fields = F.col("metadata.fields")
     return captures.select(
         fields["page-id"].cast("long").alias("page_id"),
