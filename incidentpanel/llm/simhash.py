@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from incidentpanel.llm import overlap
 from incidentpanel.llm.common import components, pinned
 
 SHINGLE = 3
@@ -188,7 +189,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id.
+    """One document of each group of near copies: the one with the smallest id.
+
+    Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more,
+    directly or by a chain; this is not the threshold of the fingerprints above, whose
+    anchors cannot carry the bits such copies differ in (see ``overlap``).
 
     Keeps every column.  Of rows repeated under that same id one stays; null and empty
     texts are one group; an empty table gives an empty table.  Rows are
@@ -197,8 +202,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     name, check = "__simhash_row", "__simhash_check"
     named = docs.withColumns({name: F.xxhash64("doc_id", "text"), check: F.hash("text", "doc_id")})
-    slim = pinned(named.select("doc_id", name, check, fingerprint(F.col("text")).alias("fp")))
-    first = slim.join(groups(slim), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    slim = pinned(overlap.marked(named, ["doc_id", name, check]))
+    nodes = pinned(
+        slim.groupBy("node").agg(
+            F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.min(F.struct(name, check)).alias("pick")
+        )
+    )
+    roots = overlap.linked(nodes, named, [name, check])
+    rooted = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    found = rooted.drop("least_id").join(least, "root")
+    first = slim.select("doc_id", name, check, "node").join(found, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("root").agg(F.min(F.struct(name, check)).alias("row")).select("row.*")
     kept = named.join(chosen, [name, check], "left_semi").dropDuplicates([name, check])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -105,6 +105,37 @@ def test_null_ids_and_empty_tables(spark):
     assert simhash.keep_one(df.where("false")).count() == 0
 
 
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1 if words else 0))
+
+
+def test_kept_documents_against_jaccard_of_all_pairs(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    passage = rng.choices(vocabulary, k=25)
+    texts = [None, "", "one two", "One  TWO"]
+    for size in (8, 30, 60, 200, 1500):
+        for _ in range(6):
+            base = rng.choices(vocabulary, k=size) + passage * (size > 50)
+            texts.append(" ".join(base))
+            for edits in (1, 2, 3, max(1, size // 60), max(1, size // 40)):
+                copy = list(base)
+                for _ in range(edits):
+                    copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+                texts.append(" ".join(copy))
+                base = copy if edits == 2 else base
+    rng.shuffle(texts)
+    sets = [shingles(t) for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    prints = [brute_fingerprint(t) for t in texts]
+    assert sum((prints[a] ^ prints[b]).bit_count() > 2 for a, b in links) > 20
+    want = sorted(set(roots(len(texts), links)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == want
+
+
 def brute_vectors(rows, cosine):
     unit = []
     for _, v, _ in rows:
