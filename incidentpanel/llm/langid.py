@@ -2,12 +2,13 @@
 
 Words are runs of letters, lower-cased.  Training counts, per language, the words of all
 training texts and the n-grams of one to four letters inside them; tasks add up their own
-counts before Spark does.  The model keeps the words and n-grams that have at least the
-share ``P_MIN`` of all words or n-grams of their length (so at most 1 / P_MIN of each,
-which bounds what is broadcast) with their smoothed log frequency per language.  A text's
-score for a language is the sum over its words: a known word counts with its log
-frequency; an unseen one with the mean of its known four-letter n-grams, or if there
-are none, of three, two, one.  The scores become probabilities.
+counts before Spark does.  The model keeps every word and n-gram that occurs ``MIN_COUNT``
+times, however large the table is, with their smoothed log frequency per language.  The
+most frequent ones, up to ``HOT_BYTES``, are broadcast; the others stay a Spark table, and
+the words that are not among the frequent ones are scored by joins.  A text's score for a
+language is the sum over its words: a known word counts with its log frequency; an unseen
+one with the mean of its known four-letter n-grams, or if there are none, of three, two,
+one.  The scores become probabilities.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentpanel.llm.common import bucket, pinned
+from incidentpanel.llm.common import bucket, pinned, stored
 from incidentpanel.llm.tokens import Tally, lookup, mix, runs, span_hashes
 
 LONGEST = 4
-P_MIN = 1e-6
+WHOLE = 8
 MIN_COUNT = 2
+# The largest part of the model to broadcast, in bytes of its matrices.
+HOT_BYTES = 32 << 20
 SMOOTHING = 0.5
 UNKNOWN = "und"
 # Texts are worked on in runs of about this many characters.
@@ -73,7 +76,10 @@ def _words(offsets: np.ndarray, points: np.ndarray):
 
 
 def _count(docs: DataFrame, languages: list[str]) -> DataFrame:
-    """``(kind, item, language, n)``: kind 0 for words, n for n-grams of n letters."""
+    """``(kind, item, all, by)``: kind 0 for words, n for n-grams of n letters; ``by`` has the counts of languages.
+
+    The kinds from ``WHOLE`` on are the sums of all items, under item 0.
+    """
     index = {x: i for i, x in enumerate(languages)}
     names = ["kind", "item", "language", "n"]
 
@@ -88,8 +94,11 @@ def _count(docs: DataFrame, languages: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
 
         def add(kind: int, items: np.ndarray, language: np.ndarray, n: np.ndarray) -> None:
-            key = mix(items + mix((language * 8 + kind + 1).astype(np.uint64)))
+            key = mix(items + mix((language * 2 * WHOLE + kind + 1).astype(np.uint64)))
             tally.add(key, n, np.full(len(items), kind), items, language)
+            if kind < WHOLE:
+                sums = np.bincount(language, n, len(languages)).astype(np.int64)
+                add(kind + WHOLE, np.zeros(len(sums), np.uint64), np.arange(len(sums)), sums)
 
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "").to_pylist()
@@ -107,7 +116,9 @@ def _count(docs: DataFrame, languages: list[str]) -> DataFrame:
         yield from out()
 
     parts = docs.select("text", "lang").mapInArrow(run, "kind long, item long, language long, n long")
-    return parts.groupBy("kind", "item", "language").agg(F.sum("n").alias("n"))
+    # Tasks have added up their counts, so the one exchange needs no sums before it.
+    each = parts.repartition("kind", "item").groupBy("kind", "item", "language").agg(F.sum("n").alias("n"))
+    return each.groupBy("kind", "item").agg(F.sum("n").alias("all"), F.collect_list(F.struct("language", "n")).alias("by"))
 
 
 class Model:
@@ -157,45 +168,177 @@ class Model:
         return best, sure
 
 
-def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT) -> Model:
-    """The model of all texts of ``docs`` (text, lang) with a language.
+def _cuts(items: DataFrame, room: int) -> dict[int, int]:
+    """Per kind the least power of two so that at most ``room`` items have that count."""
+    bins = items.groupBy("kind", F.floor(F.log2("all")).alias("bin")).agg(F.count("*")).collect()
+    cuts = {}
+    for kind in range(LONGEST + 1):
+        left, cuts[kind] = room, 1 << 62
+        for size, many in sorted(((r[1], r[2]) for r in bins if r[0] == kind), reverse=True):
+            left -= many
+            if left < 0:
+                break
+            cuts[kind] = 1 << size
+    return cuts
+
+
+def train(docs: DataFrame, min_count: int = MIN_COUNT, hot_bytes: int = HOT_BYTES) -> tuple[Model, DataFrame | None]:
+    """The model of all texts of ``docs`` (text, lang) with a language, and what is not broadcast.
 
+    The second is a table ``(kind, item, logs)``, or none if the whole model is broadcast.
     Languages tie by order of their names.
     """
     spoken = docs.where(F.col("lang").isNotNull()).select("text", "lang")
     languages = sorted(r[0] for r in spoken.select("lang").distinct().collect())
     model = Model(languages)
     if not languages:
-        return model
-    counts = pinned(_count(spoken, languages))
-    sums = counts.groupBy("kind", "language").agg(F.sum("n")).collect()
-    items = counts.groupBy("kind", "item").agg(F.sum("n").alias("all"))
-    whole = {k: sum(r[2] for r in sums if r[0] == k) for k in range(LONGEST + 1)}
-    least = F.lit(min_count)
-    for kind, total in whole.items():
-        least = F.when(F.col("kind") == kind, max(min_count, int(np.ceil(p_min * total)))).otherwise(least)
-    kept = items.where(F.col("all") >= least).select("kind", "item")
-    frame = counts.join(kept, ["kind", "item"]).toPandas()
+        return model, None
+    counted = pinned(_count(spoken, languages).where((F.col("all") >= min_count) | (F.col("kind") >= WHOLE)))
+    sums = counted.where(F.col("kind") >= WHOLE).select(F.col("kind") - WHOLE, F.inline("by")).collect()
+    items = counted.where(F.col("kind") < WHOLE)
+    many = dict(map(tuple, items.groupBy("kind").agg(F.count("*")).collect()))
+    cuts = _cuts(items, hot_bytes // (8 * (len(languages) + 1) * (LONGEST + 1)))
+    cut = F.get(F.array(*[F.lit(cuts[k]).cast("long") for k in range(LONGEST + 1)]), F.col("kind").cast("int"))
+    spread = np.zeros((LONGEST + 1, len(languages)))
+    for kind, language, n in sums:
+        spread[kind, language] = n
+    below = spread + SMOOTHING * (np.array([many.get(k, 0) for k in range(LONGEST + 1)]) + 1)[:, None]
+    frame = items.where(F.col("all") >= cut).select("kind", "item", F.inline("by")).toPandas()
     for kind, rows in frame.groupby("kind"):
         known, at = np.unique(rows["item"].to_numpy().astype(np.int64).view(np.uint64), return_inverse=True)
         matrix = np.zeros((len(known), len(languages)))
         matrix[at, rows["language"].to_numpy()] = rows["n"].to_numpy()
-        spread = np.array([next((r[2] for r in sums if r[0] == kind and r[1] == k), 0) for k in range(len(languages))])
-        logs = np.log((matrix + SMOOTHING) / (spread + SMOOTHING * (len(known) + 1)))
-        model.tables[int(kind)] = (known, logs)
-    return model
+        model.tables[int(kind)] = (known, np.log((matrix + SMOOTHING) / below[int(kind)]))
+    if sum(len(known) for known, _ in model.tables.values()) == sum(many.values()):
+        return model, None
+    under = F.get(F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in below]), F.col("kind").cast("int"))
 
+    def log(k: Column) -> Column:
+        n = F.aggregate("by", F.lit(0).cast("long"), lambda s, x: s + F.when(x["language"] == k, x["n"]).otherwise(0))
+        return F.log((n + SMOOTHING) / F.get(under, k))
 
-def predicted(docs: DataFrame, model: Model, text: Column) -> Column:
-    """A struct (lang_pred, score) for a text column."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    each = F.sequence(F.lit(0), F.lit(len(languages) - 1))
+    return model, items.where(F.col("all") < cut).select("kind", "item", F.transform(each, log).alias("logs"))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        best, sure = held.value.predict(texts.fillna("").tolist())
-        return pd.DataFrame({"lang_pred": best, "score": sure})
 
-    return run(text)
+def _opened(docs: DataFrame, held, keep: list[str]) -> DataFrame:
+    """Adds ``worded``, the ``totals`` of the broadcast words, and the other words of each row."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for batch in batches:
+            texts = pc.fill_null(batch.column("__langid_text"), "").to_pylist()
+            for first, end, offsets, points in _blocks(texts):
+                size = end - first
+                unique, starts, ends, inverse, rows = _words(offsets, points)
+                at, logs = model._matrix(0, unique)
+                scores = np.zeros((len(unique), len(model.languages)))
+                scores[at >= 0] = logs[at[at >= 0]]
+                totals = np.stack([np.bincount(rows, scores[inverse, k], size) for k in range(len(model.languages))], axis=1)
+                other = at[inverse] < 0
+                both, times = np.unique(rows[other] * max(1, len(unique)) + inverse[other], return_counts=True)
+                row, word = np.divmod(both, max(1, len(unique)))
+                letters = {w: points[starts[w] : ends[w]].tobytes().decode("utf-32-le") for w in np.unique(word).tolist()}
+                bounds = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=size))]).astype(np.int32))
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * len(model.languages)), pa.array(totals.ravel().astype(float))),
+                    pa.ListArray.from_arrays(bounds, pa.array(unique[word].view(np.int64))),
+                    pa.ListArray.from_arrays(bounds, pa.array([letters[w] for w in word.tolist()], pa.string())),
+                    pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int64))),
+                ]
+                own = batch.slice(first, size)
+                yield pa.RecordBatch.from_arrays(
+                    [*(own.column(c) for c in [*keep, "__langid_row"]), pa.array(np.bincount(rows, minlength=size) > 0), *lists],
+                    [*keep, "__langid_row", "__worded", "__totals", "__word", "__letters", "__times"],
+                )
+
+    numbered = docs.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("__langid_row"), F.col("text").alias("__langid_text"))
+    extra = "`__langid_row` long, `__worded` boolean, `__totals` array<double>, `__word` array<long>, `__letters` array<string>, `__times` array<long>"
+    return stored(numbered.mapInArrow(run, f"{fields}, {extra}"), "langid-words")
+
+
+def _word_table(words: DataFrame, held, rest: DataFrame) -> DataFrame:
+    """``(word, logs)`` of distinct rows (word, letters): the word's own, or the means of its longest known n-grams.
+
+    Only words that are in no table go on to their n-grams.  What is known of these here
+    is one row per word and length; the others are looked up, but no shorter ones than
+    the longest that is known here.
+    """
+    size = len(held.value.languages)
+    own = words.join(rest.where(F.col("kind") == 0).select(F.col("item").alias("word"), "logs"), "word", "left")
+    own = pinned(own.select("word", F.when(F.col("logs").isNull(), F.col("letters")).alias("letters"), "logs"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 2000):
+                batch = whole.slice(begin, 2000)
+                texts = batch.column("letters").to_pylist()
+                bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+                points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+                word = batch.column("word").to_numpy()
+                left = np.arange(len(word))
+                for n in range(LONGEST, 0, -1):
+                    row, grams = _grams(points, bounds[left], bounds[left + 1], n)
+                    at, logs = model._matrix(n, grams)
+                    hit = at >= 0
+                    known = np.bincount(row[hit], minlength=len(left))
+                    some = np.flatnonzero(known)
+                    sums = np.stack([np.bincount(row[hit], logs[at[hit], k], len(left)) for k in range(size)], axis=1)[some].astype(float)
+                    here = [left[some], np.zeros(len(some), np.int64), known[some], sums]
+                    there = [left[row[~hit]], grams[~hit].view(np.int64), np.ones((~hit).sum(), np.int64), np.zeros((0, size))]
+                    for (r, i, t, x), many in ((here, size), (there, 0)):
+                        ends = pa.array((np.arange(len(r) + 1) * many).astype(np.int32))
+                        columns = [pa.array(word[r]), pa.array(np.full(len(r), n)), pa.array(i), pa.array(t), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))]
+                        yield pa.RecordBatch.from_arrays(columns, ["word", "kind", "item", "times", "sums"])
+                    left = left[known == 0]
+
+    unseen = own.where("letters is not null").select("word", "letters")
+    rows = unseen.mapInArrow(run, "word long, kind long, item long, times long, sums array<double>")
+    rows = pinned(rows)
+    found = rows.where(F.size("sums") > 0).select("word", "kind", "times", "sums").unionByName(
+        rows.where(F.size("sums") == 0)
+        .drop("sums")
+        .join(rest, ["kind", "item"])
+        .select("word", "kind", "times", F.transform("logs", lambda x: x * F.col("times")).alias("sums"))
+    )
+    means = found.groupBy("word", "kind").agg(F.array(*[F.sum(F.get("sums", F.lit(k))) / F.sum("times") for k in range(size)]).alias("logs"))
+    return own.where("logs is not null").select("word", "logs").union(means.groupBy("word").agg(F.max_by("logs", "kind").alias("logs")))
+
+
+def predicted(docs: DataFrame, trained: tuple[Model, DataFrame | None], keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and a struct ``__langid`` (lang_pred, score), one row per row."""
+    model, rest = trained
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    if rest is None:
+
+        @F.pandas_udf("lang_pred string, score double")
+        def run(texts: pd.Series) -> pd.DataFrame:
+            best, sure = held.value.predict(texts.fillna("").tolist())
+            return pd.DataFrame({"lang_pred": best, "score": sure})
+
+        return docs.select(*[F.col(f"`{c}`") for c in keep], run(F.col("text")).alias("__langid"))
+    made = _opened(docs, held, keep)
+    words = made.select(F.explode(F.arrays_zip("__word", "__letters")).alias("w")).select(F.col("w.__word").alias("word"), F.col("w.__letters").alias("letters"))
+    table = pinned(_word_table(words.dropDuplicates(["word"]), held, rest))
+    size = len(model.languages)
+    seen = made.select("__langid_row", F.explode(F.arrays_zip("__word", "__times")).alias("w")).select(
+        "__langid_row", F.col("w.__word").alias("word"), F.col("w.__times").alias("times")
+    )
+    more = seen.join(table, "word").groupBy("__langid_row").agg(
+        F.array(*[F.sum(F.get("logs", F.lit(k)) * F.col("times")) for k in range(size)]).alias("__more")
+    )
+    totals = F.when(F.col("__more").isNull(), F.col("__totals")).otherwise(F.zip_with("__totals", "__more", lambda a, b: a + b))
+    summed = made.join(more, "__langid_row", "left").withColumn("__sum", totals).withColumn("__most", F.array_max("__sum"))
+    odds = F.aggregate("__sum", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("__most")))
+    names = F.array(*[F.lit(x) for x in model.languages])
+    best = F.get(names, (F.array_position("__sum", F.col("__most")) - 1).cast("int"))
+    told = F.struct(
+        F.when(F.col("__worded"), best).otherwise(F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(F.col("__worded"), 1 / odds).otherwise(F.lit(0.0)).alias("score"),
+    )
+    return summed.select(*[F.col(f"`{c}`") for c in keep], told.alias("__langid"))
 
 
 def held_out(id_column: str, modulus: int = 4, remainder: int = 2) -> Column:
@@ -206,7 +349,7 @@ def training_rows(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> Data
     return docs.where(~held_out("doc_id", modulus, remainder)).select("text", "lang")
 
 
-def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
+def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``, one row per input row.
 
     Learns from text and lang of the rows that are not held out; null ids are never held
@@ -214,9 +357,9 @@ def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame
     were never seen gets the first language with an even score; without any known
     language all get ``und``; other columns are not read.
     """
-    model = train(training_rows(docs, modulus, remainder))
-    rows = docs.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), predicted(docs, model, F.col("text")).alias("p"))
-    return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
+    trained = train(training_rows(docs, modulus, remainder), hot_bytes=hot_bytes)
+    rows = docs.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "text")
+    return predicted(rows, trained, ["doc_id", "held_out"]).select("doc_id", "held_out", "__langid.lang_pred", "__langid.score")
 
 
 def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least: float = 0.0) -> DataFrame:
@@ -226,8 +369,7 @@ def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least
     language is less probable; a short clean text may be even between two languages, so
     by default no such text goes.
     """
-    model = train(training_rows(docs, modulus, remainder))
     mark = "__langid"
-    marked = docs.withColumn(mark, predicted(docs, model, F.col("text")))
+    marked = predicted(docs, train(training_rows(docs, modulus, remainder)), docs.columns)
     kept = marked.where((F.col(f"{mark}.lang_pred") != UNKNOWN) & (F.col(f"{mark}.score") >= least))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -130,6 +130,22 @@ def test_language_rows(spark):
     assert kept.columns == df.columns and {100, 101, 102}.isdisjoint(r.doc_id for r in kept.collect())
 
 
+def test_small_languages_keep_their_words(spark):
+    rows = [(i, "the cat and the dog run " * 200_000, "en") for i in (0, 1, 3, 4, 5)]
+    rows += [(10 + i, f"ο σκύλος τρέχει σπίτι{i}", "gr") for i in range(12)] + [(40 + i, "кот бежит домой", "ru") for i in range(6)]
+    rows += [(100, "σκύλος", None), (101, "τρέχουν", None), (102, "кота", None), (103, "dogs run", None), (104, "7", None), (105, "日本", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sum(held(i, 4, 2) for i, *_ in rows[5:23]) < 18 and not all(held(i, 4, 2) for i in range(5))
+    whole = {r.doc_id: r for r in langid.identify(df).collect()}
+    assert [whole[i].lang_pred for i in range(100, 105)] == ["gr", "gr", "ru", "en", "und"]
+    # What is broadcast does not change a result.
+    for hot in (0, 2000):
+        parts = {r.doc_id: r for r in langid.identify(df, hot_bytes=hot).collect()}
+        assert parts.keys() == whole.keys()
+        for i, r in whole.items():
+            assert (parts[i].held_out, parts[i].lang_pred) == (r.held_out, r.lang_pred) and parts[i].score == pytest.approx(r.score)
+
+
 @shared
 def test_held_out_language(spark):
     docs = load(spark, SF, "documents")
