@@ -8,12 +8,15 @@ and instances (kind and value) form a bipartite graph that Spark scores in round
 
 - a pattern's confidence for a kind is the share of its instances that are of that
   kind, each weighted with its own score (seeds 1, unknown candidates half a vote
-  against), and counts only with ``SUPPORT`` different seeds;
-- a candidate's score is the chance that not all of its confident patterns err.
+  against), and counts only with ``SUPPORT`` different values of that kind that are
+  seeds or accepted;
+- a candidate's score is the chance that not all of its confident patterns err; it never
+  falls from one round to the next.
 
 Patterns found good in one round make candidates known, which support further patterns
-in the next.  Candidates at ``ACCEPT`` or above become spans; the seeds' spans always
-stay.  In text where all kinds turn up in any context, no pattern is confident.
+in the next, until no candidate is accepted and no score rises any more.  Candidates at
+``ACCEPT`` or above become spans; the seeds' spans always stay.  In text where all kinds
+turn up in any context, no pattern is confident.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 8
 CONFIDENT = 0.8
 ACCEPT = 0.9
-ROUNDS = 3
+# A rise of less than this ends the rounds.
+STILL = 1e-6
 PRIOR = 1.0
 
 # A match starts where a run of these characters starts, or where the match before ended;
@@ -156,45 +160,58 @@ def with_mentions(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return seeded.select(*own, "__key", "__base", free.alias("__loose"))
 
 
-def discover(mentions: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
+def discover(mentions: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT, accept: float = ACCEPT) -> DataFrame:
     """Candidates to accept, ``(kind, value, score)``, from rows (__base, __loose).
 
-    An instance counts once for each pattern however often it is repeated there.
+    An instance counts once for each pattern however often it is repeated there.  Scores
+    only rise and are at most 1, so the rounds end.
     """
     every = mentions.select(F.explode("__base").alias("m"), F.lit(True).alias("known")).union(
         mentions.select(F.explode("__loose").alias("m"), F.lit(False).alias("known"))
     )
-    edges = pinned(every.select(F.explode("m.patterns").alias("pattern"), "m.kind", "m.value", "known").distinct())
+    edges = pinned(
+        every.select(F.explode("m.patterns").alias("pattern"), "m.kind", "m.value", "known")
+        .groupBy("pattern", "kind", "value")
+        .agg(F.max("known").alias("known"), F.max(~F.col("known")).alias("loose"))
+    )
     scores = None
-    for _ in range(rounds):
+    while True:
         scored = edges.withColumn("score", F.lit(0.0)) if scores is None else edges.join(scores, ["kind", "value"], "left")
         weight = F.when(F.col("known"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
-        votes = F.when(F.col("known") | (weight >= accept), 1.0).otherwise(0.5)
+        sure = F.col("known") | (weight >= accept)
+        votes = F.when(sure, 1.0).otherwise(F.greatest(F.lit(0.5), weight))
         sums = scored.groupBy("pattern").agg(
             F.sum(votes).alias("votes"),
             *[F.sum(F.when(F.col("kind") == k, weight)).alias(f"for{k}") for k in range(len(KINDS))],
-            *[F.sum(F.when((F.col("kind") == k) & F.col("known"), 1)).alias(f"seeds{k}") for k in range(len(KINDS))],
+            *[F.sum(F.when((F.col("kind") == k) & sure, 1)).alias(f"sure{k}") for k in range(len(KINDS))],
         )
         options = F.array(
             *[
                 F.struct(
                     F.lit(k).alias("kind"),
                     (F.col(f"for{k}") / (F.col("votes") + PRIOR)).alias("confidence"),
-                    F.col(f"seeds{k}").alias("seeds"),
+                    F.col(f"sure{k}").alias("sure"),
                 )
                 for k in range(len(KINDS))
             ]
         )
         good = (
             sums.select("pattern", F.explode(options).alias("o"))
-            .where((F.col("o.seeds") >= support) & (F.col("o.confidence") >= confident))
+            .where((F.col("o.sure") >= support) & (F.col("o.confidence") >= confident))
             .select("pattern", "o.kind", "o.confidence")
         )
         miss = F.exp(F.sum(F.log(1 - F.col("confidence"))))
-        scores = pinned(
-            edges.where("not known").join(good, ["pattern", "kind"]).groupBy("kind", "value").agg((1 - miss).alias("score"))
-        )
-    return scores.where(F.col("score") >= accept)
+        now = edges.where("loose").join(good, ["pattern", "kind"]).groupBy("kind", "value").agg((1 - miss).alias("score"))
+        if scores is None:
+            before = F.lit(0.0)
+        else:
+            now = now.join(scores.withColumnRenamed("score", "before"), ["kind", "value"], "full")
+            before = F.coalesce("before", F.lit(0.0))
+        best = F.greatest(F.coalesce("score", F.lit(0.0)), before)
+        made = pinned(now.select("kind", "value", best.alias("score"), (best - before).alias("rise"), ((best >= accept) & (before < accept)).alias("new")))
+        scores = made.select("kind", "value", "score")
+        if not made.where(F.col("new") | (F.col("rise") > STILL)).count():
+            return scores.where(F.col("score") >= accept)
 
 
 def found_spans(marked: DataFrame, accepted: DataFrame) -> DataFrame:

@@ -179,6 +179,20 @@ def test_contexts_of_any_kind_discover_nothing(spark):
     assert pii.report(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 99").collect()[0].spans == ""
 
 
+def test_accepted_values_support_further_contexts(spark):
+    contexts = ["please call me at {} soon", "reach our desk {} today", "ask for extension {} again", "or leave word {} there"]
+    sizes, rows = [80, 30, 10], [contexts[0].format(f"+1 (555) 2{i:02d}-4500") for i in range(100)]
+    rows += [contexts[0].format(f"+1 (555) 3{i:02d}-4500") for i in range(100)]
+    for k, size in enumerate(sizes):
+        for i in range(size):
+            rows += [contexts[j].format(f"555-{k}{i:02d}-9988") for j in (k, k + 1)]
+    rows.append(contexts[3].format("777-010-9988"))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    last = pii.report(df).where(F.col("doc_id") == len(rows) - 1).collect()[0]
+    assert last.spans == "phone:14:26"
+    assert pii.masked(df).where(~F.col("text").contains("[PHONE]")).count() == 0
+
+
 def test_masked_texts(spark):
     rows = [(1, "a@b.cd and 10.0.0.1", 3, "s"), (2, "clean", 5, "s"), (3, None, None, None), (4, "+1 555 123 4567", 99, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, rank string")
