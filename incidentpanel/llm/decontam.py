@@ -13,8 +13,9 @@ every candidate:
    less the token's offset, not before the text's start, and end within its length;
 4. candidates are verified word by word against the text.
 
-Copies of a text share a key, so they are compared once.  Matching lower-cases all
-letters, which can only add candidates; verification lower-cases A-Z alone.
+Copies of a text share a key, so they are compared once.  Matching and verification cut
+the same words and lower-case A-Z alone: lower-casing other letters depends on what stands
+around them (a Greek final sigma), so equal words would not stay equal.
 """
 
 from __future__ import annotations
@@ -78,14 +79,14 @@ def with_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE, text_
             DataFrame.union,
             [
                 unique.where(F.least("len", F.lit(shingle)) == k)
-                .select("wkey", "len", F.split(F.lower("wkey"), " ").alias("w"))
+                .select("wkey", "len", F.split("wkey", " ").alias("w"))
                 .select("wkey", "len", F.posexplode(_hashes(F.col("w"), k)).alias("offset", "h"))
                 for k in sorted(sizes)
             ],
         )
     )
     wanted = pinned(tokens.select("h").distinct())
-    slim = keyed.select("__key", F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)).alias("w"))
+    slim = keyed.select("__key", words_of(text).alias("w"))
     matches = pinned(
         reduce(
             DataFrame.union,

@@ -111,6 +111,16 @@ def test_decontamination(spark):
     assert decontam.report(df.where("false"), bench).count() == 0
 
 
+def test_decontamination_of_capital_words_that_end_in_sigma(spark):
+    items = [(1, "ΟΔΟΣ.ΑΒΓ δύο ΛΟΓΟΣ'ΕΝΑ τρία τέσσερα πέντε ΝΟΜΟΣ:ΔΥΟ εννέα δέκα")]
+    docs = [items[0][1], "x y " + items[0][1] + " z", "ΟΔΟΣ ΑΒΓ", "ΟΔΟΣ.ΑΒΓ δύο"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.report(df, bench).drop("items")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_windows(list(enumerate(docs)), items)
+    assert sorted(r.doc_id for r in decontam.clean(df, bench).collect()) == [2, 3]
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
