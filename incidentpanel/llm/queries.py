@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import decontam, embeddings, langid, lm, mixing, pii, quality, simhash, urls, warc
-from incidentpanel.llm.common import load
+from incidentpanel.llm import decontam, embeddings, langid, lm, merkle, mixing, pii, quality, simhash, urls, warc
+from incidentpanel.llm.common import bucket, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,74 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document."""
     return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR END"
+
+
+# CRC-32 of a text bit by bit (fixed value: the reversed polynomial of the checksum).
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, strlen(doc_id::VARCHAR) + 1),
+    lambda p: list_transform(range(8), lambda b: (ascii(substr(doc_id::VARCHAR, p, 1)) >> b) & 1)))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+
+@query(
+    "op13_merkle",
+    f"""
+    WITH RECURSIVE base AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS g,
+               {_field("doc_id")} || {_field("source")} || {_field("lang")} AS head, {_field("n_chars")} AS mid,
+               CASE WHEN {_CRC} % 7 = 0 THEN {_field("n_chars + 1")} ELSE {_field("n_chars")} END AS bent,
+               {_field("text")} AS tail
+        FROM documents
+    ),
+    hashed AS (SELECT r, doc_id, g, sha256(head || mid || tail) AS leaf, sha256(head || bent || tail) AS now FROM base),
+    leaves AS (
+        SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i,
+               count(*) OVER (PARTITION BY g) AS n
+        FROM hashed
+    ),
+    up(k, g, i, n, d) AS (
+        SELECT 0, g, i, n, leaf FROM leaves
+        UNION ALL
+        SELECT k + 1, g, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY k, g, i // 2, n
+    ),
+    subs AS (SELECT g, d, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+    tops(k, i, n, d) AS (
+        SELECT 0, i, n, d FROM subs
+        UNION ALL
+        SELECT k + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY k, i // 2, n
+    ),
+    steps AS (
+        SELECT r, 0 AS part, l.k, s.i < l.i >> l.k AS is_left, s.d
+        FROM (SELECT r, leaves.g, leaves.i, k FROM leaves JOIN (SELECT DISTINCT g, k FROM up WHERE n > 1) v ON v.g = leaves.g) l
+        LEFT JOIN up s ON s.g = l.g AND s.k = l.k AND s.i // 2 = (l.i >> l.k) // 2 AND s.i <> l.i >> l.k
+        UNION ALL
+        SELECT r, 1, l.k, s.i < l.i >> l.k, s.d
+        FROM (SELECT r, subs.i, k FROM leaves JOIN subs ON subs.g = leaves.g, (SELECT DISTINCT k FROM tops WHERE n > 1)) l
+        LEFT JOIN tops s ON s.k = l.k AND s.i // 2 = (l.i >> l.k) // 2 AND s.i <> l.i >> l.k
+    ),
+    proofs AS (
+        SELECT r, coalesce(string_agg(d, '' ORDER BY part, k), '') AS flat,
+               list(CASE WHEN d IS NULL THEN 'N' WHEN is_left THEN 'L' || d ELSE 'R' || d END ORDER BY part, k) AS path
+        FROM steps GROUP BY r
+    )
+    SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(coalesce(flat, '')) AS proof_sha256,
+           list_reduce(list_prepend(now, coalesce(path, [])), lambda a, b: sha256(
+               CASE b[1] WHEN 'L' THEN substr(b, 2) || a WHEN 'R' THEN a || substr(b, 2) ELSE a END)) AS folded_root,
+           folded_root = root AS verified
+    FROM leaves LEFT JOIN proofs USING (r) JOIN subs s ON s.g = leaves.g JOIN tops t ON t.n = 1
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether it still verifies once some were altered."""
+    more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    made = merkle.audit(load(spark, sf_dir, "documents"), more, bucket("doc_id", 7) == 0)
+    return made.select(
+        "doc_id",
+        *[merkle.as_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.as_text(F.col("folded_root")).alias("folded_root"),
+        "verified",
+    )
