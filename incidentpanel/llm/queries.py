@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import decontam, embeddings, langid, lm, merkle, mixing, pii, quality, simhash, urls, warc
+from incidentpanel.llm import decontam, embeddings, langid, lm, merkle, mixing, phrases, pii, quality, simhash, urls, warc
 from incidentpanel.llm.common import bucket, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +180,47 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+@query(
+    "op11_collocations",
+    f"""
+    WITH c AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    ),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM c),
+    g AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+    ),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    p AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS v FROM f WHERE k >= 2 AND f >= {phrases.LEAST}),
+    t AS (SELECT *, unnest(range(1, k)) AS cut FROM p),
+    s AS (
+        SELECT t.lang, t.k, t.phrase, t.a, cut, x.f AS l, y.f AS r, ({phrases.SCALE}::HUGEINT * t.a // (x.f + y.f))::BIGINT AS score
+        FROM t JOIN f x ON x.lang = t.lang AND x.phrase = array_to_string(v[:cut], ' ')
+        JOIN f y ON y.lang = t.lang AND y.phrase = array_to_string(v[cut + 1:], ' ')
+    ),
+    m AS (
+        SELECT lang, k, phrase, a, min(score) AS score, arg_min(l, (score, cut)) AS l, arg_min(r, (score, cut)) AS r
+        FROM s GROUP BY lang, k, phrase, a
+    ),
+    o AS (
+        SELECT * FROM m WHERE NOT EXISTS (
+            SELECT 1 FROM p WHERE p.lang = m.lang AND p.k > m.k AND 100 * p.a >= 80 * m.a
+            AND contains(' ' || p.phrase || ' ', ' ' || m.phrase || ' ')
+        )
+    ),
+    z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= {phrases.TOP}
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2000 phrases of every language."""
+    return phrases.collocations(load(spark, sf_dir, "documents"))
+
+
 def _field(value: str) -> str:
     return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR END"
 
