@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import decontam, embeddings, langid, lm, merkle, mixing, phrases, pii, quality, simhash, urls, warc
+from incidentpanel.llm import ann, decontam, embeddings, langid, lm, merkle, mixing, phrases, pii, quality, simhash, urls, warc
 from incidentpanel.llm.common import bucket, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -290,3 +290,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.as_text(F.col("folded_root")).alias("folded_root"),
         "verified",
     )
+
+
+@query("op12_nearest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    return ann.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
