@@ -182,9 +182,9 @@ def count_phrases(encoded: DataFrame, size: int, wanted: Callable[[dict[str, np.
     return pinned(counts.groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least))
 
 
-def describe(encoded: DataFrame, counted: DataFrame, size: int) -> DataFrame:
-    """``counted`` with the words and the parts of each phrase."""
-    sieve = Sieve.of(counted)
+def _witnesses(encoded: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """(key, words, parts): each task shows the phrases of ``keys`` that it meets once."""
+    sieve = Sieve.of(keys)
     names = [f"w{k}" for k in range(1, size + 1)]
     names += [f"g{a}_{b}" for a in range(1, size + 1) for b in range(a + 1, size + 1) if b - a < size - 1]
     whole = f"g1_{size}"
@@ -193,16 +193,33 @@ def describe(encoded: DataFrame, counted: DataFrame, size: int) -> DataFrame:
         keep, known = sieve.value, np.zeros(0, np.uint64)
         for batch in batches:
             for grams in _grams(batch, size):
-                unique, first = np.unique(grams[whole], return_index=True)
-                new = keep(unique) & ~np.isin(unique, known, assume_unique=True)
+                met = np.flatnonzero(keep(grams[whole]))
+                unique, first = np.unique(grams[whole][met], return_index=True)
+                new = ~np.isin(unique, known, assume_unique=True)
+                if not new.any():
+                    continue
                 known = np.union1d(known, unique[new])
-                at = first[new]
+                at = met[first[new]]
                 columns = [unique[new], *[grams[n][at] for n in names]]
                 yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["key", *names])
 
     kinds = ", ".join(f"{n} long" for n in ["key", *names])
-    seen = encoded.where("tokens is not null").select("tokens").mapInArrow(run, kinds)
-    return counted.join(seen.groupBy("key").agg(*[F.min(n).alias(n) for n in names]), "key")
+    seen = encoded.mapInArrow(run, kinds)
+    return seen.groupBy("key").agg(*[F.min(n).alias(n) for n in names])
+
+
+def describe(encoded: DataFrame, counted: DataFrame, size: int) -> DataFrame:
+    """``counted`` with the words and the parts of each phrase.
+
+    One occurrence is enough for a phrase, so an eighth of the blocks is asked first and
+    all blocks only for what is not in it; tasks then do not all show the same phrases.
+    """
+    blocks = encoded.where("tokens is not null").select("tokens")
+    some = blocks.where(F.pmod(F.shiftright(F.octet_length("tokens"), 3), F.lit(8)) == 0)
+    first = pinned(_witnesses(some, counted, size))
+    rest = pinned(counted.join(first, "key", "left_anti").select("key"))
+    found = first if rest.isEmpty() else first.union(_witnesses(blocks, rest, size))
+    return counted.join(found, "key")
 
 
 def _points(a: str, l: str, r: str) -> Column:
