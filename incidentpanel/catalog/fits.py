@@ -19,7 +19,7 @@ from incidentpanel.models import glm, minirocket, pooled, ridge, seasonal
 from incidentpanel.operators import evaluate as E
 from incidentpanel.operators import profile as P
 from incidentpanel.operators.calendar_tables import date_features, future_rows
-from incidentpanel.operators.samples import EXOGENOUS, daily_samples
+from incidentpanel.operators.samples import EXOGENOUS, daily_blocks
 from incidentpanel.session import checkpointed
 
 FEATURES, SEED, AHEAD = 10_000, 101, 30
@@ -27,9 +27,9 @@ TOWN, DAY = "codigo_municipio", "accident_date"
 
 
 def rocket_samples(spark, sf, panel=None):
-    """Fitted kernels and every daily sample, materialised once; features are made where they are used."""
+    """Fitted kernels and the blocks of all daily samples; windows and features are made where they are used."""
     panel = checkpointed(spark, day_features_panel(spark, sf)) if panel is None else panel
-    samples = checkpointed(spark, daily_samples(panel, TOWN, DAY, LOOKBACK))
+    samples = checkpointed(spark, daily_blocks(panel, TOWN, DAY, LOOKBACK))
     return minirocket.fit_on(samples, FEATURES, seed=SEED), samples
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from incidentpanel.operators.windows import is_blocks, unpack
+
 # All ways to place three weights of 2 among nine taps; the rest weigh -1.
 TRIPLES = np.array(list(combinations(range(9), 3)))
 
@@ -118,42 +120,66 @@ def transform(x: np.ndarray, rocket: Rocket) -> np.ndarray:
     return np.ascontiguousarray(made.T)
 
 
-def as_cube(column: pa.ListArray, n_channels: int) -> np.ndarray:
-    """Arrow list<list<float>> to (samples, channels, time) without a Python loop."""
-    flat = column.flatten().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), n_channels, -1).astype(np.float32, copy=False)
-
-
 def fit_on(samples: DataFrame, n_features: int, seed: int, sample_size: int = 256) -> Rocket:
     """Fit from a fixed-size, reproducible sample of training windows.
 
-    The windows only give bias quantiles, without labels; ``sample_size`` bounds what the
-    driver reads (a setting of the daily plan).
+    ``samples`` are rows with a ``sequence`` or blocks; of blocks only the picked windows
+    are cut out.  The windows only give bias quantiles, without labels; ``sample_size``
+    bounds what the driver reads (a setting of the daily plan).
     """
-    keys = [c for c in samples.columns if c not in ("sequence", "y_raw", "y_scaled", "y_mean", "y_std", "split")]
-    train = samples.filter(F.col("split") == "train")
-    picked = train.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(sample_size).select("sequence").toArrow()
-    if picked.num_rows == 0:
+    unkeyed = ("sequence", "y_raw", "y_scaled", "y_mean", "y_std", "split", "at")
+    if is_blocks(samples):
+        outer = [c for c in samples.columns if c not in ("block", "lookback", "series", "rows")]
+        listed = samples.select(*outer, "block", F.inline("rows"))
+        keys = [c for c in listed.columns if c not in (*unkeyed, "block")]
+        order = [F.xxhash64(F.lit(seed), *keys), *keys]
+        chosen = listed.filter(F.col("split") == "train").orderBy(*order).limit(sample_size).select(*outer, "block", "at", *keys[len(outer) :])
+        # At most ``sample_size`` rows are broadcast.
+        window = F.slice("series", F.col("at") - F.col("lookback") + 1, F.col("lookback"))
+        met = samples.drop("rows").join(F.broadcast(chosen), [*outer, "block"])
+        picked = met.orderBy(*order).select(window.alias("steps")).toArrow()
+        cube = np.array(picked.column("steps").to_pylist(), dtype=np.float32)
+        cube = cube.transpose(0, 2, 1) if cube.ndim == 3 else cube
+    else:
+        keys = [c for c in samples.columns if c not in unkeyed]
+        train = samples.filter(F.col("split") == "train")
+        picked = train.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(sample_size).select("sequence").toArrow()
+        cube = np.array(picked.column("sequence").to_pylist(), dtype=np.float32)
+    if not len(cube):
         raise ValueError("no training windows to fit on")
-    cube = np.array(picked.column("sequence").to_pylist(), dtype=np.float32)
     return fit(cube, n_features, seed)
 
 
+def features_of(cube: np.ndarray, rocket: Rocket, chunk: int = 256) -> np.ndarray:
+    """Features of many windows, made some hundred at a time."""
+    parts = [transform(np.ascontiguousarray(cube[at : at + chunk]), rocket) for at in range(0, len(cube), chunk)]
+    return np.concatenate(parts) if parts else np.zeros((0, rocket.n_features), np.float32)
+
+
 def featurize(samples: DataFrame, rocket: Rocket, chunk: int = 256) -> DataFrame:
-    """Replace ``sequence`` by ``features``; Arrow batches, no shuffle."""
+    """Rows with ``features`` for rows with a ``sequence`` or for blocks; Arrow batches, no shuffle."""
     shared = samples.sparkSession.sparkContext.broadcast(rocket)
-    kept = [f for f in samples.schema.fields if f.name != "sequence"]
+    if is_blocks(samples):
+        outer = [f for f in samples.schema.fields if f.name not in ("block", "lookback", "series", "rows")]
+        kept = outer + [f for f in samples.schema["rows"].dataType.elementType.fields if f.name != "at"]
+    else:
+        outer, kept = [], [f for f in samples.schema.fields if f.name != "sequence"]
     schema = T.StructType([*kept, T.StructField("features", T.ArrayType(T.FloatType()))])
-    names = [f.name for f in kept]
+    names, entity = [f.name for f in kept], outer[0].name if outer else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, chunk):
-                part = batch.slice(at, chunk)
-                column = part.column("sequence")
-                made = transform(as_cube(column, len(column[0])), shared.value)
-                offsets = pa.array(np.arange(0, made.size + 1, made.shape[1], dtype=np.int32))
-                features = pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))
-                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], features], [*names, "features"])
+            # One block at a time, or as many rows as are worked on at once.
+            step = 1 if entity else chunk
+            for first in range(0, batch.num_rows, step):
+                rows, cube = unpack(batch.slice(first, step), entity)
+                rows = rows.combine_chunks()
+                for at in range(0, len(cube), chunk):
+                    made = features_of(cube[at : at + chunk], shared.value, chunk)
+                    offsets = pa.array(np.arange(0, made.size + 1, made.shape[1], dtype=np.int32))
+                    features = pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))
+                    part = rows.slice(at, chunk).combine_chunks()
+                    columns = [pa.concat_arrays(part.column(n).chunks) for n in names]
+                    yield pa.RecordBatch.from_arrays([*columns, features], [*names, "features"])
 
     return samples.mapInArrow(run, schema)

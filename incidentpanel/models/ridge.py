@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from incidentpanel.models import minirocket
+from incidentpanel.operators.windows import is_blocks, keep_rows, unpack
 
 # Default ridge penalties.
 ALPHAS = (10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0, 10000.0, 30000.0)
@@ -42,15 +43,16 @@ def solve_path(x: np.ndarray, y: np.ndarray, alphas: Sequence[float]) -> tuple[n
     return np.array(coefs), np.array(intercepts), np.array(loo)
 
 
-def _matrix(rows: pa.Table, rocket: minirocket.Rocket | None, chunk: int = 256) -> np.ndarray:
-    """Features of a group's rows: as given, or made from their sequences."""
-    if rocket is None:
-        flat = rows.column("features").combine_chunks()
-        return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1).astype(float)
-    column = rows.column("sequence").combine_chunks()
-    cube = minirocket.as_cube(column, len(column[0])) if len(column) else np.zeros((0, 1, 1), np.float32)
-    parts = [minirocket.transform(cube[at : at + chunk], rocket) for at in range(0, len(cube), chunk)]
-    return np.concatenate(parts) if parts else np.zeros((0, rocket.n_features), np.float32)
+def _rows(group: pa.Table, entity: str, rocket: minirocket.Rocket | None) -> tuple[pa.Table, np.ndarray]:
+    """Columns of a group's samples, and their features as given or the windows to make them from."""
+    if rocket is not None:
+        return unpack(group, entity)
+    flat = group.column("features").combine_chunks()
+    return group, flat.flatten().to_numpy(zero_copy_only=False).reshape(len(group), -1)
+
+
+def _matrix(values: np.ndarray, rocket: minirocket.Rocket | None) -> np.ndarray:
+    return values.astype(float) if rocket is None else minirocket.features_of(values, rocket)
 
 
 def train_per_entity(
@@ -62,8 +64,8 @@ def train_per_entity(
 ) -> DataFrame:
     """One model row per entity.
 
-    With ``rocket`` the rows carry sequences and their features are made inside the
-    entity's task, so the wide feature table is never stored or shuffled.
+    With ``rocket`` the rows are blocks or carry sequences, and features are made inside
+    the entity's task: neither they nor the windows of blocks are stored or shuffled.
 
     The penalty with the lowest error on the selection split wins; without such
     rows the leave-one-out error decides.  A group holds one entity's windows,
@@ -74,18 +76,20 @@ def train_per_entity(
     shared = features.sparkSession.sparkContext.broadcast(rocket)
 
     def fit(group: pa.Table) -> pa.Table:
+        group, values = _rows(group, entity, shared.value)
         split = np.array(group.column("split").to_pylist(), dtype=object)
         learn = np.flatnonzero(split == "train")
         if not len(learn):
             return target.empty_table()
         train = group.take(learn)
         y = train.column("y_scaled").to_numpy()
-        coefs, intercepts, loo = solve_path(_matrix(train, shared.value).astype(float), y, grid)
-        chosen = group.take(np.flatnonzero(split == selection_split))
+        coefs, intercepts, loo = solve_path(_matrix(values[learn], shared.value).astype(float), y, grid)
+        check = np.flatnonzero(split == selection_split)
+        chosen = group.take(check)
         if not len(chosen):
             best, score = int(np.argmin(loo)), None
         else:
-            made = _matrix(chosen, shared.value) @ coefs.T + intercepts
+            made = _matrix(values[check], shared.value) @ coefs.T + intercepts
             errors = ((made - chosen.column("y_scaled").to_numpy()[:, None]) ** 2).mean(axis=0)
             best, score = int(np.argmin(errors)), float(errors.min())
         first = train.slice(0, 1).select([entity, "y_mean", "y_std"]).to_pylist()[0]
@@ -105,18 +109,23 @@ def train_per_entity(
         ]
     )
     target = to_arrow_schema(schema)
-    needed = features.filter(F.col("split").isin("train", selection_split)).select(
-        entity, "split", "features" if rocket is None else "sequence", "y_scaled", "y_mean", "y_std"
-    )
+    if is_blocks(features):
+        needed = keep_rows(features, lambda r: r["split"].isin("train", selection_split))
+    else:
+        needed = features.filter(F.col("split").isin("train", selection_split)).select(
+            entity, "split", "features" if rocket is None else "sequence", "y_scaled", "y_mean", "y_std"
+        )
     return needed.groupBy(entity).applyInArrow(fit, schema)
 
 
 def score_samples(samples: DataFrame, models: DataFrame, entity: str, rocket: minirocket.Rocket) -> DataFrame:
-    """Like ``score`` for rows with sequences: each entity meets its model in one task.
+    """Like ``score`` for blocks or rows with sequences: each entity meets its model in one task.
 
     Entities without a model have no rows.
     """
-    kept = [f for f in samples.schema.fields if f.name != "sequence"]
+    kept = [f for f in samples.schema.fields if f.name not in ("sequence", "block", "lookback", "series", "rows")]
+    if is_blocks(samples):
+        kept += [f for f in samples.schema["rows"].dataType.elementType.fields if f.name != "at"]
     schema = T.StructType([*kept, T.StructField("prediction_scaled", T.DoubleType())])
     target = to_arrow_schema(schema)
     shared = samples.sparkSession.sparkContext.broadcast(rocket)
@@ -125,8 +134,9 @@ def score_samples(samples: DataFrame, models: DataFrame, entity: str, rocket: mi
         if not len(rows) or not len(model):
             return target.empty_table()
         weights = np.array(model.column("coefficients")[0].as_py())
-        made = _matrix(rows, shared.value) @ weights + model.column("intercept")[0].as_py()
-        return rows.drop_columns(["sequence"]).append_column("prediction_scaled", pa.array(made)).select(target.names).cast(target)
+        rows, values = _rows(rows, entity, shared.value)
+        made = _matrix(values, shared.value) @ weights + model.column("intercept")[0].as_py()
+        return rows.append_column("prediction_scaled", pa.array(made)).select(target.names).cast(target)
 
     pairs = samples.groupBy(entity).cogroup(models.select(entity, "coefficients", "intercept").groupBy(entity))
     return (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from incidentpanel.functions.clean import seconds_of_day
 from incidentpanel.functions.temporal import calendar_cycles
 from incidentpanel.operators.calendar_tables import HOLIDAY_FEATURES
+from incidentpanel.operators.windows import full_windows, halo_blocks, lookback_blocks, open_windows, reach, step_at
 from incidentpanel.skew import latest_by
 from incidentpanel.sources.readers import WEATHER_VARIABLES
 
@@ -30,6 +31,8 @@ WEATHER_CHANNELS = [
 ]
 EXOGENOUS = ["non_working_day_weight", "days_off_ahead", "days_off_before"]
 TINY = 1e-8
+# Weeks of a block of weekly samples.
+WEEK_SPAN = 128
 
 
 def weather_features(weather: DataFrame, entity: str, order: Sequence[Column], day: str = "accident_date") -> DataFrame:
@@ -73,18 +76,33 @@ def train_zscores(
     )
 
 
-def lookback_windows(
-    rows: DataFrame, entity: str, day: str, channels: Sequence[Column], lookback: int, name: str = "sequence"
+def daily_blocks(
+    panel: DataFrame,
+    entity: str,
+    day: str,
+    lookback: int,
+    target: str = "accident_count",
+    weather: bool = False,
+    span: int | None = None,
 ) -> DataFrame:
-    """Channels x lookback matrix of the rows before each row; short windows are dropped."""
-    past = Window.partitionBy(entity).orderBy(day).rowsBetween(-lookback, -1)
-    step = F.array(*[c.cast("float") for c in channels])
-    framed = rows.withColumn("__steps", F.collect_list(step).over(past)).filter(F.size("__steps") == lookback)
-    matrix = F.transform(
-        F.sequence(F.lit(0), F.lit(len(channels) - 1)),
-        lambda i: F.transform("__steps", lambda s: F.get(s, i)),
+    """Blocks that hold the daily samples of a panel (see ``windows.lookback_blocks``).
+
+    10 (or 17 with weather) channels; the counts are scaled by train statistics, and
+    ``y_mean`` and ``y_std`` undo it.  A table of blocks is little more than the panel.
+    """
+    extra = WEATHER_CHANNELS if weather else []
+    scored = train_zscores(panel, entity, [target, *extra])
+    channels = [F.col(f"{target}_z"), *calendar_cycles(day).values(), *[F.col(c) for c in EXOGENOUS]]
+    channels += [F.col(f"{c}_z") for c in extra]
+    named = scored.withColumns(
+        {
+            "y_raw": F.col(target).cast("double"),
+            "y_scaled": F.col(f"{target}_z"),
+            "y_mean": F.col(f"{target}_mean"),
+            "y_std": F.col(f"{target}_std"),
+        }
     )
-    return framed.withColumn(name, matrix).drop("__steps")
+    return lookback_blocks(named, entity, day, channels, lookback, [day, "split", "y_raw", "y_scaled", "y_mean", "y_std"], span)
 
 
 def daily_samples(
@@ -95,25 +113,14 @@ def daily_samples(
     target: str = "accident_count",
     weather: bool = False,
 ) -> DataFrame:
-    """10 (or 17 with weather) channels x lookback per entity and day, with targets.
+    """One row per entity and day with a full window: channels x lookback and targets.
 
-    The counts are scaled by train statistics; ``y_mean`` and ``y_std`` undo it.
+    For inspection and small tables; models take ``daily_blocks`` and cut the windows
+    out inside their tasks.
     """
-    extra = WEATHER_CHANNELS if weather else []
-    scored = train_zscores(panel, entity, [target, *extra])
-    cycles = calendar_cycles(day)
-    channels = [F.col(f"{target}_z"), *cycles.values(), *[F.col(c) for c in EXOGENOUS]]
-    channels += [F.col(f"{c}_z") for c in extra]
-    framed = lookback_windows(scored, entity, day, channels, lookback)
-    return framed.select(
-        entity,
-        day,
-        "split",
-        "sequence",
-        F.col(target).cast("double").alias("y_raw"),
-        F.col(f"{target}_z").alias("y_scaled"),
-        F.col(f"{target}_mean").alias("y_mean"),
-        F.col(f"{target}_std").alias("y_std"),
+    blocks = daily_blocks(panel, entity, day, lookback, target, weather)
+    return open_windows(blocks, entity, 17 if weather else 10).select(
+        entity, day, "split", "sequence", "y_raw", "y_scaled", "y_mean", "y_std"
     )
 
 
@@ -146,53 +153,50 @@ def weekly_samples(
 
     The history ends ``gap`` weeks before the origin; targets cover ``horizon``
     weeks from it and must end inside the origin's split; origins are aligned to
-    the split start by the split's stride.  All windows share one partitioning.
+    the split start by the split's stride.  Windows are cut from blocks with a halo,
+    and only for origins.
     """
     strides = strides or {"train": 1, "validation": horizon, "test": horizon}
     order = Window.partitionBy(entity).orderBy(week)
-    past = order.rowsBetween(-(gap + history - 1), -gap)
-    ahead = order.rowsBetween(0, horizon - 1)
     scaled = panel.withColumn("target_scale", target_scale(panel, entity)).withColumn(
         "__s", F.col("accident_count") / F.col("target_scale")
     )
     lags = F.array(*[F.coalesce(F.lag("__s", k).over(order), F.lit(0.0)).cast("float") for k in seasonal_lags])
-    framed = scaled.withColumns({"__lags": lags, "__hol": F.array(*[F.col(c).cast("float") for c in HOLIDAY_FEATURES])})
-    framed = framed.withColumns(
-        {
-            "recent_history": F.collect_list(F.col("__s").cast("float")).over(past),
-            "targets": F.collect_list(F.col("__s").cast("float")).over(ahead),
-            "actual_targets": F.collect_list(F.col("accident_count").cast("float")).over(ahead),
-            "seasonal_context": F.collect_list("__lags").over(ahead),
-            "future_holiday": F.collect_list("__hol").over(ahead),
-            "target_week_starts": F.collect_list(week).over(ahead),
-            "target_week_ends": F.collect_list("week_end").over(ahead),
-            "target_year_weeks": F.collect_list("year_week").over(ahead),
-            "cutoff_week_start": F.lag(week, gap).over(order) if gap else F.col(week),
-        }
-    )
-    fits = F.lit(False)
+    # The last week its targets may end in, for rows that are forecast origins.
+    until = F.lit(None).cast("date")
     for name, (lo, hi) in ranges.items():
         aligned = F.floor(F.datediff(F.col(week), F.lit(lo)) / 7) % strides.get(name, 1) == 0
-        ends = F.element_at("target_week_starts", -1) <= F.lit(hi)
-        fits = fits | ((F.col("split") == name) & aligned & ends)
-    kept = framed.filter((F.size("recent_history") == history) & (F.size("targets") == horizon)).filter(fits)
-    meta = [c for c in ("group_name", entity, "rgi_name", "uf", "rgi_index", "split") if c in panel.columns]
-    return kept.select(
-        *meta,
-        F.col(week).alias("forecast_batch_start"),
-        "cutoff_week_start",
-        "target_week_starts",
-        "target_week_ends",
-        "target_year_weeks",
-        "recent_history",
-        "seasonal_context",
-        "future_holiday",
-        F.col("br101_length_km_in_rgi").cast("float").alias("road_length"),
-        F.log1p("target_scale").cast("float").alias("scale_feature"),
-        "targets",
-        "actual_targets",
-        F.col("target_scale").cast("float").alias("target_scale"),
+        until = F.when((F.col("split") == name) & aligned, F.lit(hi)).otherwise(until)
+    framed = scaled.withColumns(
+        {"__lags": lags, "__hol": F.array(*[F.col(c).cast("float") for c in HOLIDAY_FEATURES]), "__until": until}
     )
+    meta = [c for c in ("group_name", "rgi_name", "uf", "rgi_index", "split") if c in panel.columns]
+    used = ["accident_count", "target_scale", "__s", "__lags", "__hol", "__until", "week_end", "year_week", "br101_length_km_in_rgi"]
+    before, after = gap + history - 1, horizon - 1
+    blocks = halo_blocks(framed.select(entity, week, *meta, *used), entity, week, before, after, WEEK_SPAN)
+    origins = full_windows(before, after, lambda i: step_at(i + after, week) <= step_at(i, "__until"))
+
+    def sample(i: Column) -> Column:
+        return F.struct(
+            *[step_at(i, c).alias(c) for c in meta],
+            step_at(i, week).alias("forecast_batch_start"),
+            step_at(i - gap, week).alias("cutoff_week_start"),
+            reach(i, 0, after, week).alias("target_week_starts"),
+            reach(i, 0, after, "week_end").alias("target_week_ends"),
+            reach(i, 0, after, "year_week").alias("target_year_weeks"),
+            reach(i, -before, -gap, "__s", "float").alias("recent_history"),
+            reach(i, 0, after, "__lags").alias("seasonal_context"),
+            reach(i, 0, after, "__hol").alias("future_holiday"),
+            step_at(i, "br101_length_km_in_rgi").cast("float").alias("road_length"),
+            F.log1p(step_at(i, "target_scale")).cast("float").alias("scale_feature"),
+            reach(i, 0, after, "__s", "float").alias("targets"),
+            reach(i, 0, after, "accident_count", "float").alias("actual_targets"),
+            step_at(i, "target_scale").cast("float").alias("target_scale"),
+        )
+
+    made = blocks.select(entity, F.inline(F.transform(origins, sample)))
+    lead = [c for c in ("group_name", entity, "rgi_name", "uf", "rgi_index", "split") if c in made.columns]
+    return made.select(*lead, *[c for c in made.columns if c not in lead])
 
 
 def one_hot(index: Column, size: Column) -> Column:

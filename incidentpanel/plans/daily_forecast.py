@@ -15,7 +15,8 @@ from incidentpanel.models import minirocket, ridge
 from incidentpanel.operators import evaluate as E
 from incidentpanel.operators.calendar_tables import date_features, future_rows
 from incidentpanel.operators.keys import require_unique
-from incidentpanel.operators.samples import EXOGENOUS, WEATHER_CHANNELS, daily_samples, train_zscores, weather_coverage
+from incidentpanel.operators.samples import EXOGENOUS, WEATHER_CHANNELS, daily_blocks, train_zscores, weather_coverage
+from incidentpanel.operators.windows import keep_rows
 from incidentpanel.session import checkpointed
 from incidentpanel.sources.writers import manifest
 
@@ -88,10 +89,11 @@ def train(enriched: DataFrame, settings: DailySettings) -> dict[str, object]:
     """Kernels fitted on a bounded sample, one ridge per territory, errors per split."""
     spark = enriched.sparkSession
     enriched = checkpointed(spark, enriched)
-    samples = checkpointed(spark, daily_samples(enriched, TOWN, DAY, settings.lookback, weather=settings.weather))
+    samples = checkpointed(spark, daily_blocks(enriched, TOWN, DAY, settings.lookback, weather=settings.weather))
     rocket = minirocket.fit_on(samples, settings.n_kernels, settings.seed, settings.kernel_windows)
     models = checkpointed(spark, ridge.train_per_entity(samples, TOWN, settings.alphas, settings.selection_split, rocket))
-    scored = ridge.score_samples(samples.filter(F.col("split").isin(list(settings.years))), models, TOWN, rocket)
+    dated = keep_rows(samples, lambda r: r["split"].isin(list(settings.years)))
+    scored = ridge.score_samples(dated, models, TOWN, rocket)
     overall, per_town = E.evaluate_entities(scored.withColumn("actual", F.col("y_raw")), TOWN)
     return {"rocket": rocket, "models": models, "metrics": overall, "metrics_by_municipio": per_town}
 
