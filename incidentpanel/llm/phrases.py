@@ -218,7 +218,7 @@ def describe(encoded: DataFrame, counted: DataFrame, size: int) -> DataFrame:
     some = blocks.where(F.pmod(F.shiftright(F.octet_length("tokens"), 3), F.lit(8)) == 0)
     first = pinned(_witnesses(some, counted, size))
     rest = pinned(counted.join(first, "key", "left_anti").select("key"))
-    found = first if rest.isEmpty() else first.union(_witnesses(blocks, rest, size))
+    found = first if rest.isEmpty() else first.union(_witnesses(blocks, rest, size).join(rest, "key", "left_semi"))
     return counted.join(found, "key")
 
 
