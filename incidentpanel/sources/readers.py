@@ -81,13 +81,14 @@ def read_weather_json(spark: SparkSession, path: str, multiline: bool = True) ->
     One row per cell with the source path; a file that carries an error payload
     stops the job with its reason.
     """
-    raw = (
-        spark.read.schema(WEATHER_SCHEMA)
-        .option("multiLine", multiline)
-        .json(path)
-        .withColumn("source_json_path", F.col("_metadata.file_path"))
-    )
-    checked = raw.filter(
+    raw = spark.read.schema(WEATHER_SCHEMA).option("multiLine", multiline).json(path)
+    return weather_cells(raw)
+
+
+def weather_cells(raw: DataFrame, *kept: str) -> DataFrame:
+    """Cells of payloads read with ``WEATHER_SCHEMA``, from files or a file stream, with further columns kept."""
+    tagged = raw.withColumn("source_json_path", F.col("_metadata.file_path"))
+    checked = tagged.filter(
         F.when(
             F.coalesce("error", F.lit(False)),
             F.raise_error(F.concat(F.lit("weather payload error: "), F.coalesce("reason", F.lit("?")))).cast("boolean"),
@@ -96,8 +97,8 @@ def read_weather_json(spark: SparkSession, path: str, multiline: bool = True) ->
     own = F.array(F.struct("latitude", "longitude", "elevation", "daily"))
     return (
         checked.withColumn("__r", F.coalesce("responses", own))
-        .select(F.explode("__r").alias("r"), "source_json_path")
-        .select("r.*", "source_json_path")
+        .select(F.explode("__r").alias("r"), "source_json_path", *kept)
+        .select("r.*", "source_json_path", *kept)
         .filter(F.col("daily").isNotNull())
     )
 
