@@ -37,7 +37,9 @@ LEAST = 30
 LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
-SIEVE_BITS = 1 << 26
+SIEVE_BITS = 1 << 25
+# Keys a task adds up before it hands them on.
+HELD = 1 << 18
 
 # Bytes that end a piece of text, and the further ones that end a word.
 ENDS = np.zeros(256, bool)
@@ -64,14 +66,16 @@ def _words(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 def _flush(tally: Tally, names: list[str]) -> Iterator[pa.RecordBatch]:
     columns = tally.take()
     if columns is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names)
+        whole = pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names)
+        for at in range(0, len(whole), 1 << 16):
+            yield whole.slice(at, 1 << 16)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """(h, lg, f): occurrences of each word of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
+        tally = Tally(HELD)
         for batch in batches:
             for h, language, *_ in _words(batch):
                 tally.add(h, np.ones(len(h), np.int64), language)
@@ -144,24 +148,27 @@ def encode(docs: DataFrame, frequent: Broadcast) -> DataFrame:
     return docs.mapInArrow(run, "tokens binary, h long, word string")
 
 
-def _grams(batch: pa.RecordBatch, size: int) -> Iterator[dict[str, np.ndarray]]:
-    """For each run of ``size`` words its words w1.., the keys g1_2 .. of all its parts of two words or more."""
+def _grams(batch: pa.RecordBatch, size: int, stretch: int = 1 << 15) -> Iterator[dict[str, np.ndarray]]:
+    """For each run of ``size`` words its words w1.., the keys g1_2 .. of all its parts of two words or more.
+
+    A block is worked on ``stretch`` words at a time, with the few words after it.
+    """
     for packed in batch.column("tokens"):
-        tokens = np.frombuffer(packed.as_buffer(), np.uint64)
-        count = len(tokens) - size + 1
-        if count <= 0:
-            continue
-        whole = np.ones(count, bool)
-        for k in range(size):
-            whole &= tokens[k : k + count] != 0
-        at = np.flatnonzero(whole)
-        made = {f"w{k + 1}": tokens[at + k] for k in range(size)}
-        for first in range(1, size + 1):
-            key = made[f"w{first}"]
-            for last in range(first + 1, size + 1):
-                key = pair(key, made[f"w{last}"])
-                made[f"g{first}_{last}"] = key
-        yield made
+        block = np.frombuffer(packed.as_buffer(), np.uint64)
+        for begin in range(0, len(block) - size + 1, stretch):
+            tokens = block[begin : begin + stretch + size - 1]
+            count = len(tokens) - size + 1
+            whole = np.ones(count, bool)
+            for k in range(size):
+                whole &= tokens[k : k + count] != 0
+            at = np.flatnonzero(whole)
+            made = {f"w{k + 1}": tokens[at + k] for k in range(size)}
+            for first in range(1, size + 1):
+                key = made[f"w{first}"]
+                for last in range(first + 1, size + 1):
+                    key = pair(key, made[f"w{last}"])
+                    made[f"g{first}_{last}"] = key
+            yield made
 
 
 def count_phrases(encoded: DataFrame, size: int, wanted: Callable[[dict[str, np.ndarray]], np.ndarray], least: int) -> DataFrame:
@@ -169,7 +176,7 @@ def count_phrases(encoded: DataFrame, size: int, wanted: Callable[[dict[str, np.
     whole = f"g1_{size}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
+        tally = Tally(HELD)
         for batch in batches:
             for grams in _grams(batch, size):
                 key = grams[whole][wanted(grams)]
