@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from incidentpanel.catalog.calendars import day_features_panel, states
-from incidentpanel.catalog.forecasts import GAP, HISTORY, HORIZON, LAGS, LOOKBACK, eval_splits, samples_by_week
+from incidentpanel.catalog.forecasts import BASE, GAP, HISTORY, HORIZON, LAGS, LOOKBACK, eval_splits, samples_by_week
 from incidentpanel.catalog.profiles import CATEGORIES, MODEL_KEYS, categorised, category_levels
 from incidentpanel.catalog.registry import query
 from incidentpanel.catalog.roles import DAY_CTE, INC, daily_panel, day_span, incidents, modelling_panel, pinned_panel, state_extras, table, week_splits
@@ -83,7 +83,7 @@ def recursive_forecast(spark, sf):
 
 @query("grid_selection")
 def grid_selection(spark, sf):
-    """Validation search over seasonal autoregressions; failures stay as rows."""
+    """Validation search over seasonal ARIMA candidates by exact likelihood; failures stay as rows."""
     series = seasonal.entity_series(modelling_panel(spark, sf))
     made = seasonal.candidate_forecasts(series, seasonal.candidate_grid(), "validation", week_splits(spark, sf)["validation"])
     return seasonal.select_candidates(checkpointed(spark, made)).select(
@@ -91,6 +91,35 @@ def grid_selection(spark, sf):
     )
 
 
+# The exact likelihood of an AR(1) is largest at the root of a cubic, which 60 halvings find.
+AR_SQL = f"""WITH RECURSIVE {BASE},
+o AS (SELECT DISTINCT rgi_id, rgi_name, uf, start, cutoff FROM bz WHERE split = 'validation'),
+y AS (SELECT o.rgi_id, cutoff, h.week_start, CAST(h.accident_count AS DOUBLE) AS y,
+        lag(CAST(h.accident_count AS DOUBLE)) OVER (PARTITION BY o.rgi_id, cutoff ORDER BY h.week_start) AS before
+      FROM o JOIN mp h ON h.rgi_id = o.rgi_id AND h.week_start <= cutoff),
+q AS (SELECT rgi_id, cutoff, CAST(count(*) AS DOUBLE) AS n, sum(y * y) AS a, sum(y * before) AS b, arg_max(y, week_start) AS last,
+        sum(y * y) - arg_min(y * y, week_start) - arg_max(y * y, week_start) AS c FROM y GROUP BY 1, 2),
+ar(rgi_id, cutoff, k, low, high) AS (
+  SELECT rgi_id, cutoff, 0, 0.0::DOUBLE, 1.0::DOUBLE FROM q
+  UNION ALL
+  SELECT rgi_id, cutoff, k + 1, CASE WHEN up THEN low ELSE mid END, CASE WHEN up THEN mid ELSE high END
+  FROM (SELECT ar.*, (low + high) / 2 AS mid, n * ((low + high) / 2 * c - b) * (1 - ((low + high) / 2) ** 2) + (low + high) / 2 * (a - (low + high) * b + ((low + high) / 2) ** 2 * c) > 0 AS up
+        FROM ar JOIN q USING (rgi_id, cutoff) WHERE k < 60))
+SELECT bz.rgi_id, CAST(bz.cutoff AS VARCHAR) AS cutoff_week_start, CAST(bz.week_start AS VARCHAR) AS week_start, step AS horizon_step,
+  round(low ** (datediff('day', bz.cutoff, bz.week_start) // 7) * last, 3) AS prediction, CAST(bz.accident_count AS DOUBLE) AS actual
+FROM bz JOIN ar USING (rgi_id, cutoff) JOIN q USING (rgi_id, cutoff) WHERE split = 'validation' AND k = 60"""
+
+
+@query("ar_forecasts", AR_SQL)
+def ar_forecasts(spark, sf):
+    """The candidate (1, 0, 0) refitted by exact likelihood at every validation origin."""
+    series = seasonal.entity_series(modelling_panel(spark, sf))
+    made = seasonal.candidate_forecasts(series, [(1, 0, 0, 0, 0, 0)], "validation", week_splits(spark, sf)["validation"], tolerance=1e-7)
+    return made.select(
+        "rgi_id", "cutoff_week_start", "week_start", "horizon_step", F.round("prediction", 3).alias("prediction"), "actual"
+    )
+
+
 @query("seasonal_forecasts")
 def seasonal_forecasts(spark, sf):
     """Refit of the selected candidates on the validation and test origins."""

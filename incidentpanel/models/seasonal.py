@@ -1,9 +1,10 @@
-"""Seasonal autoregressions: candidate grid, validation search, refit per origin.
+"""Seasonal ARIMA models: candidate grid, validation search, refit per origin.
 
-Orders follow the usual (p, d, q) x (P, D, Q, season) grid.  Lags enter a least
-squares regression; moving-average terms use the residuals of a first long
-regression (Hannan-Rissanen).  Spark spreads (entity, candidate) pairs; the
-numpy part sees one series, whose length is bounded by the calendar.
+Orders follow the usual (p, d, q) x (P, D, Q, season) grid with orders of 0 and 1.  Each
+candidate is fitted by its exact likelihood (``statespace``) and refitted at every
+origin; all origins of a series are filtered in one pass.  Spark spreads the pairs of an entity and a way to
+difference its series; the candidates of a pair share one differenced series and are
+fitted together.  A series is as long as the calendar.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidentpanel.models import statespace
 from incidentpanel.operators.calendar_tables import forecast_batches
 from incidentpanel.operators.evaluate import evaluate_by
 
@@ -33,6 +35,26 @@ def order_label(order: tuple[int, ...], season: int) -> str:
     return f"({p}, {d}, {q}) x ({sp}, {sd}, {sq}, {season})"
 
 
+def differenced(y: np.ndarray, d: int, sd: int, season: int) -> list[np.ndarray]:
+    """The series and its successive differences, the last one stationary by assumption."""
+    levels = [np.asarray(y, dtype=float)]
+    for lag in [1] * d + [season] * sd:
+        if len(levels[-1]) <= lag:
+            raise ValueError("history too short for differencing")
+        levels.append(_difference(levels[-1], lag))
+    return levels
+
+
+def undo(levels: list[np.ndarray], d: int, sd: int, season: int, ahead: np.ndarray) -> np.ndarray:
+    """Forecasts of the series from those of its last difference."""
+    for level, lag in zip(reversed(levels[:-1]), reversed([1] * d + [season] * sd), strict=True):
+        known = list(level)
+        for step in ahead:
+            known.append(known[-lag] + step)
+        ahead = np.asarray(known[len(level) :])
+    return ahead
+
+
 def _difference(y: np.ndarray, lag: int) -> np.ndarray:
     return y[lag:] - y[:-lag]
 
@@ -42,13 +64,12 @@ def _lagged(y: np.ndarray, lags: list[int], start: int) -> np.ndarray:
 
 
 def fit_forecast(y: np.ndarray, order: tuple[int, ...], season: int, steps: int) -> np.ndarray:
-    """Fit one candidate on a series and extend it by ``steps`` values."""
+    """Fit one candidate by least squares on lags (quick, conditional) and extend it by ``steps`` values.
+
+    Moving-average terms use the residuals of a first long regression (Hannan-Rissanen).
+    """
     p, d, q, sp, sd, sq = order
-    levels = [np.asarray(y, dtype=float)]
-    for lag in [1] * d + [season] * sd:
-        if len(levels[-1]) <= lag:
-            raise ValueError("history too short for differencing")
-        levels.append(_difference(levels[-1], lag))
+    levels = differenced(y, d, sd, season)
     z = levels[-1]
     ar = [1] * p + [season] * sp
     ma = [1] * q + [season] * sq
@@ -73,12 +94,7 @@ def fit_forecast(y: np.ndarray, order: tuple[int, ...], season: int, steps: int)
         values.append(float(np.dot(weights, terms)) if terms else 0.0)
         errors.append(0.0)
     ahead = np.asarray(values[len(z) :])
-    # Undo the differences from the innermost level outwards.
-    for level, lag in zip(reversed(levels[:-1]), reversed([1] * d + [season] * sd)):
-        known = list(level)
-        for step in ahead:
-            known.append(known[-lag] + step)
-        ahead = np.asarray(known[len(level) :])
+    ahead = undo(levels, d, sd, season, ahead)
     if not np.all(np.isfinite(ahead)):
         raise ValueError("forecast diverged")
     return ahead
@@ -107,34 +123,66 @@ def _with_batches(tasks: DataFrame, split: str, bounds: tuple[date, date], horiz
     return tasks.withColumns({"split": F.lit(split), "batches": listed})
 
 
-def _forecaster(season: int, horizon: int, gap: int):
-    """Batch function: one input row is one (entity, candidate)."""
+def exact_forecasts(
+    y: np.ndarray, ends: list[int], orders: list[tuple[int, ...]], season: int, steps: int, tolerance: float = 1e-3
+) -> np.ndarray:
+    """Forecasts (origins, candidates, steps) of candidates that difference alike, fitted by exact likelihood.
+
+    At each origin the series is its first ``ends[k]`` values.  A candidate whose forecast
+    is not finite, or which has no more values than parameters, gets NaN there.
+    """
+    _, d, _, _, sd, _ = orders[0]
+    lost = d + season * sd
+    if min(ends) <= lost:
+        raise ValueError("history too short for differencing")
+    z = differenced(y, d, sd, season)[-1]
+    used = np.array([[o[0], o[2], o[3], o[5]] for o in orders], dtype=bool)
+    lengths = np.array(ends) - lost
+    free = statespace.fit_origins(z, used, season, lengths, tolerance)
+    ahead = statespace.extend(z, free.reshape(-1, free.shape[2]), season, steps, np.repeat(lengths, len(orders)))
+    made = ahead.reshape(len(ends), len(orders), steps)
+    for k, end in enumerate(ends):
+        levels = differenced(y[:end], d, sd, season)
+        made[k] = [undo(levels, d, sd, season, values) for values in made[k]]
+        made[k, lengths[k] <= used.sum(axis=1) + 1] = np.nan
+    return made
+
+
+def _forecaster(season: int, horizon: int, gap: int, tolerance: float):
+    """Batch function: one input row is one entity with candidates that difference alike."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for task in frame.itertuples(index=False):
-                order = tuple(int(getattr(task, f)) for f in ORDER_FIELDS)
+                orders = [tuple(int(o[f]) for f in ORDER_FIELDS) for o in task.orders]
                 weeks = np.asarray(task.weeks, dtype="datetime64[D]")
                 counts = np.asarray(task.counts, dtype=float)
                 where = {w: i for i, w in enumerate(weeks)}
-                made, failure = [], None
+                made: list[list[tuple]] = [[] for _ in orders]
+                failures: list[str | None] = [None] * len(orders)
                 try:
-                    for batch in task.batches:
+                    cutoffs = [np.datetime64(batch["cutoff_week_start"], "D") for batch in task.batches]
+                    ends = [int((weeks <= cutoff).sum()) for cutoff in cutoffs]
+                    ahead = exact_forecasts(counts, ends, orders, season, gap + horizon - 1, tolerance) if ends else []
+                    for batch, cutoff, forecast in zip(task.batches, cutoffs, ahead, strict=True):
                         start = np.datetime64(batch["forecast_batch_start"], "D")
-                        cutoff = np.datetime64(batch["cutoff_week_start"], "D")
-                        history = counts[weeks <= cutoff]
-                        ahead = fit_forecast(history, order, season, gap + horizon - 1)[gap - 1 :]
-                        for step in range(horizon):
-                            target = start + np.timedelta64(7 * step, "D")
-                            actual = counts[where[target]] if target in where else None
-                            made.append((start, cutoff, target, step + 1, max(float(ahead[step]), 0.0), actual))
-                except Exception as problem:  # one failed candidate must not stop the search
-                    made, failure = [], f"{type(problem).__name__}: {problem}"
-                base = (task.rgi_id, task.rgi_name, task.uf, task.split, order_label(order, season), *order)
-                rows += [(*base, "success", "", *m) for m in made]
-                if failure is not None:
-                    rows.append((*base, "failed", failure, *([None] * 6)))
+                        for k, values in enumerate(forecast[:, gap - 1 :]):
+                            if not np.all(np.isfinite(values)):
+                                failures[k] = failures[k] or "ValueError: no finite forecast"
+                                continue
+                            for step in range(horizon):
+                                target = start + np.timedelta64(7 * step, "D")
+                                actual = counts[where[target]] if target in where else None
+                                made[k].append((start, cutoff, target, step + 1, max(float(values[step]), 0.0), actual))
+                except Exception as problem:  # a failed candidate must not stop the search
+                    failures = [f"{type(problem).__name__}: {problem}"] * len(orders)
+                for order, predictions, failure in zip(orders, made, failures, strict=True):
+                    base = (task.rgi_id, task.rgi_name, task.uf, task.split, order_label(order, season), *order)
+                    if failure is None:
+                        rows += [(*base, "success", "", *m) for m in predictions]
+                    else:
+                        rows.append((*base, "failed", failure, *([None] * 6)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SCHEMA.split(", ")])
 
     return run
@@ -168,12 +216,22 @@ def candidate_forecasts(
     horizon: int = 4,
     gap: int = 4,
     season: int = 52,
+    tolerance: float = 1e-3,
 ) -> DataFrame:
     """Forecasts of every candidate for every entity over one split's batches."""
-    grid = F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(ORDER_FIELDS, c)]) for c in candidates])
-    tasks = series.select("*", F.inline(grid)).repartition("rgi_id", *ORDER_FIELDS)
+    alike: dict[tuple[int, int], list[tuple[int, ...]]] = {}
+    for c in candidates:
+        alike.setdefault((c[1], c[4]), []).append(c)
+
+    def listed(orders: list[tuple[int, ...]]) -> Column:
+        return F.array(*[F.struct(*[F.lit(v).alias(f) for f, v in zip(ORDER_FIELDS, c, strict=True)]) for c in orders])
+
+    tasks = series.select("*", F.explode(F.array(*[listed(x) for x in alike.values()])).alias("orders"))
+    # Heavy work on few rows: one partition for each entity and way to difference.
+    keys = ["rgi_id", F.col("orders")[0]["d"], F.col("orders")[0]["sd"]]
+    tasks = tasks.repartition(max(1, 4 * series.sparkSession.sparkContext.defaultParallelism), *keys)
     batched = _with_batches(tasks, split, bounds, horizon, gap)
-    return batched.mapInPandas(_forecaster(season, horizon, gap), _SCHEMA)
+    return batched.mapInPandas(_forecaster(season, horizon, gap, tolerance), _SCHEMA)
 
 
 def select_candidates(validation: DataFrame) -> DataFrame:
@@ -204,16 +262,17 @@ def selected_forecasts(
     horizon: int = 4,
     gap: int = 4,
     season: int = 52,
+    tolerance: float = 1e-3,
 ) -> DataFrame:
     """Refit each entity's selected candidate at every origin of the given splits."""
-    chosen = diagnostics.filter("is_selected").select("rgi_id", *ORDER_FIELDS)
+    chosen = diagnostics.filter("is_selected").select("rgi_id", F.array(F.struct(*ORDER_FIELDS)).alias("orders"))
     tasks = series.join(chosen, "rgi_id")
     made = None
     for split, bounds in ranges.items():
-        part = _with_batches(tasks, split, bounds, horizon, gap).mapInPandas(_forecaster(season, horizon, gap), _SCHEMA)
+        part = _with_batches(tasks, split, bounds, horizon, gap).mapInPandas(_forecaster(season, horizon, gap, tolerance), _SCHEMA)
         made = part if made is None else made.unionByName(part)
     return made.filter(F.col("status") == "success").select(
-        F.lit("seasonal_ar").alias("model"),
+        F.lit("sarima").alias("model"),
         "split",
         "rgi_id",
         "rgi_name",
