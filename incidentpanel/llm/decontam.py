@@ -178,7 +178,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The documents without any benchmark window, all columns kept.
 
-    Null and empty texts and repeated rows stay; an empty benchmark removes nothing.
+    Null and empty texts and repeated rows stay; an empty benchmark removes nothing, an
+    empty table stays empty; columns may have any names.
     """
-    marked = with_hits(docs, pinned(benchmark_windows(benchmark, window)), shingle)
-    return marked.where(F.col("__hits").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"), F.col("text").alias("__text"))
+    marked = with_hits(rows, pinned(benchmark_windows(benchmark, window)), shingle, "__text")
+    return marked.where(F.col("__hits").isNull()).select(*[F.col("__own")[c].alias(c) for c in docs.columns])

@@ -96,11 +96,15 @@ def mixed(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling: flo
 
     The cases of ``mix_plan`` hold here too: a source without words is not taken, and an
     empty document of another source follows that source's rate.  If the documents have
-    a column ``copy``, the number is called ``mix_copy``.
+    a column ``copy``, the number is called ``mix_copy``, or if they have that too,
+    ``mix_mix_copy``; other columns may have any names.
     """
     sizes = docs.select("source", word_count(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("size"))
     targets = source_targets(sizes, weights, budget, ceiling)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    name = "copy" if "copy" not in docs.columns else "mix_copy"
-    rated = _with_rates(docs, targets, []).withColumn("__mix_taken", _taken(seed).cast("int")).where("__mix_taken > 0")
+    name = "copy"
+    while name in docs.columns:
+        name = f"mix_{name}"
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"), "source", "doc_id")
+    rated = _with_rates(rows, targets, []).withColumn("__mix_taken", _taken(seed).cast("int")).where("__mix_taken > 0")
+    own = [F.col("__own")[c].alias(c) for c in docs.columns]
     return rated.select(*own, F.explode(F.sequence(F.lit(1), F.col("__mix_taken"))).alias(name))

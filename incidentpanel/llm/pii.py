@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentpanel.llm.common import join_sized, pinned
@@ -35,7 +35,11 @@ ACCEPT = 0.9
 # A rise of less than this ends the rounds.
 STILL = 1e-6
 PRIOR = 1.0
+# Running results are made in blocks of this many elements, texts cut in pieces of this many characters.
+RUN = 512
+CHUNK = 1024
 
+# Unbounded repetitions of a group are possessive: others recurse once for each turn.
 # A match starts where a run of these characters starts, or where the match before ended;
 # without that a long run would be tried again from each of its characters.
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -44,7 +48,7 @@ _DIGITS = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){%d,%d}(?![\x20-]?[
 # The forms of the four kinds. Card numbers are runs of digits of this
 # length with single spaces or hyphens, so runs of other lengths need no test.
 STRICT = {
-    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": _DIGITS % (13, 18),
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -91,59 +95,99 @@ def _plausible(kind: str, value: Column) -> Column:
     return F.length(_digits(value)).between(7, 15) if kind == "phone" else F.lit(True)
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """Running result of ``join`` over an array, one value per element, this one included.
+
+    Appending to an array costs its length, so it is done in blocks of ``RUN`` and over
+    the blocks' last values.
+    """
+
+    def along(part: Column) -> Column:
+        start = F.struct(zero.alias("now"), F.array().cast("array<int>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            now = join(acc["now"], x)
+            return F.struct(now.alias("now"), F.concat(acc["out"], F.array(now)).alias("out"))
+
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    many = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int"))
+    blocks = F.transform(many, lambda b: along(F.slice(values, b * RUN + 1, F.lit(RUN))))
+    ends = along(F.transform(blocks, lambda b: F.element_at(b, -1)))
+    whole = F.flatten(
+        F.transform(
+            F.arrays_zip(blocks.alias("block"), F.slice(F.concat(F.array(zero), ends), F.lit(1), F.size(blocks)).alias("before")),
+            lambda z: F.transform(z["block"], lambda x: join(z["before"], x)),
+        )
+    )
+    return F.when(F.size(values) > 0, whole).otherwise(F.array().cast("array<int>"))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _mentions(matches: Column, pieces: Column, kind: str, valid: Callable[[Column], Column]) -> Column:
     """Array of (start, kind, end, value, patterns): offsets add up the lengths of pieces and matches.
 
     ``pieces`` is the text between matches, so both together are the whole text, and the
     words around a match are the ends of its neighbouring pieces.
     """
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    places = F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1),
-        F.struct(F.lit(0).alias("upto"), empty.alias("out")),
-        lambda acc, i: _next_place(acc, F.length(F.get(pieces, i)), F.length(F.get(matches, i))),
-        lambda acc: acc["out"],
-    )
+    lengths = F.transform(matches, lambda m, i: F.length(F.get(pieces, i)) + F.length(m))
+    ends = _running(lengths, _add, F.lit(0))
 
-    def mention(place: Column, i: Column) -> Column:
+    def mention(pair: Column, i: Column) -> Column:
         before = F.regexp_extract_all(_plain(F.right(F.get(pieces, i), F.lit(48))), F.lit(r"\S+"), F.lit(0))
         after = F.regexp_extract(_plain(F.left(F.get(pieces, i + 1), F.lit(24))), r"\S+", 0)
         last, second = (F.coalesce(F.get(before, F.size(before) - k), F.lit("^")) for k in (1, 2))
         return F.struct(
-            place["start"].alias("start"),
+            (pair["end"] - F.length(pair["value"])).alias("start"),
             F.lit(KINDS.index(kind)).alias("kind"),
-            place["end"].alias("end"),
-            F.get(matches, i).alias("value"),
+            pair["end"].alias("end"),
+            pair["value"].alias("value"),
             F.array(F.concat(F.lit("L "), second, F.lit(" "), last), F.concat(F.lit("B "), last, F.lit(" | "), after)).alias("patterns"),
         )
 
-    made = F.filter(F.transform(places, mention), lambda m: valid(m["value"]))
+    placed = F.arrays_zip(matches.alias("value"), ends.alias("end"))
+    made = F.filter(F.transform(placed, mention), lambda m: valid(m["value"]))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string,patterns:array<string>>>")
     return F.when(F.size(matches) > 0, made).otherwise(none)
 
 
-def _next_place(acc: Column, gap: Column, size: Column) -> Column:
-    start = acc["upto"] + gap
-    place = F.struct(start.alias("start"), (start + size).alias("end"))
-    return F.struct((start + size).alias("upto"), F.concat(acc["out"], F.array(place)).alias("out"))
-
-
 def _plain(words: Column) -> Column:
     return F.regexp_replace(F.lower(words), "[0-9]", "0")
 
 
-def with_mentions(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def _clear_of(candidates: Column, spans: Column) -> Column:
+    """Candidates that overlap no span.  Both are sorted together once; running ends and starts decide."""
+    mark = lambda m, own: F.struct(m["start"].alias("start"), F.lit(own).alias("own"), m["end"].alias("end"), m.alias("m"))
+    every = F.array_sort(F.concat(F.transform(spans, lambda m: mark(m, 0)), F.transform(candidates, lambda m: mark(m, 1))))
+    reached = _running(F.transform("__every", lambda x: F.when(x["own"] == 0, x["end"]).otherwise(F.lit(-1))), F.greatest, F.lit(-1))
+    far = (1 << 31) - 1
+    backwards = F.reverse(F.transform("__every", lambda x: F.when(x["own"] == 0, x["start"]).otherwise(F.lit(far))))
+    ahead = F.reverse(_running(backwards, F.least, F.lit(far)))
+    return every, F.transform(
+        F.filter(
+            F.arrays_zip(F.col("__every"), reached.alias("reached"), ahead.alias("ahead")),
+            lambda z: (z["__every"]["own"] == 1) & (z["reached"] <= z["__every"]["start"]) & (z["ahead"] >= z["__every"]["end"]),
+        ),
+        lambda z: z["__every"]["m"],
+    )
+
+
+def with_mentions(rows: DataFrame, text_column: str = "text") -> DataFrame:
     """Adds ``__key`` (hash of the text), ``__base`` and ``__loose``: seeds and candidates of each text.
 
-    All columns and rows of ``docs`` stay.
+    All columns and rows stay; none of theirs may start with two underscores and a name
+    used here (callers with columns of others hand them over as one struct).
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in rows.columns]
     cut = {}
     for form, patterns in (("strict", STRICT), ("loose", LOOSE)):
         for kind, pattern in patterns.items():
             cut[f"__{form}_{kind}"] = F.when(GUARD[kind](text), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    matched = docs.select(*own, F.xxhash64(text_column).alias("__key"), *[c.alias(n) for n, c in cut.items()])
+    matched = rows.select(*own, F.xxhash64(text_column).alias("__key"), *[c.alias(n) for n, c in cut.items()])
     pieces = {
         f"{name}_pieces": F.when(F.size(name) > 0, F.split(text, (STRICT if "strict" in name else LOOSE)[name.rpartition("_")[2]], -1))
         for name in cut
@@ -155,9 +199,11 @@ def with_mentions(docs: DataFrame, text_column: str = "text") -> DataFrame:
         test = _valid if form == "strict" else _plausible
         lists[form].append(_mentions(F.col(name), F.col(f"{name}_pieces"), kind, lambda v, k=kind, t=test: t(k, v)))
     seeded = parted.withColumns({"__base": F.concat(*lists["strict"]), "__all": F.concat(*lists["loose"])})
-    overlaps = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    free = F.filter("__all", lambda c: ~F.exists("__base", lambda b: overlaps(b, c)))
-    return seeded.select(*own, "__key", "__base", free.alias("__loose"))
+    every, free = _clear_of(F.col("__all"), F.col("__base"))
+    # Without a seed all candidates stay.
+    both = (F.size("__base") > 0) & (F.size("__all") > 0)
+    merged = seeded.withColumn("__every", F.when(both, every))
+    return merged.select(*own, "__key", "__base", F.when(both, free).otherwise(F.col("__all")).alias("__loose"))
 
 
 def discover(mentions: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT, accept: float = ACCEPT) -> DataFrame:
@@ -215,14 +261,20 @@ def discover(mentions: DataFrame, support: int = SUPPORT, confident: float = CON
 
 
 def found_spans(marked: DataFrame, accepted: DataFrame) -> DataFrame:
-    """``(__key, __found)``: per text the accepted candidates; of those that overlap the surest stays."""
+    """``(__key, __found)``: per text the accepted candidates; of those that overlap the surest stays.
+
+    Candidates are compared inside runs of overlapping ones only.
+    """
     hits = (
         marked.select("__key", F.explode("__loose").alias("m"))
         .distinct()
         .join(accepted, (F.col("m.kind") == accepted.kind) & (F.col("m.value") == accepted.value))
         .select("__key", F.struct((-F.col("score")).alias("rank"), "m.start", "m.kind", "m.end", "m.value").alias("s"))
     )
-    lists = hits.groupBy("__key").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    along = Window.partitionBy("__key").orderBy("s.start", "s.end", "s.kind")
+    before = F.max("s.end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opened = hits.withColumn("fresh", F.when(F.col("s.start") >= F.coalesce(before, F.lit(0)), 1).otherwise(0))
+    runs = opened.withColumn("run", F.sum("fresh").over(along)).groupBy("__key", "run").agg(F.array_sort(F.collect_list("s")).alias("s"))
     clear = F.aggregate(
         "s",
         F.array().cast("array<struct<rank:double,start:int,kind:int,end:int,value:string>>"),
@@ -230,7 +282,7 @@ def found_spans(marked: DataFrame, accepted: DataFrame) -> DataFrame:
             F.concat(out, F.array(x))
         ),
     )
-    return pinned(lists.select("__key", clear.alias("__found")))
+    return pinned(runs.select("__key", clear.alias("f")).groupBy("__key").agg(F.flatten(F.collect_list("f")).alias("__found")))
 
 
 def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -277,41 +329,58 @@ def report(docs: DataFrame, **settings) -> DataFrame:
     )
 
 
+def _chunked(text: Column) -> Column:
+    """The text in pieces of ``CHUNK`` characters, cut in two levels, as finding a place costs its distance."""
+
+    def parts(whole: Column, size: int) -> Column:
+        last = F.floor((F.length(whole) - 1) / size).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.substring(whole, k * size + 1, F.lit(size)))
+
+    return F.flatten(F.transform(parts(text, CHUNK * 64), lambda part: parts(part, CHUNK)))
+
+
+def _cut(chunks: Column, start: Column, end: Column) -> Column:
+    """Characters from ``start`` up to ``end`` of a chunked text."""
+    first, last = (F.floor(x / CHUNK).cast("int") for x in (start, end))
+    return F.substring(F.array_join(F.slice(chunks, first + 1, last - first + 1), ""), start % CHUNK + 1, end - start)
+
+
 def masked(docs: DataFrame, **settings) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; all columns kept.
 
-    A column ``n_chars`` is brought up to date in the rows that change.
+    Overlapping spans are replaced as one, by the kind of the first.  A column
+    ``n_chars`` is brought up to date in the rows that change.  Null and empty texts stay
+    as they are; repeated rows stay repeated; an empty table gives an empty result;
+    columns may have any names.
     """
     marked = pinned(with_mentions(docs.select("text")).select("__key", "__base", "__loose"))
     found = found_spans(marked, discover(marked, **settings))
-    joined = _with_found(with_mentions(docs).drop("__loose"), found)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"), F.col("text").alias("__text"))
+    joined = _with_found(with_mentions(rows, "__text").drop("__loose"), found)
+    some = (F.size("__base") > 0) | F.col("__found").isNotNull()
+    cut = joined.withColumn("__chunks", F.when(some, _chunked(F.col("__text"))))
     # A key is a hash: a span of another text with the same hash would not hold the same value.
-    real = F.filter("__found", lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]) == s["value"])
-    spans = joined.withColumn("__spans", _all_spans(F.col("__base"), real))
+    real = F.filter("__found", lambda s: _cut(F.col("__chunks"), s["start"], s["end"]) == s["value"])
+    spans = cut.withColumn("__spans", F.when(some, _all_spans(F.col("__base"), real)))
+    ends = _running(F.transform("__spans", lambda s: s["end"]), F.greatest, F.lit(0))
+    reached = spans.withColumn("__upto", F.when(F.size("__spans") > 0, F.concat(F.array(F.lit(0)), ends)))
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def replace(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["upto"]
-        gap = F.substring(F.col("text"), acc["upto"] + 1, s["start"] - acc["upto"])
-        return F.struct(
-            F.greatest(acc["upto"], s["end"]).alias("upto"),
-            F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.get(tags, s["kind"]))).alias("out"),
-        )
+    def piece(s: Column, i: Column) -> Column:
+        upto = F.get("__upto", i)
+        own = F.concat(_cut(F.col("__chunks"), upto, s["start"]), F.get(tags, s["kind"]))
+        return F.when(s["start"] < upto, F.lit("")).otherwise(own)
 
-    start = F.struct(F.lit(0).alias("upto"), F.lit("").alias("out"))
-    whole = F.aggregate(
-        "__spans", start, replace, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["upto"] + 1, F.length("text")))
-    )
-    changed = F.size("__spans") > 0
-    new = {"text": F.when(changed, whole).otherwise(F.col("text"))}
-    done = spans.withColumn("__text", new["text"])
+    rest = _cut(F.col("__chunks"), F.element_at("__upto", -1), F.length("__text"))
+    changed = F.coalesce(F.size("__spans") > 0, F.lit(False))
+    whole = F.concat(F.array_join(F.transform("__spans", piece), ""), rest)
+    done = reached.withColumn("__new", F.when(changed, whole).otherwise(F.col("__text"))).withColumn("__changed", changed)
     out = []
     for c in docs.columns:
+        own = F.col("__own")[c]
         if c == "text":
-            out.append(F.col("__text").alias("text"))
+            own = F.col("__new")
         elif c == "n_chars":
-            size = F.length("__text").cast(docs.schema[c].dataType)
-            out.append(F.when(changed, size).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
+            own = F.when(F.col("__changed"), F.length("__new").cast(docs.schema[c].dataType)).otherwise(own)
+        out.append(own.alias(c))
     return done.select(*out)

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import decontam, pii, urls
+from incidentpanel.llm import decontam, mixing, pii, urls
 
 
 def lower(text):
@@ -218,3 +218,47 @@ def test_card_check_digit(spark):
 
 if __name__ == "__main__":
     pytest.main([__file__])
+
+
+def test_long_chains_and_many_matches_in_one_text(spark):
+    labels = "x@a" + ".a" * 200_000
+    many = "".join(f"mail u{i}@host{i}.example.com, " for i in range(8000))
+    calls = "".join(f"call 555-123-{i:04d} or +49 30 {i:07d} then " for i in range(3000))
+    df = spark.createDataFrame([(1, labels), (2, many), (3, calls)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.report(df).collect()}
+    assert got[1].n_email == 1 and got[1].spans == f"email:0:{len(labels)}"
+    spans = brute_spans(many)
+    assert got[2].n_email == len(spans) == 8000 and got[2].spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+    base = ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute_spans(calls))
+    assert got[3].n_phone == 3000 and got[3].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    new = {r.doc_id: r.text for r in pii.masked(df).collect()}
+    assert new[1] == "[EMAIL]" and new[2] == "mail [EMAIL], " * 8000
+    assert new[3].count("[PHONE]") >= 3000 and "+49" not in new[3]
+
+
+def test_running_results_over_blocks(spark):
+    rows = [([(i * 7919) % 1000 - 500 for i in range(n)],) for n in (0, 1, 2, 511, 512, 513, 1025, 3000)]
+    df = spark.createDataFrame(rows, "x array<int>")
+    added = df.select("x", pii._running(F.col("x"), pii._add, F.lit(0)).alias("s"), pii._running(F.col("x"), F.greatest, F.lit(-1)).alias("m")).collect()
+    for r in added:
+        total, most, sums, tops = 0, -1, [], []
+        for v in r.x:
+            total, most = total + v, max(most, v)
+            sums.append(total)
+            tops.append(most)
+        assert r.s == sums and r.m == tops
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["__key", "__base", "__loose", "__found", "__own", "__text", "__hits", "__spans", "copy", "mix_copy", "__mix_key", "__mix_rate", "m", "n"]
+    made = spark.createDataFrame([(1, "a@b.c and more", "s"), (2, None, "s"), (2, None, "s"), (3, "", None)], "doc_id long, text string, source string")
+    df = made.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in names])
+    bench = spark.createDataFrame([(1, "one two three"), (2, "and more")], "item_id long, text string")
+    masked, kept, copies = pii.masked(df), decontam.clean(df, bench), mixing.mixed(df)
+    assert masked.columns == df.columns and kept.columns == df.columns and copies.columns == [*df.columns, "mix_mix_copy"]
+    assert sorted((r.doc_id, r.text, r["__key"], r.copy) for r in masked.collect() if r.text) == [(1, "[EMAIL] and more", "__key-1", "copy-1")]
+    assert sorted((r.doc_id, r["__key"], r["__hits"]) for r in kept.collect()) == [(2, "__key-2", "__hits-2")] * 2 + [(3, "__key-3", "__hits-3")]
+    for r in copies.collect():
+        assert (r["__mix_key"], r["__own"], r["mix_copy"]) == (f"__mix_key-{r.doc_id}", f"__own-{r.doc_id}", f"mix_copy-{r.doc_id}")
+    for one in (pii.masked(df.where("false")), decontam.clean(df.where("false"), bench)):
+        assert one.count() == 0
