@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentpanel.llm.common import bucket, pinned, stored
+from incidentpanel.llm.common import bucket, join_sized, pinned, stored
 from incidentpanel.llm.tokens import Tally, lookup, mix, runs, span_hashes
 
 LONGEST = 4
@@ -132,11 +132,12 @@ class Model:
         known, logs = self.tables.get(kind, (np.zeros(0, np.uint64), np.zeros((0, len(self.languages)))))
         return lookup(known, items), logs
 
-    def _word_scores(self, points, unique, starts, ends) -> np.ndarray:
-        """Log frequency of each word in each language; zeros if not even a letter is known."""
-        scores = np.zeros((len(unique), len(self.languages)))
+    def _word_scores(self, points, unique, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Log frequency of each word in each language (zeros if not even a letter is known), and whether more than letters is."""
+        scores, familiar = np.zeros((len(unique), len(self.languages))), np.zeros(len(unique), bool)
         at, logs = self._matrix(0, unique)
         scores[at >= 0] = logs[at[at >= 0]]
+        familiar[at >= 0] = True
         left = np.flatnonzero(at < 0)
         for n in range(LONGEST, 0, -1):
             if not len(left):
@@ -148,24 +149,29 @@ class Model:
             for k in range(len(self.languages)):
                 total = np.bincount(word[hit], logs[at[hit], k], len(left))
                 scores[left, k] = np.where(many > 0, total / np.maximum(many, 1), 0.0)
+            familiar[left[many > 0]] = n > 1
             left = left[many == 0]
-        return scores
+        return scores, familiar
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Best language and its probability; ``und`` and 0 without a letter or a learned language."""
-        best, sure = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Best language, its probability, and whether a word or more than single letters of it is known.
+
+        ``und`` and 0 without a letter or a learned language.
+        """
+        best, sure, known = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         if not self.languages:
-            return best, sure
+            return best, sure, known
         for first, end, offsets, points in _blocks(texts):
             unique, starts, ends, inverse, rows = _words(offsets, points)
-            scores = self._word_scores(points, unique, starts, ends)
+            scores, familiar = self._word_scores(points, unique, starts, ends)
             totals = np.stack([np.bincount(rows, scores[inverse, k], end - first) for k in range(len(self.languages))], axis=1)
             worded = np.bincount(rows, minlength=end - first) > 0
             odds = np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
             for i in np.flatnonzero(worded):
                 best[first + i] = self.languages[int(totals[i].argmax())]
             sure[first:end] = np.where(worded, 1 / odds, 0.0)
-        return best, sure
+            known[first:end] = np.bincount(rows, familiar[inverse], end - first) > 0
+        return best, sure, known
 
 
 def _cuts(items: DataFrame, room: int) -> dict[int, int]:
@@ -193,7 +199,7 @@ def train(docs: DataFrame, min_count: int = MIN_COUNT, hot_bytes: int = HOT_BYTE
     model = Model(languages)
     if not languages:
         return model, None
-    counted = pinned(_count(spoken, languages).where((F.col("all") >= min_count) | (F.col("kind") >= WHOLE)))
+    counted = stored(_count(spoken, languages).where((F.col("all") >= min_count) | (F.col("kind") >= WHOLE)), "langid-counts")
     sums = counted.where(F.col("kind") >= WHOLE).select(F.col("kind") - WHOLE, F.inline("by")).collect()
     items = counted.where(F.col("kind") < WHOLE)
     many = dict(map(tuple, items.groupBy("kind").agg(F.count("*")).collect()))
@@ -241,7 +247,9 @@ def _opened(docs: DataFrame, held, keep: list[str]) -> DataFrame:
                 row, word = np.divmod(both, max(1, len(unique)))
                 letters = {w: points[starts[w] : ends[w]].tobytes().decode("utf-32-le") for w in np.unique(word).tolist()}
                 bounds = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=size))]).astype(np.int32))
+                familiar = np.bincount(rows, at[inverse] >= 0, size) > 0
                 lists = [
+                    pa.array(familiar),
                     pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * len(model.languages)), pa.array(totals.ravel().astype(float))),
                     pa.ListArray.from_arrays(bounds, pa.array(unique[word].view(np.int64))),
                     pa.ListArray.from_arrays(bounds, pa.array([letters[w] for w in word.tolist()], pa.string())),
@@ -250,16 +258,16 @@ def _opened(docs: DataFrame, held, keep: list[str]) -> DataFrame:
                 own = batch.slice(first, size)
                 yield pa.RecordBatch.from_arrays(
                     [*(own.column(c) for c in [*keep, "__langid_row"]), pa.array(np.bincount(rows, minlength=size) > 0), *lists],
-                    [*keep, "__langid_row", "__worded", "__totals", "__word", "__letters", "__times"],
+                    [*keep, "__langid_row", "__worded", "__familiar", "__totals", "__word", "__letters", "__times"],
                 )
 
     numbered = docs.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("__langid_row"), F.col("text").alias("__langid_text"))
-    extra = "`__langid_row` long, `__worded` boolean, `__totals` array<double>, `__word` array<long>, `__letters` array<string>, `__times` array<long>"
+    extra = "`__langid_row` long, `__worded` boolean, `__familiar` boolean, `__totals` array<double>, `__word` array<long>, `__letters` array<string>, `__times` array<long>"
     return stored(numbered.mapInArrow(run, f"{fields}, {extra}"), "langid-words")
 
 
 def _word_table(words: DataFrame, held, rest: DataFrame) -> DataFrame:
-    """``(word, logs)`` of distinct rows (word, letters): the word's own, or the means of its longest known n-grams.
+    """``(word, logs, familiar)`` of distinct rows (word, letters): the word's own, or the means of its longest known n-grams.
 
     Only words that are in no table go on to their n-grams.  What is known of these here
     is one row per word and length; the others are looked up, but no shorter ones than
@@ -267,7 +275,7 @@ def _word_table(words: DataFrame, held, rest: DataFrame) -> DataFrame:
     """
     size = len(held.value.languages)
     own = words.join(rest.where(F.col("kind") == 0).select(F.col("item").alias("word"), "logs"), "word", "left")
-    own = pinned(own.select("word", F.when(F.col("logs").isNull(), F.col("letters")).alias("letters"), "logs"))
+    own = stored(own.select("word", F.when(F.col("logs").isNull(), F.col("letters")).alias("letters"), "logs"), "langid-own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -296,7 +304,7 @@ def _word_table(words: DataFrame, held, rest: DataFrame) -> DataFrame:
 
     unseen = own.where("letters is not null").select("word", "letters")
     rows = unseen.mapInArrow(run, "word long, kind long, item long, times long, sums array<double>")
-    rows = pinned(rows)
+    rows = stored(rows, "langid-grams")
     found = rows.where(F.size("sums") > 0).select("word", "kind", "times", "sums").unionByName(
         rows.where(F.size("sums") == 0)
         .drop("sums")
@@ -304,30 +312,31 @@ def _word_table(words: DataFrame, held, rest: DataFrame) -> DataFrame:
         .select("word", "kind", "times", F.transform("logs", lambda x: x * F.col("times")).alias("sums"))
     )
     means = found.groupBy("word", "kind").agg(F.array(*[F.sum(F.get("sums", F.lit(k))) / F.sum("times") for k in range(size)]).alias("logs"))
-    return own.where("logs is not null").select("word", "logs").union(means.groupBy("word").agg(F.max_by("logs", "kind").alias("logs")))
+    longest = means.groupBy("word").agg(F.max_by("logs", "kind").alias("logs"), (F.max("kind") > 1).alias("familiar"))
+    return own.where("logs is not null").select("word", "logs", F.lit(True).alias("familiar")).union(longest)
 
 
 def predicted(docs: DataFrame, trained: tuple[Model, DataFrame | None], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and a struct ``__langid`` (lang_pred, score), one row per row."""
+    """The columns ``keep`` and a struct ``__langid`` (lang_pred, score, known), one row per row."""
     model, rest = trained
     held = docs.sparkSession.sparkContext.broadcast(model)
     if rest is None:
 
-        @F.pandas_udf("lang_pred string, score double")
+        @F.pandas_udf("lang_pred string, score double, known boolean")
         def run(texts: pd.Series) -> pd.DataFrame:
-            best, sure = held.value.predict(texts.fillna("").tolist())
-            return pd.DataFrame({"lang_pred": best, "score": sure})
+            best, sure, known = held.value.predict(texts.fillna("").tolist())
+            return pd.DataFrame({"lang_pred": best, "score": sure, "known": known})
 
         return docs.select(*[F.col(f"`{c}`") for c in keep], run(F.col("text")).alias("__langid"))
     made = _opened(docs, held, keep)
     words = made.select(F.explode(F.arrays_zip("__word", "__letters")).alias("w")).select(F.col("w.__word").alias("word"), F.col("w.__letters").alias("letters"))
-    table = pinned(_word_table(words.dropDuplicates(["word"]), held, rest))
+    table = stored(_word_table(words.dropDuplicates(["word"]), held, rest), "langid-table")
     size = len(model.languages)
     seen = made.select("__langid_row", F.explode(F.arrays_zip("__word", "__times")).alias("w")).select(
         "__langid_row", F.col("w.__word").alias("word"), F.col("w.__times").alias("times")
     )
     more = seen.join(table, "word").groupBy("__langid_row").agg(
-        F.array(*[F.sum(F.get("logs", F.lit(k)) * F.col("times")) for k in range(size)]).alias("__more")
+        F.array(*[F.sum(F.get("logs", F.lit(k)) * F.col("times")) for k in range(size)]).alias("__more"), F.max("familiar").alias("__other")
     )
     totals = F.when(F.col("__more").isNull(), F.col("__totals")).otherwise(F.zip_with("__totals", "__more", lambda a, b: a + b))
     summed = made.join(more, "__langid_row", "left").withColumn("__sum", totals).withColumn("__most", F.array_max("__sum"))
@@ -337,6 +346,7 @@ def predicted(docs: DataFrame, trained: tuple[Model, DataFrame | None], keep: li
     told = F.struct(
         F.when(F.col("__worded"), best).otherwise(F.lit(UNKNOWN)).alias("lang_pred"),
         F.when(F.col("__worded"), 1 / odds).otherwise(F.lit(0.0)).alias("score"),
+        (F.col("__familiar") | F.coalesce("__other", F.lit(False))).alias("known"),
     )
     return summed.select(*[F.col(f"`{c}`") for c in keep], told.alias("__langid"))
 
@@ -362,14 +372,24 @@ def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2, hot_bytes: i
     return predicted(rows, trained, ["doc_id", "held_out"]).select("doc_id", "held_out", "__langid.lang_pred", "__langid.score")
 
 
-def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least: float = 0.0) -> DataFrame:
+def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least: float = 0.0, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """The documents that have a language, all columns kept.
 
-    Rejected are null texts, texts without a letter, and with ``least`` also texts whose
-    language is less probable; a short clean text may be even between two languages, so
-    by default no such text goes.
+    Rejected are null texts, texts without a letter, texts of which the model knows
+    nothing longer than single letters, and with ``least`` also texts whose language is
+    less probable (a short clean text may be even between two, so by default none goes
+    for that).  Repeated rows share their decision and stay repeated; languages tie by
+    name, which rejects nothing; without any labelled text all go; an empty table stays
+    empty; columns may have any names.
+
+    Texts are read in place: what travels is a key of each row (hashes of id and text)
+    and its words; of the keys only those of rejected rows come back.
     """
-    mark = "__langid"
-    marked = predicted(docs, train(training_rows(docs, modulus, remainder)), docs.columns)
-    kept = marked.where((F.col(f"{mark}.lang_pred") != UNKNOWN) & (F.col(f"{mark}.score") >= least))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own")
+    marks = [F.xxhash64("doc_id", "text").alias("__langid_key"), F.hash("text", "doc_id").alias("__langid_check")]
+    keys = ["__langid_key", "__langid_check"]
+    told = predicted(docs.select(*marks, "text"), train(training_rows(docs, modulus, remainder), hot_bytes=hot_bytes), keys)
+    good = (F.col("__langid.lang_pred") != UNKNOWN) & (F.col("__langid.score") >= least) & F.col("__langid.known")
+    rejected = pinned(told.where(~good).select(*keys).distinct())
+    kept = join_sized(docs.select(own, *marks), rejected, keys, "left_anti")
+    return kept.select(*[F.col("__own")[c].alias(c) for c in docs.columns])

@@ -15,7 +15,7 @@ Texts are read twice: to count words, and to write frequent words as 64-bit hash
 (which hold the language, so every count is one of its language).  All further passes
 read those.  A pass adds up its task's own counts before Spark sums them; only phrases
 whose parts may be frequent are counted.  Sets of parts reach the tasks as bit maps of a
-fixed size (``SIEVE_BITS``) that may let a phrase too many through but keep none out:
+fixed size (``Sieve``) that may let a phrase too many through but keep none out:
 what passes is counted exactly and then joined with exact tables.
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentpanel.llm.common import join_sized, pinned, stored
+from incidentpanel.llm.sieve import Sieve
 from incidentpanel.llm.tokens import LOWER, Tally, pair, runs, span_hashes, text_blocks
 from incidentpanel.skew import global_row_number
 
@@ -37,7 +38,6 @@ LEAST = 30
 LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
-SIEVE_BITS = 1 << 25
 # Keys a task adds up before it hands them on.
 HELD = 1 << 18
 
@@ -86,31 +86,6 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "h long, f long, lg long").groupBy("h", "lg").agg(F.sum("f").alias("f"))
 
 
-class Sieve:
-    """A set of 64-bit keys as two bits each in a map of fixed size: no key is missed, some others pass."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    @staticmethod
-    def of(keys: DataFrame, column: str = "key", size: int = SIEVE_BITS) -> Broadcast:
-        """Built by Spark; the driver receives at most ``size`` bits in words of 64."""
-        places = [F.col(column).bitwiseAND(size - 1), F.shiftrightunsigned(column, 36).bitwiseAND(size - 1)]
-        spots = keys.select(F.explode(F.array(*places)).alias("p"))
-        one = F.expr("shiftleft(1L, cast(p & 63 as int))")
-        words = spots.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(one).alias("x")).toArrow()
-        bits = np.zeros(size >> 6, np.int64)
-        bits[words.column("w").to_numpy()] = words.column("x").to_numpy()
-        return keys.sparkSession.sparkContext.broadcast(Sieve(bits.view(np.uint64)))
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        size = np.uint64(len(self.bits) * 64 - 1)
-        made = np.ones(len(keys), bool)
-        for p in (keys & size, (keys >> np.uint64(36)) & size):
-            made &= (self.bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return made
-
-
 def encode(docs: DataFrame, frequent: Broadcast) -> DataFrame:
     """Rows with ``tokens`` (hashes of neighbouring frequent words, zero between stretches) and rows with a ``word`` of hash ``h``."""
     schema = pa.schema([("tokens", pa.binary()), ("h", pa.int64()), ("word", pa.string())])

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incidentpanel.llm import overlap
-from incidentpanel.llm.common import components, pinned
+from incidentpanel.llm.common import components, join_sized, pinned, stored
 
 SHINGLE = 3
 THRESHOLD = 2
@@ -202,13 +202,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     name, check = "__simhash_row", "__simhash_check"
     named = docs.withColumns({name: F.xxhash64("doc_id", "text"), check: F.hash("text", "doc_id")})
-    slim = pinned(overlap.marked(named, ["doc_id", name, check]))
-    nodes = pinned(
-        slim.groupBy("node").agg(
-            F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.min(F.struct(name, check)).alias("pick")
-        )
+    slim = stored(overlap.marked(named, ["doc_id", name, check]).withColumn("row", F.monotonically_increasing_id()), "simhash-prefixes")
+    picked = slim.groupBy("node").agg(
+        F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.min(F.struct(name, check)).alias("pick"), F.min("row").alias("row")
     )
-    roots = overlap.linked(nodes, named, [name, check])
+    nodes = pinned(picked)
+    # One row of each set brings its prefix.
+    prefixes = join_sized(slim.select("row", "node", "size", "prefix"), nodes.select("row"), ["row"], "left_semi")
+    roots = overlap.linked(nodes, prefixes, named, [name, check])
     rooted = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     found = rooted.drop("least_id").join(least, "root")
