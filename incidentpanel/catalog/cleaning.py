@@ -24,6 +24,8 @@ from incidentpanel.functions import labels as L
 from incidentpanel.functions import ptbr
 from incidentpanel.functions import temporal as T
 from incidentpanel.operators.keys import apply_rules
+from incidentpanel.operators.observed import apply_rules_on_write
+from incidentpanel.session import scratch_path
 from incidentpanel.operators.spatial import corridor_flag
 
 
@@ -327,5 +329,5 @@ def exclusion_rules(spark, sf):
     + " UNION ALL ".join(f"SELECT '{n}' AS rule_name, count(*) AS rows_excluded FROM inc WHERE {r}" for n, r in RULE_SQL.items()),
 )
 def rule_diagnostics(spark, sf):
-    _, diagnostics = apply_rules(incidents(spark, sf, victims=False), RULES)
-    return diagnostics
+    """Counted by the job that stores the rows kept."""
+    return apply_rules_on_write(incidents(spark, sf, victims=False), RULES, scratch_path(spark, "rules"))[1]

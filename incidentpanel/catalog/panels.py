@@ -22,17 +22,18 @@ from incidentpanel.catalog.roles import (
 )
 from incidentpanel.functions.temporal import week_start
 from incidentpanel.operators.calendar_tables import date_range, time_bounds, weekly_calendar
-from incidentpanel.operators.keys import apply_exclusions, require_unique, validated_left_join
+from incidentpanel.operators.keys import apply_exclusions, require_unique
+from incidentpanel.operators.observed import left_join_on_write, modelling_events_on_write
 from incidentpanel.operators.panel import (
     count_events,
     modelling_events,
-    preparation_funnel,
     split_manifest,
     territory_metadata,
     week_panel,
     weekly_targets,
     with_victims,
 )
+from incidentpanel.session import scratch_path
 
 
 @query(
@@ -262,7 +263,10 @@ def events_for_model(spark, sf):
         UNION ALL SELECT 'retained_rgis', count(DISTINCT rgi) FROM gap g WHERE {USED}""",
 )
 def funnel(spark, sf):
-    return preparation_funnel(gappy(spark, sf), exclusion_list(spark, sf), numeric_static(spark, sf), *week_span(spark, sf))
+    """Counted by the job that stores the modelling event set."""
+    path = scratch_path(spark, "modelling-events")
+    inputs = gappy(spark, sf), exclusion_list(spark, sf), numeric_static(spark, sf)
+    return modelling_events_on_write(*inputs, *week_span(spark, sf), path)[1]
 
 
 @query(
@@ -293,11 +297,11 @@ def manifest_of_splits(spark, sf):
         JOIN customer ON c_custkey = o_custkey""",
 )
 def validated_enrichment(spark, sf):
-    """Many-to-one left join that first proves the lookup keys unique."""
+    """Many-to-one left join; the job that stores it counts its rows before and after."""
     customer = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segmento"), F.col("c_acctbal").alias("saldo")
     )
-    joined = validated_left_join(table(spark, sf, "orders"), customer, ["o_custkey"], "customers")
+    joined = left_join_on_write(table(spark, sf, "orders"), customer, ["o_custkey"], scratch_path(spark, "enriched"), "customers")
     return joined.select(F.col("o_orderkey").alias("id"), "segmento", "saldo")
 
 

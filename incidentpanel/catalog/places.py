@@ -131,10 +131,14 @@ def dissolve_roads(spark, sf):
         SELECT snapshot_year, 'MultiLineString' AS geometry_type, count(*) + 1 AS parts, count(*) AS sections, round(sum(len), 6) AS length FROM p GROUP BY 1""",
 )
 def multipart_sections(spark, sf):
-    """All roads of a snapshot as one MULTILINESTRING with an empty stretch; its parts become sections, those without length go."""
+    """Roads as MULTILINESTRINGs of at most 50 with an empty stretch; parts become sections, those without length go.
+
+    The counts are those of one multipart per snapshot: its one empty stretch is added to the first block.
+    """
+    block = F.floor(F.col("road_id") / 50)
     body = F.regexp_replace("geometry", "^LINESTRING ", "")
-    parts = supplier_roads(spark, sf).groupBy("snapshot_year").agg(F.array_sort(F.collect_list(body)).alias("p"))
-    stub = F.array(F.lit("(-55 -29, -55 -29)"))
+    parts = supplier_roads(spark, sf).groupBy("snapshot_year", block.alias("block")).agg(F.array_sort(F.collect_list(body)).alias("p"))
+    stub = F.when(F.col("block") == 0, F.array(F.lit("(-55 -29, -55 -29)"))).otherwise(F.array().cast("array<string>"))
     lines = parts.select("snapshot_year", F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.concat("p", stub), ", "), F.lit(")")).alias("geometry"))
     rings = lines.select("snapshot_year", G.geometry_type("geometry").alias("geometry_type"), F.posexplode(G.parse_wkt("geometry")).alias("part", "ring"))
     edges = G.all_edges(F.array("ring"))

@@ -118,13 +118,12 @@ def modelling_events(
     )
 
 
-def preparation_funnel(
+def funnel_flags(
     canonical: DataFrame, exclusions: DataFrame, static: DataFrame, lo: Column, hi: Column
-) -> DataFrame:
-    """Rows left after each preparation step, in long form.
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Events with the lookups of the preparation steps, and each step as a flag.
 
-    One pass over the events: steps are flags, the lookups are left joins on
-    small distinct keys.
+    The lookups are left joins on small distinct keys, so the events keep their rows.
     """
     listed = (
         exclusions.filter(F.coalesce("exclude_from_modeling", F.lit(False)))
@@ -132,7 +131,15 @@ def preparation_funnel(
         .distinct()
         .withColumn("__excluded", F.lit(True))
     )
-    regions = static.select(F.col("rgi_id").alias("__rgi")).distinct().withColumn("__known", F.lit(True))
+    regions = (
+        static.select(
+            F.col("rgi_id").alias("__rgi"),
+            F.struct(F.col("rgi_name").alias("rgi_name"), F.col("uf").alias("uf"), "br101_length_km_in_rgi").alias("__static"),
+        )
+        .groupBy("__rgi")
+        .agg(F.min("__static").alias("__static"))
+        .withColumn("__known", F.lit(True))
+    )
     flagged = (
         canonical.withColumns({"__state": clean_text("uf", upper=True), "__region": code_text("codigo_rgi")})
         .join(listed, F.col("__state").eqNullSafe(F.col("__uf")) & F.col("year").eqNullSafe(F.col("__year")), "left")
@@ -141,6 +148,30 @@ def preparation_funnel(
     valid = F.col("timestamp").isNotNull()
     kept = valid & F.col("__excluded").isNull()
     used = kept & F.col("year").isNotNull() & F.col("__known").isNotNull() & T.week_start("timestamp").between(lo, hi)
+    return flagged, {"valid": valid, "kept": kept, "used": used}
+
+
+def modelling_columns(used: DataFrame) -> DataFrame:
+    """The modelling event set from flagged events that are used."""
+    return used.select(
+        "id",
+        "timestamp",
+        F.col("year").cast("int").alias("year"),
+        F.col("__state").alias("accident_uf"),
+        F.col("__static.uf").alias("uf"),
+        F.col("__region").alias("rgi_id"),
+        F.coalesce(F.col("__static.rgi_name"), F.col("nome_rgi")).alias("rgi_name"),
+        T.week_start("timestamp").alias("week_start"),
+        F.col("__static.br101_length_km_in_rgi").alias("br101_length_km_in_rgi"),
+    )
+
+
+def preparation_funnel(
+    canonical: DataFrame, exclusions: DataFrame, static: DataFrame, lo: Column, hi: Column
+) -> DataFrame:
+    """Rows left after each preparation step, in long form, from one pass over the events."""
+    flagged, flags = funnel_flags(canonical, exclusions, static, lo, hi)
+    valid, kept, used = flags["valid"], flags["kept"], flags["used"]
     row = flagged.agg(
         F.count("*").alias("canonical_accidents_loaded"),
         F.count_if(valid).alias("rows_with_valid_timestamp"),
