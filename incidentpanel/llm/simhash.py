@@ -215,5 +215,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = rooted.drop("least_id").join(least, "root")
     first = slim.select("doc_id", name, check, "node").join(found, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("root").agg(F.min(F.struct(name, check)).alias("row")).select("row.*")
-    kept = named.join(chosen, [name, check], "left_semi").dropDuplicates([name, check])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = pinned(chosen)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    # Texts stay where they are; only rows that are repeated as a whole meet to leave one.
+    copies = slim.groupBy(name, check).agg(F.count("*").alias("n")).where("n > 1").select(name, check)
+    repeated = pinned(chosen.join(copies, [name, check], "left_semi"))
+    single = join_sized(named, chosen.join(repeated, [name, check], "left_anti"), [name, check], "left_semi")
+    several = join_sized(named, repeated, [name, check], "left_semi").dropDuplicates([name, check])
+    return single.select(*own).union(several.select(*own))
