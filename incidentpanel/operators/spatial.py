@@ -317,6 +317,24 @@ def polygons_near_corridor(
     return polygons.join(touched.unionByName(holders).distinct(), polygon_id, "left_semi")
 
 
+def _may_cross() -> Column:
+    """Join condition of a road piece (l) and a border (r): their boxes meet, and the border's ends are not on one side.
+
+    Slightly generous, so that no pair goes that the exact test would accept.
+    """
+    x1, y1, x2, y2 = (F.col(f"l.{c}") for c in SEGMENT)
+    ex1, ey1, ex2, ey2 = (F.col(f"r.e{c}") for c in SEGMENT)
+    dx, dy = x2 - x1, y2 - y1
+    reach = F.abs(ex2 - ex1) + F.abs(ey2 - ey1)
+    slack = reach * 1e-6 + 1e-6
+    boxes = F.lit(True)
+    for a, b, c, d in ((x1, x2, ex1, ex2), (y1, y2, ey1, ey2)):
+        boxes = boxes & (F.least(a, b) <= F.greatest(c, d) + slack) & (F.least(c, d) <= F.greatest(a, b) + slack)
+    first, second = (dx * (py - y1) - dy * (px - x1) for px, py in ((ex1, ey1), (ex2, ey2)))
+    side = slack * (F.abs(dx) + F.abs(dy))
+    return boxes & (F.least(first, second) <= side) & (F.greatest(first, second) >= -side)
+
+
 def clip_segments(
     segments: DataFrame, edges: DataFrame, segment_id: str, polygon_id: str, size: float
 ) -> DataFrame:
@@ -330,7 +348,7 @@ def clip_segments(
     roads = _cover(base.withColumns({f"s{c}": F.col(c) for c in SEGMENT}), 0.0, size)
     borders = _cover(edges.select(*SEGMENT), 0.0, size).withColumnsRenamed({c: f"e{c}" for c in SEGMENT})
     roads = roads.select(segment_id, "__cx", "__cy", *[F.col(f"s{c}").alias(c) for c in SEGMENT]).distinct()
-    met = salted_join(roads, borders, ["__cx", "__cy"], [segment_id])
+    met = salted_join(roads, borders, ["__cx", "__cy"], [segment_id], "inner", _may_cross())
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     ex, ey = F.col("ex2") - F.col("ex1"), F.col("ey2") - F.col("ey1")
     det = dx * ey - dy * ex
