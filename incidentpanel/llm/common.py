@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +37,29 @@ def pinned(df: DataFrame) -> DataFrame:
     return checkpointed(df.sparkSession, df)
 
 
+_areas: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside the block are removed at its end; what leaves it must be pinned by then."""
+    made: list[str] = []
+    _areas.append(made)
+    try:
+        yield
+    finally:
+        _areas.remove(made)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Like ``pinned`` for wide or large rows: a compressed Parquet table in the shared folder."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _areas:
+        _areas[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentpanel.llm.common import bucket, join_sized, pinned, stored
+from incidentpanel.llm.common import bucket, join_sized, pinned, staging, stored
 from incidentpanel.llm.tokens import Tally, lookup, mix, runs, span_hashes
 
 LONGEST = 4
@@ -388,8 +388,9 @@ def keep_identified(docs: DataFrame, modulus: int = 4, remainder: int = 2, least
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own")
     marks = [F.xxhash64("doc_id", "text").alias("__langid_key"), F.hash("text", "doc_id").alias("__langid_check")]
     keys = ["__langid_key", "__langid_check"]
-    told = predicted(docs.select(*marks, "text"), train(training_rows(docs, modulus, remainder), hot_bytes=hot_bytes), keys)
     good = (F.col("__langid.lang_pred") != UNKNOWN) & (F.col("__langid.score") >= least) & F.col("__langid.known")
-    rejected = pinned(told.where(~good).select(*keys).distinct())
+    with staging(docs.sparkSession):
+        told = predicted(docs.select(*marks, "text"), train(training_rows(docs, modulus, remainder), hot_bytes=hot_bytes), keys)
+        rejected = pinned(told.where(~good).select(*keys).distinct())
     kept = join_sized(docs.select(own, *marks), rejected, keys, "left_anti")
     return kept.select(*[F.col("__own")[c].alias(c) for c in docs.columns])

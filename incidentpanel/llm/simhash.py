@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incidentpanel.llm import overlap
-from incidentpanel.llm.common import components, join_sized, pinned, stored
+from incidentpanel.llm.common import components, join_sized, pinned, staging, stored
 
 SHINGLE = 3
 THRESHOLD = 2
@@ -197,29 +197,30 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Keeps every column.  Of rows repeated under that same id one stays; null and empty
     texts are one group; an empty table gives an empty table.  Rows are
-    named by 96 bits of hashes over id and text, so null ids work too, and the
-    join and the removal of repeated rows share one shuffle.
+    named by 96 bits of hashes over id and text, so null ids work too; texts are read in
+    place, and what is staged on the way is removed at the end.
     """
     name, check = "__simhash_row", "__simhash_check"
     named = docs.withColumns({name: F.xxhash64("doc_id", "text"), check: F.hash("text", "doc_id")})
-    slim = stored(overlap.marked(named, ["doc_id", name, check]).withColumn("row", F.monotonically_increasing_id()), "simhash-prefixes")
-    picked = slim.groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.min(F.struct(name, check)).alias("pick"), F.min("row").alias("row")
-    )
-    nodes = pinned(picked)
-    # One row of each set brings its prefix.
-    prefixes = join_sized(slim.select("row", "node", "size", "prefix"), nodes.select("row"), ["row"], "left_semi")
-    roots = overlap.linked(nodes, prefixes, named, [name, check])
-    rooted = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    found = rooted.drop("least_id").join(least, "root")
-    first = slim.select("doc_id", name, check, "node").join(found, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = first.groupBy("root").agg(F.min(F.struct(name, check)).alias("row")).select("row.*")
-    chosen = pinned(chosen)
+    with staging(docs.sparkSession):
+        slim = stored(overlap.marked(named, ["doc_id", name, check]).withColumn("row", F.monotonically_increasing_id()), "simhash-prefixes")
+        picked = slim.groupBy("node").agg(
+            F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.min(F.struct(name, check)).alias("pick"), F.min("row").alias("row")
+        )
+        nodes = pinned(picked)
+        # One row of each set brings its prefix.
+        prefixes = join_sized(slim.select("row", "node", "size", "prefix"), nodes.select("row"), ["row"], "left_semi")
+        roots = overlap.linked(nodes, prefixes, named, [name, check])
+        rooted = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+        found = rooted.drop("least_id").join(least, "root")
+        first = slim.select("doc_id", name, check, "node").join(found, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        chosen = first.groupBy("root").agg(F.min(F.struct(name, check)).alias("row")).select("row.*")
+        chosen = pinned(chosen)
+        copies = slim.groupBy(name, check).agg(F.count("*").alias("n")).where("n > 1").select(name, check)
+        repeated = pinned(chosen.join(copies, [name, check], "left_semi"))
     own = [F.col(f"`{c}`") for c in docs.columns]
     # Texts stay where they are; only rows that are repeated as a whole meet to leave one.
-    copies = slim.groupBy(name, check).agg(F.count("*").alias("n")).where("n > 1").select(name, check)
-    repeated = pinned(chosen.join(copies, [name, check], "left_semi"))
     single = join_sized(named, chosen.join(repeated, [name, check], "left_anti"), [name, check], "left_semi")
     several = join_sized(named, repeated, [name, check], "left_semi").dropDuplicates([name, check])
     return single.select(*own).union(several.select(*own))
