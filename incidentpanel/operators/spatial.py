@@ -172,7 +172,8 @@ def within_corridor(
     the first hit and emits no pairs.
     """
     size = max(float(distance), 1e-9)
-    cover = _cover(segments.select(*SEGMENT), float(distance), size)
+    # Each stretch counts once however many roads share it; the second exchange shows Spark what the cells made of it.
+    cover = _cover(segments.select(*SEGMENT).distinct(), float(distance), size).distinct()
     located = _with_cells(points, x, y, size)
     hit = _point_to_segment(x, y) <= F.lit(float(distance))
     return salted_join(located, cover, ["__cx", "__cy"], [point_id], "left_semi", hit).drop("__cx", "__cy")
@@ -205,7 +206,7 @@ def corridor_flag(
 
 def corridor_area(segments: DataFrame, distance: float, cell: float) -> DataFrame:
     """Corridor area by grid quadrature: cells whose centre is inside, times cell area."""
-    pieces = split_long(segments.select(*SEGMENT), float(distance))
+    pieces = split_long(segments.select(*SEGMENT).distinct(), float(distance))
     pad = float(distance)
     cx = F.explode(F.sequence(_cell(F.least("x1", "x2") - pad, cell), _cell(F.greatest("x1", "x2") + pad, cell)))
     cy = F.explode(F.sequence(_cell(F.least("y1", "y2") - pad, cell), _cell(F.greatest("y1", "y2") + pad, cell)))
@@ -298,7 +299,7 @@ def polygons_near_corridor(
     polygons: DataFrame, edges: DataFrame, segments: DataFrame, polygon_id: str, distance: float, size: float
 ) -> DataFrame:
     """Polygons within ``distance`` of the road or containing a part of it."""
-    pieces = _cover(segments.select(*SEGMENT), float(distance), size)
+    pieces = _cover(segments.select(*SEGMENT).distinct(), float(distance), size).distinct()
     borders = _cover(edges.select(polygon_id, *SEGMENT), 0.0, size)
     a = {c: F.col(f"l.{c}") for c in SEGMENT}
     b = {c: F.col(f"r.{c}") for c in SEGMENT}
@@ -346,7 +347,7 @@ def clip_segments(
     """
     base = segments.select(segment_id, *SEGMENT)
     roads = _cover(base.withColumns({f"s{c}": F.col(c) for c in SEGMENT}), 0.0, size)
-    borders = _cover(edges.select(*SEGMENT), 0.0, size).withColumnsRenamed({c: f"e{c}" for c in SEGMENT})
+    borders = _cover(edges.select(*SEGMENT).distinct(), 0.0, size).withColumnsRenamed({c: f"e{c}" for c in SEGMENT})
     roads = roads.select(segment_id, "__cx", "__cy", *[F.col(f"s{c}").alias(c) for c in SEGMENT]).distinct()
     met = salted_join(roads, borders, ["__cx", "__cy"], [segment_id], "inner", _may_cross())
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")

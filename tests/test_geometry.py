@@ -202,3 +202,19 @@ def test_first_match_needs_no_aggregate_over_points(spark):
     assert "SortAggregate" not in plan
     flag = S.corridor_flag(points, spark.createDataFrame([(0.0, 0.0, 9.0, 0.0)], "x1 double, y1 double, x2 double, y2 double"), 1.0)
     assert {r["id"] for r in flag.filter("inside_corridor").collect()} == set(range(10))
+
+
+def test_shared_stretches_cost_a_corridor_nothing(spark, monkeypatch):
+    met = []
+    join = S.salted_join
+
+    def spy(facts, lookup, *rest, **more):
+        met.append(lookup.count())
+        return join(facts, lookup, *rest, **more)
+
+    monkeypatch.setattr(S, "salted_join", spy)
+    points = spark.createDataFrame([(1, 0.5, 0.1), (2, 0.5, 0.9)], "id long, x double, y double")
+    for many in (1, 500):
+        roads = spark.createDataFrame([(0.0, 0.0, 1.0, 0.0)] * many, "x1 double, y1 double, x2 double, y2 double")
+        assert [r["id"] for r in S.within_corridor(points, roads, 0.2).collect()] == [1]
+    assert met[0] == met[1]
