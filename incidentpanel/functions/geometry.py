@@ -184,7 +184,9 @@ def point_segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: C
     square = dx * dx + dy * dy
     along = F.when(square > 0, ((px - x1) * dx + (py - y1) * dy) / square).otherwise(F.lit(0.0))
     t = F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0))
-    return F.hypot(px - (x1 + t * dx), py - (y1 + t * dy))
+    fx, fy = px - (x1 + t * dx), py - (y1 + t * dy)
+    # Not hypot: ties are decided by the last bit, which is that of the SQL twins this way.
+    return F.sqrt(fx * fx + fy * fy)
 
 
 def _side(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:

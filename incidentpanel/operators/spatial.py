@@ -19,6 +19,9 @@ from incidentpanel.skew import latest_by, salted_join
 
 SEGMENT = ("x1", "y1", "x2", "y2")
 
+# Segments in one list of the far search, about.
+HEAP = 256
+
 
 def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(float(size))).cast("bigint")
@@ -419,39 +422,67 @@ def nearest_section(
     """Closest section of the point's own territory.
 
     ``sections`` has one row per segment: territory, section_id, road_length_m
-    and the segment.  Ties go to the longer section, then the smaller id.  A grid
+    and the segment.  Ties go to the longer section, then the smaller id; sections
+    that share a segment tie everywhere on it, so only the winner keeps it.  A grid
     with cells of ``reach`` answers the points that have a segment that close,
-    and such a hit cannot be beaten by anything unseen.  The others first pick,
+    and such a hit cannot be beaten by anything unseen: the segments that reach into
+    a cell stand in one array, so a point meets its cell once.  The others first pick,
     from at most a hundred boxes per territory, those boxes that can hold their
     nearest segment, and are compared with the segments of these boxes only.
     """
+    spark = sections.sparkSession
+    listed = sections.select(F.col(territory), "section_id", "road_length_m", *SEGMENT)
     # Read by the near and by the far search.
-    segs = checkpointed(sections.sparkSession, sections.select(F.col(territory), "section_id", "road_length_m", *SEGMENT))
+    segs = checkpointed(
+        spark, latest_by(listed, [territory, *SEGMENT], [-F.col("road_length_m"), F.col("section_id")], smallest=True)
+    )
     usable = points.filter(F.col(territory).isNotNull()).select(point_id, territory, x, y)
     size = float(reach)
-    near = salted_join(
-        _with_cells(usable, x, y, size),
-        _cover(segs, size, size),
-        [territory, "__cx", "__cy"],
-        [point_id],
-        "inner",
-        _point_to_segment(x, y) <= F.lit(size),
+    cells = _cover(segs, size, size).groupBy(territory, "__cx", "__cy").agg(_segment_list())
+    located = salted_join(_with_cells(usable, x, y, size), cells, [territory, "__cx", "__cy"], [point_id], "left")
+    # One row per point, read as found and as still to be found.
+    met = checkpointed(spark, located.select(point_id, territory, x, y, _best(x, y, size).alias("__best")))
+    close = met.filter(F.col("__best").isNotNull())
+    rest = met.filter(F.col("__best").isNull()).drop("__best")
+    far = _far_search(rest, split_long(segs, size), territory, point_id, x, y)
+    chosen = close.select(point_id, "__best").unionByName(far).select(
+        point_id, F.col("__best.section_id").alias("section_id"), F.col("__best.distance").alias("distance")
     )
-    close = _closest(near, point_id, x, y)
-    rest = usable.join(close.select(point_id), point_id, "left_anti")
-    far = _closest(_far_candidates(rest, split_long(segs, size), territory, point_id, x, y), point_id, x, y)
     status = (
         F.when(F.col(territory).isNull(), "unmatched_exact_polygon")
         .when(F.col("section_id").isNotNull(), "matched_nearest_section")
         .otherwise("unmatched_no_section_in_rgi")
     )
-    return points.join(close.unionByName(far), point_id, "left").withColumn("section_match_status", status)
+    return points.join(chosen, point_id, "left").withColumn("section_match_status", status)
+
+
+def _segment_list() -> Column:
+    return F.collect_list(F.struct("section_id", "road_length_m", *SEGMENT)).alias("__segments")
+
+
+def _best(x: str, y: str, reach: float | None = None) -> Column:
+    """Of the row's ``__segments`` the closest: (distance, longest first, section_id); null if none is within ``reach``."""
+    ranked = F.transform(
+        "__segments",
+        lambda s: F.struct(
+            G.point_segment_distance(F.col(x), F.col(y), *[s[c] for c in SEGMENT]).alias("distance"),
+            (-s["road_length_m"]).alias("shorter"),
+            s["section_id"].alias("section_id"),
+        ),
+    )
+    if reach is not None:
+        ranked = F.filter(ranked, lambda b: b["distance"] <= F.lit(reach))
+    return F.array_min(ranked)
 
 
-def _far_candidates(
+def _far_search(
     points: DataFrame, pieces: DataFrame, territory: str, point_id: str, x: str, y: str, boxes_per_side: int = 8
 ) -> DataFrame:
-    """Pairs of a point with the pieces in the boxes that can hold its nearest one."""
+    """``(point_id, __best)`` from the pieces in the boxes that can hold a point's nearest one.
+
+    The pieces of a box are listed in heaps of some ``HEAP``, so neither a list nor what meets
+    a point grows to the size of a box.
+    """
     extent = pieces.groupBy(territory).agg(
         F.min(F.least("x1", "x2")).alias("__ox"),
         F.min(F.least("y1", "y2")).alias("__oy"),
@@ -510,15 +541,12 @@ def _far_candidates(
         F.explode(F.expr("filter(__m, m -> m.least <= __bound)")).alias("__c"),
     )
     located = chosen.select(point_id, territory, x, y, F.col("__c.__bx").alias("__bx"), F.col("__c.__by").alias("__by"))
-    return salted_join(located, boxed, [territory, "__bx", "__by"], [point_id])
-
-
-def _closest(pairs: DataFrame, point_id: str, x: str, y: str) -> DataFrame:
-    measured = pairs.withColumn(
-        "distance", G.point_segment_distance(F.col(x), F.col(y), *[F.col(c) for c in SEGMENT])
-    ).select(point_id, "section_id", "road_length_m", "distance")
-    rank = [F.col("distance"), -F.col("road_length_m"), F.col("section_id")]
-    return latest_by(measured, [point_id], rank, smallest=True).select(point_id, "section_id", "distance")
+    key = [territory, "__bx", "__by"]
+    counted = boxed.groupBy(*key).agg(F.ceil(F.count("*") / HEAP).alias("__heaps"))
+    heap = F.pmod(F.xxhash64("section_id", *SEGMENT), F.col("__heaps")).alias("__heap")
+    heaps = boxed.join(counted, key).groupBy(*key, heap).agg(_segment_list())
+    met = salted_join(located, heaps, key, [point_id]).select(point_id, _best(x, y).alias("__best"))
+    return met.groupBy(point_id).agg(F.min("__best").alias("__best"))
 
 
 def polygon_measures(polygons: DataFrame, wkt: str = "geometry", projected: bool = False) -> DataFrame:

@@ -204,6 +204,10 @@ def test_first_match_needs_no_aggregate_over_points(spark):
     assert {r["id"] for r in flag.filter("inside_corridor").collect()} == set(range(10))
 
 
+def copies_of(segment, n):
+    return [(f"S{i:04d}", float(i % 7), *segment) for i in range(n)]
+
+
 def test_shared_stretches_cost_a_corridor_nothing(spark, monkeypatch):
     met = []
     join = S.salted_join
@@ -218,3 +222,48 @@ def test_shared_stretches_cost_a_corridor_nothing(spark, monkeypatch):
         roads = spark.createDataFrame([(0.0, 0.0, 1.0, 0.0)] * many, "x1 double, y1 double, x2 double, y2 double")
         assert [r["id"] for r in S.within_corridor(points, roads, 0.2).collect()] == [1]
     assert met[0] == met[1]
+
+
+def test_nearest_section_stages_no_pairs(spark, monkeypatch):
+    """Sections that share a segment, and points near and far: nothing staged grows with sections times points."""
+    staged = []
+    keep = S.checkpointed
+
+    def spy(session, df):
+        made = keep(session, df)
+        staged.append(made.count())
+        return made
+
+    monkeypatch.setattr(S, "checkpointed", spy)
+    rows = [("T", *r) for r in copies_of((0.0, 0.0, 1.0, 0.0), 300)]
+    segs = spark.createDataFrame(rows, "territory string, section_id string, road_length_m double, x1 double, y1 double, x2 double, y2 double")
+    points = spark.range(60).select("id", F.lit("T").alias("territory"), F.lit(0.5).alias("x"), (F.col("id") * 0.1).alias("y"))
+    got = S.nearest_section(points, segs, "territory", 1.0)
+    # The longest are those with i % 7 = 6, the first of them is S0006.
+    assert {(r["section_id"], round(r["distance"] - r["id"] * 0.1, 9)) for r in got.collect()} == {("S0006", 0.0)}
+    assert max(staged) <= 60
+
+
+def test_far_points_meet_heaps_of_a_crowded_box(spark):
+    rng = np.random.default_rng(9)
+    ends = rng.uniform(0, 1, (1500, 4))
+    rows = [("T", f"S{i:04d}", 1.0, *map(float, e)) for i, e in enumerate(ends)] + [("T", "S9999", 1.0, 90.0, 90.0, 91.0, 91.0)]
+    segs = spark.createDataFrame(rows, "territory string, section_id string, road_length_m double, x1 double, y1 double, x2 double, y2 double")
+    pts = [(i, "T", float(a), float(b)) for i, (a, b) in enumerate(rng.uniform(2, 60, (40, 2)))]
+    got = {r["id"]: r for r in S.nearest_section(spark.createDataFrame(pts, "id long, territory string, x double, y double"), segs, "territory", 0.5).collect()}
+    for i, _, x, y in pts:
+        best = min((distance(x, y, c), sec) for _, sec, _, *c in rows)
+        assert got[i]["distance"] == pytest.approx(best[0]) and got[i]["section_id"] == best[1]
+
+
+def test_distance_has_the_bits_of_its_formula(spark):
+    """A tie is broken by the last bit; the SQL twins take the root of the sum of squares."""
+    rng = np.random.default_rng(2)
+    rows = [tuple(map(float, r)) for r in rng.uniform(-55, -20, (2000, 6))]
+    df = spark.createDataFrame(rows, "px double, py double, x1 double, y1 double, x2 double, y2 double")
+    names = ("px", "py", "x1", "y1", "x2", "y2")
+    for px, py, x1, y1, x2, y2, d in df.select("*", G.point_segment_distance(*map(F.col, names)).alias("d")).collect():
+        dx, dy = x2 - x1, y2 - y1
+        t = min(max(((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy), 0.0), 1.0)
+        fx, fy = px - (x1 + t * dx), py - (y1 + t * dy)
+        assert d == math.sqrt(fx * fx + fy * fy)
