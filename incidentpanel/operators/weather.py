@@ -93,9 +93,9 @@ def weather_table(
     matched = match_cells(points, daily_cells.select(*cell).distinct(), code).join(
         daily_cells.withColumnsRenamed(cell), list(cell.values())
     )
-    nearest = nearest_per_day(
-        matched, code, "weather_date", [F.col("cell_latitude"), F.col("cell_longitude"), F.col("source_json_path"), F.col("day_index")]
-    )
+    # Cells may share their coordinates: what they say themselves decides, before the names of files, which change from run to run.
+    own = [F.col(c) for c in ("cell_latitude", "cell_longitude", "elevation", "temperature_2m_max", "source_json_path", "day_index")]
+    nearest = nearest_per_day(matched, code, "weather_date", own)
     labels = [c for c in ("nome_municipio", "sg_uf", "cd_rgint", "nm_rgint") if c in points.columns]
     numbers = ["temperature_2m_max", "temperature_2m_min", "wind_speed_10m_max"]
     rain = ["precipitation_sum", "precipitation_hours"]

@@ -168,6 +168,21 @@ def test_weather_from_files(spark):
     assert (span["lo"], span["hi"]) == (date(2024, 1, 2), date(2024, 1, 17))
 
 
+def test_cells_at_one_place_are_told_apart_by_their_own_values(spark):
+    points = spark.createDataFrame([("10", -27.0, -48.0, "m")], "codigo_municipio string, latitude double, longitude double, municipio_match_status string")
+
+    def cell(elevation, warm):
+        return json.dumps({"latitude": -27.0, "longitude": -48.1, "elevation": elevation, "daily": {"time": ["2024-01-01"], "temperature_2m_max": [warm]}})
+
+    for names in ("ab", "ba"):
+        folder = scratch_path(spark, "meteo-tied")
+        for name, text in zip(names, (cell(3.0, "30.5"), cell(8.0, "11.0")), strict=True):
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/{name}")
+        days = R.unnest_daily(R.read_weather_json(spark, f"{folder}/*"))
+        made = WX.weather_table(points, days, "local_json", F.lit("2024-02-01").cast("timestamp"))
+        assert [r["temperature_2m_max"] for r in made.collect()] == [30.5]
+
+
 def test_weather_error_payload_stops(spark):
     folder = scratch_path(spark, "meteo-error")
     spark.createDataFrame([('{"error": true, "reason": "limit"}',)], "value string").coalesce(1).write.text(folder)
