@@ -208,9 +208,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
             F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.min(F.struct(name, check)).alias("pick"), F.min("row").alias("row")
         )
         nodes = pinned(picked)
-        # One row of each set brings its prefix.
-        prefixes = join_sized(slim.select("row", "node", "size", "prefix"), nodes.select("row"), ["row"], "left_semi")
-        roots = overlap.linked(nodes, prefixes, named, [name, check])
+        # One row of each set brings its prefix and its map.
+        prefixes, maps = (join_sized(slim.select("row", "node", "size", c), nodes.select("row"), ["row"], "left_semi") for c in ("prefix", "bits"))
+        roots = overlap.linked(nodes, prefixes, maps, named, [name, check])
         rooted = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
         found = rooted.drop("least_id").join(least, "root")

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import embeddings, simhash
+from incidentpanel.llm import embeddings, overlap, simhash
 from incidentpanel.llm.common import components
 
 
@@ -191,3 +191,32 @@ def test_copies_do_not_expand(spark):
     df = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"), F.lit(1).alias("label"))
     got = embeddings.near_duplicates(df, leaf=64)
     assert {(r.n_links, r.component_id) for r in got.collect()} == {(599, 0)}
+
+
+def test_bit_maps_exclude_no_similar_pair():
+    rng = np.random.default_rng(4)
+    excluded = unlike = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 400))
+        one = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        keep = int(round(n * rng.uniform(0.0, 1.0) ** 0.2))
+        two = np.concatenate([one[:keep], rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 2))).astype(np.uint64)])
+        sets = [np.unique(x) for x in (one, two)]
+        sizes = np.array([len(x) for x in sets])
+        maps = overlap.bit_maps(np.repeat([0, 1], sizes), np.concatenate(sets), sizes).to_pylist()
+        alike = 9 * len(np.intersect1d(*sets)) >= 4 * int(sizes.sum())
+        possible = overlap.may_be_similar(*maps, *sizes.tolist())
+        assert possible or not alike
+        unlike += not alike
+        excluded += not possible
+    assert unlike > 500 and excluded > 0.7 * unlike
+
+
+def test_texts_of_impossible_pairs_stay(spark):
+    """Of pairs that a shingle suggests, only those that can be similar have their texts fetched."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(20)]
+    texts.append(texts[0] + " more")
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    maps = overlap.marked(df, ["id"]).select(F.col("id").alias("node"), "size", "bits")
+    pairs = spark.createDataFrame([(a, b) for a in range(21) for b in range(a + 1, 21)], "a long, b long")
+    assert [tuple(r) for r in overlap._possible(pairs, maps).collect()] == [(0, 20)]
