@@ -136,6 +136,32 @@ def test_kept_documents_against_jaccard_of_all_pairs(spark):
     assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == want
 
 
+def test_a_group_of_loose_copies_makes_few_pairs(spark, monkeypatch):
+    """Copies with many edits are mostly not similar to each other; their pairs must not be made one by one."""
+    rng = random.Random(23)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(400):
+        copy = list(base)
+        for k in range(rng.choice([1, 2, 3, 4, 5])):
+            copy[rng.randrange(len(copy))] = f"own{len(texts)}x{k}"
+        texts.append(" ".join(copy))
+    sets = [shingles(t) for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    made = []
+
+    def counting(pairs, *rest):
+        made.append(pairs.count())
+        return verified(pairs, *rest)
+
+    verified = overlap._verified
+    monkeypatch.setattr(overlap, "_verified", counting)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(set(roots(len(texts), links)))
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == want and len(want) > 20
+    assert sum(made) < 5 * len(texts)
+
+
 def brute_vectors(rows, cosine):
     unit = []
     for _, v, _ in rows:
