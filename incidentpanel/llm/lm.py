@@ -1,19 +1,21 @@
 """Language model scores by a probabilistic suffix tree.
 
 States of the tree are contexts of zero, one or two preceding tokens.  A context is
-a candidate if it has at least the share ``P_MIN`` of all tokens; it becomes a state
-if its next-symbol distribution diverges from the one of its longest shorter state:
-the log-likelihood it gains on the training tokens must pay for the symbols it lists
+a candidate if it occurs at least ``MIN_COUNT`` times; it becomes a state if its
+next-symbol distribution diverges from the one of its longest shorter state: the
+log-likelihood it gains on the training tokens must pay for the symbols it lists
 (half the logarithm of its count each).  A state lists the symbols it was followed by
-with at least the share ``P_MIN`` of all tokens; the others share, by absolute
-discounting, the mass left over in proportion to the next shorter state; the empty
-context is the add-one unigram.  Each token is scored in its longest suffix state.
+at least ``MIN_COUNT`` times; the others share, by absolute discounting, the mass left
+over in proportion to the next shorter state; the empty context is the add-one
+unigram.  Each token is scored in its longest suffix state.
 
 Counting passes send tasks' own sums of token, pair and triple hashes to Spark, where
-they are added; a pair is only counted if its tokens are frequent enough for it to
-count, a triple if its pairs are.  By ``P_MIN`` there are at most 1 / P_MIN frequent
-tokens, listed pairs and listed triples, whatever the corpus: that bound is what
-allows the tree to be broadcast.  All other tokens are looked up by a join.
+they are added; a pair is only counted if its tokens may be frequent enough for it to
+count, a triple if its pairs may be (bit maps of a fixed size tell).  The tree is a
+table in the shared folder and grows with the corpus.  Tasks hold its largest states,
+as far as ``HELD`` listed symbols of each order go, and the tokens with a share of
+``P_MIN``; what these do not settle is looked up by joins, so no result depends on
+either.
 """
 
 from __future__ import annotations
@@ -26,9 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentpanel.llm.common import bucket, pinned, stored
+from incidentpanel.llm.sieve import Sieve
 from incidentpanel.llm.tokens import LOWER, SPACE, Tally, lookup, mix, pair, runs, span_hashes, text_blocks
 
+# How much of the tree tasks hold; no result depends on these two.
 P_MIN = 1e-6
+HELD = 1 << 21
+BITS = 1 << 26
 MIN_COUNT = 4
 DISCOUNT = 0.75
 
@@ -91,12 +97,21 @@ def _arrays(df: DataFrame, *columns: str) -> list[np.ndarray]:
 
 
 class Tree:
-    """Sorted arrays: tokens with counts, and for each order its states and listed symbols."""
+    """Sorted arrays of what tasks hold: tokens with counts, and for each order its states and listed symbols.
+
+    ``tables`` has all states ``(context, left)`` and symbols ``(context, symbol, mass)`` of each order.
+    ``rest`` has for each order the contexts of states that are not held, as a bit map, if there are any.
+    """
 
     def __init__(self, total: int, distinct: int, tokens: np.ndarray, counts: np.ndarray):
         self.total, self.distinct = total, distinct
         self.tokens, self.unigram = tokens, (counts + 1.0) / (total + distinct + 1.0)
         self.states: list[tuple[np.ndarray, ...]] = []
+        self.rest: list[Sieve | None] = []
+        self.tables: list[tuple[DataFrame, DataFrame]] = []
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "tables": []}
 
     def add(self, contexts: np.ndarray, left: np.ndarray, symbols: np.ndarray, mass: np.ndarray) -> None:
         by, on = np.argsort(contexts), np.argsort(symbols)
@@ -114,6 +129,17 @@ class Tree:
             p[inside] = listed + left[state[inside]] * p[inside]
         return p, at
 
+    def unsettled(self, token: np.ndarray, before: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Which tokens need the tables: in a state that may not be held, or listed there without being held."""
+        made = np.zeros(len(token), bool)
+        scarce = lookup(self.tokens, token) < 0
+        for context, (contexts, _, symbols, _), rest in zip((before, two), self.states, self.rest, strict=False):
+            if rest is not None:
+                made |= rest(context) & (lookup(contexts, context) < 0)
+            some = np.flatnonzero(scarce & ~made)
+            made[some] = lookup(symbols, pair(context[some], token[some])) >= 0
+        return made
+
 
 def _retained(listed: DataFrame, sizes: DataFrame) -> DataFrame:
     """Divergence test of contexts: rows (context, symbol, n, lower) with their context's size.
@@ -132,60 +158,60 @@ def _retained(listed: DataFrame, sizes: DataFrame) -> DataFrame:
         .agg(gain.alias("gain"), F.count("*").alias("symbols"), (size - F.sum("n") + DISCOUNT * F.count("*")).alias("left"))
         .where(F.col("gain") > 0.5 * F.log("size") * F.col("symbols"))
     )
-    return kept.select("context", "size", (F.col("left") / F.col("size")).alias("left"))
+    return kept.select("context", "size", "symbols", (F.col("left") / F.col("size")).alias("left"))
 
 
-def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT) -> tuple[Tree, DataFrame]:
+def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT, held: int = HELD) -> tuple[Tree, DataFrame]:
     """The tree of all texts of ``docs`` and the whole vocabulary ``(token, n)``."""
     spark = docs.sparkSession
     vocabulary = stored(_count(docs, lambda t, b, w: (t, t), "token long, n long"), "vocabulary")
     total, distinct, texts = vocabulary.agg(
         F.sum("n"), F.count("*"), F.sum(F.when(F.col("token") == F.lit(int(END.view(np.int64))), F.col("n")))
     ).first()
-    total, least = total or 0, max(min_count, int(np.ceil(p_min * (total or 0))))
-    frequent, counts = _arrays(vocabulary.where(F.col("n") >= least), "token", "n")
-    tree = Tree(total, distinct, frequent, counts)
+    total = total or 0
+    tree = Tree(total, distinct, *_arrays(vocabulary.where(F.col("n") >= max(min_count, int(np.ceil(p_min * total)))), "token", "n"))
     if not total:
         return tree, vocabulary
-    contexts = np.sort(np.append(frequent, START))
-    held = spark.sparkContext.broadcast((contexts, frequent))
+    often = Sieve.of(vocabulary.where(F.col("n") >= min_count), "token", BITS)
 
     def pairs(token, before, two):
-        contexts, frequent = held.value
-        keep = (lookup(contexts, before) >= 0) & (lookup(frequent, token) >= 0)
+        keep = ((before == START) | often.value(before)) & often.value(token)
         return pair(before[keep], token[keep]), before[keep], token[keep]
 
-    seconds = pinned(_count(docs, pairs, "context long, symbol long, n long").where(F.col("n") >= least))
+    seconds = stored(_count(docs, pairs, "context long, symbol long, n long").where(F.col("n") >= min_count), "pairs")
     sizes = vocabulary.select(F.col("token").alias("context"), F.col("n").alias("size")).union(
         spark.range(1).select(F.lit(int(START.view(np.int64))).alias("context"), F.lit(texts).alias("size"))
     )
     lower = vocabulary.select(
         F.col("token").alias("symbol"), ((F.col("n") + 1.0) / F.lit(float(total + distinct + 1))).alias("lower")
     )
-    _grow(tree, pinned(seconds.join(lower, "symbol")), sizes)
+    _grow(tree, stored(seconds.join(lower, "symbol"), "pairs-lower"), sizes, held)
 
     # A context of two tokens is named by the hash of the pair, as in token_stream.
-    named = pinned(seconds.mapInArrow(_pair_names, "context long, size long"))
-    bigrams = spark.sparkContext.broadcast(_arrays(named, "context")[0])
+    named = stored(seconds.mapInArrow(_pair_names, "context long, size long"), "pair-names")
+    bigrams = Sieve.of(named, "context", BITS)
 
     def triples(token, before, two):
-        keep = np.flatnonzero(lookup(bigrams.value, two) >= 0)
-        keep = keep[lookup(bigrams.value, pair(before[keep], token[keep])) >= 0]
+        keep = np.flatnonzero(bigrams.value(two))
+        keep = keep[bigrams.value(pair(before[keep], token[keep]))]
         return pair(two[keep], token[keep]), two[keep], before[keep], token[keep]
 
-    thirds = _count(docs, triples, "context long, middle long, symbol long, n long").where(F.col("n") >= least)
-    shorter = spark.sparkContext.broadcast(tree)
+    thirds = stored(
+        _count(docs, triples, "context long, before long, symbol long, n long").where(F.col("n") >= min_count), "triples"
+    )
+    _grow(tree, stored(_in_tables(thirds.join(lower, "symbol"), tree.tables), "triples-lower"), named, held)
+    return tree, vocabulary
 
-    def lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, middle, symbol = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "middle", "symbol"))
-            p, _ = shorter.value.probabilities(symbol, middle, np.zeros_like(symbol))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("context"), batch.column("symbol"), batch.column("n"), pa.array(p)], ["context", "symbol", "n", "lower"]
-            )
 
-    _grow(tree, pinned(thirds.mapInArrow(lowered, "context long, symbol long, n long, lower double")), named)
-    return tree, vocabulary
+def _in_tables(made: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Rows (symbol, before, two, lower) with ``lower`` brought from the unigram to the longest state, by joins."""
+    for context, (states, symbols) in zip(("before", "two"), tables, strict=False):
+        state = states.select(F.col("context").alias(context), "left")
+        listed = symbols.select(F.col("context").alias(context), "symbol", "mass")
+        made = made.join(state, context, "left").join(listed, [context, "symbol"], "left")
+        p = F.when(F.col("left").isNull(), F.col("lower")).otherwise(F.coalesce("mass", F.lit(0.0)) + F.col("left") * F.col("lower"))
+        made = made.withColumn("lower", p).drop("left", "mass")
+    return made
 
 
 def _pair_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,16 +220,33 @@ def _pair_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch.column("n")], ["context", "size"])
 
 
-def _grow(tree: Tree, listed: DataFrame, sizes: DataFrame) -> None:
+def _grow(tree: Tree, listed: DataFrame, sizes: DataFrame, held: int) -> None:
     """Test the contexts of one order and add its states with their listed symbols."""
-    kept = pinned(_retained(listed, sizes))
-    contexts, left = _arrays(kept, "context", "left")
-    rows = listed.join(kept, "context").select(
-        "context", "symbol", ((F.col("n") - DISCOUNT) / F.col("size")).alias("mass")
+    kept = stored(_retained(listed, sizes), "states")
+    rows = stored(
+        listed.join(kept.select("context", "size"), "context").select("context", "symbol", "size", ((F.col("n") - DISCOUNT) / F.col("size")).alias("mass")),
+        "symbols",
     )
-    frame = rows.toPandas()
+    tree.tables.append((kept.select("context", "left"), rows.select("context", "symbol", "mass")))
+    # The largest states are held, by powers of two of their size.
+    level = F.floor(F.log2("size")).alias("level")
+    least = room = 0
+    for r in sorted(kept.groupBy(level).agg(F.sum("symbols").alias("n")).collect(), reverse=True):
+        room += r.n
+        if room > held:
+            least = r.level + 1
+            break
+    large = F.floor(F.log2("size")) >= least
+    contexts, left = _arrays(kept.where(large), "context", "left")
+    frame = rows.where(large).select("context", "symbol", "mass").toPandas()
     hashes = [frame[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("context", "symbol")]
     tree.add(contexts, left, pair(*hashes), frame["mass"].to_numpy().astype(float))
+    tree.rest.append(Sieve.of(kept.where(~large), "context", BITS).value if least else None)
+
+
+def _lists(row: np.ndarray, texts: int, values: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=texts))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
 
 
 def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame, keep: list[str]) -> DataFrame:
@@ -211,7 +254,8 @@ def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame, keep: list[str]) -
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(tree)
     scale = float(np.log10(tree.total + tree.distinct + 1.0))
-    extra = "n_tokens long, n_frequent long, base double, model double, rare array<long>"
+    lists = ["rare", "plain", "symbol", "before", "two"]
+    extra = "n_tokens long, n_frequent long, base double, model double, " + ", ".join(f"{x} array<long>" for x in lists)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,45 +266,52 @@ def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame, keep: list[str]) -
                 texts = end - first
                 p, at = tree.probabilities(token, before, two)
                 frequent = at >= 0
-                log_p = np.log10(p)
                 base = np.where(frequent, np.log10(tree.unigram[at]) if len(tree.unigram) else 0.0, 0.0)
                 # What a rare token's join adds is log10(c + 1); its constant part is added here.
                 base -= scale * ~frequent
-                log_p -= scale * ~frequent
-                rare = np.flatnonzero(~frequent)
-                many = np.bincount(row[rare], minlength=texts)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(token[rare].view(np.int64))
-                )
+                later = tree.unsettled(token, before, two)
+                log_p = np.where(later, 0.0, np.log10(p) - scale * ~frequent)
+                rare, later_at = np.flatnonzero(~frequent), np.flatnonzero(later)
                 sums = [
                     pa.array(np.bincount(row, minlength=texts)),
                     pa.array(np.bincount(row[frequent], minlength=texts)),
                     pa.array(np.bincount(row, base, texts)),
                     pa.array(np.bincount(row, log_p, texts)),
-                    lists,
+                    *(_lists(row[rare], texts, x) for x in (token[rare], (~later[rare]).astype(np.uint64))),
+                    *(_lists(row[later_at], texts, x[later_at]) for x in (token, before, two)),
                 ]
                 own = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [*(own.column(c) for c in [*keep, "__row"]), *sums],
-                    [*keep, "__row", "n_tokens", "n_frequent", "base", "model", "rare"],
+                    [*keep, "__row", "n_tokens", "n_frequent", "base", "model", *lists],
                 )
 
     numbered = docs.select(*keep, F.monotonically_increasing_id().alias("__row"), "text")
     made = stored(numbered.mapInArrow(run, f"{fields}, `__row` long, {extra}"), "lm-scores")
-    seen = made.select("__row", F.explode("rare").alias("token")).groupBy("__row", "token").agg(F.count("*").alias("times"))
+    listed = made.select("__row", F.explode(F.arrays_zip("rare", "plain")).alias("x")).select("__row", F.col("x.rare").alias("token"), "x.plain")
+    seen = listed.groupBy("__row", "token").agg(F.count("*").alias("times"), F.sum("plain").alias("plain"))
+    add = F.log10(F.col("n") + 1.0)
     found = (
         seen.join(vocabulary, "token")
         .groupBy("__row")
-        .agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"))
+        .agg(F.sum("times").alias("known"), F.sum(F.col("times") * add).alias("more"), F.sum(F.col("plain") * add).alias("more_model"))
     )
-    more = F.coalesce("more", F.lit(0.0))
-    return made.join(found, "__row", "left").select(
+    out = made.join(found, "__row", "left")
+    model = F.col("model") + F.coalesce("more_model", F.lit(0.0))
+    if any(x is not None for x in tree.rest) or made.where(F.size("symbol") > 0).limit(1).count():
+        later = made.select("__row", F.explode(F.arrays_zip("symbol", "before", "two")).alias("x")).select("__row", "x.*")
+        unigram = vocabulary.select(F.col("token").alias("symbol"), ((F.col("n") + 1.0) * F.lit(10.0**-scale)).alias("seen"))
+        every = later.join(unigram, "symbol", "left").withColumn("lower", F.coalesce("seen", F.lit(10.0**-scale))).drop("seen")
+        settled = _in_tables(every, tree.tables).groupBy("__row").agg(F.sum(F.log10("lower")).alias("late"))
+        out = out.join(settled, "__row", "left")
+        model = model + F.coalesce("late", F.lit(0.0))
+    return out.select(
         *keep,
         "n_tokens",
         (F.col("n_frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(int(tree.total)).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("model") + more).alias("score"),
+        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        model.alias("score"),
     )
 
 

@@ -94,6 +94,21 @@ def test_base_scores_and_counts(spark):
     assert lm.score_all(df.where("false")).count() == 0
 
 
+def test_scores_do_not_depend_on_what_tasks_hold(spark):
+    """A share of all tokens only decides what tasks hold; rarer contexts and symbols count through the tables."""
+    df = spark.createDataFrame([(i, t) for i, t in texts() if i is not None], "doc_id long, text string")
+
+    def scores(**limits):
+        tree, vocabulary = lm.train(df.where("doc_id % 7 <> 2"), **limits)
+        found = sorted((r.doc_id, r.n_known, r.base_score, r.score) for r in lm.score(df, tree, vocabulary, ["doc_id"]).collect())
+        return pytest.approx(np.array(found, float), abs=1e-5)
+
+    whole = scores(p_min=0.0)
+    assert np.array(scores(p_min=0.01).expected) == whole
+    for held in (8, 0):
+        assert np.array(scores(p_min=0.2, held=held).expected) == whole
+
+
 def test_every_state_has_a_distribution(spark):
     df = spark.createDataFrame(texts(), "doc_id long, text string")
     tree, vocabulary = lm.train(df)
