@@ -91,9 +91,11 @@ def ascii_lower(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of distinct edges ``(u, v)`` is either a root or has one edge, to a root."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root"))
+    each = ends.union(edges.select("v", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    return (each.agg(F.max(F.col("up") + F.col("root"))).first()[0] or 0) <= 1
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -102,13 +104,12 @@ def components(edges: DataFrame) -> DataFrame:
     ``root`` is the smallest node reachable; nodes without an edge do not
     appear.  Alternating large-star and small-star rounds: each round is two
     grouped minima and two joins on the edge list, which never leaves the
-    executors; the driver only compares a row count and a hash sum.
+    executors; the driver only learns whether every edge leads to a root by now.
     """
     now = pinned(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     )
-    seen = _fingerprint(now)
-    while seen[0]:
+    while not _stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
@@ -116,11 +117,6 @@ def components(edges: DataFrame) -> DataFrame:
         )
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        then = pinned(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
-        stat = _fingerprint(then)
-        now = then
-        if stat == seen:
-            break
-        seen = stat
+        now = pinned(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

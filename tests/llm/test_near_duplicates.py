@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from incidentpanel.llm import embeddings, overlap, simhash
+from incidentpanel.llm import common, embeddings, overlap, simhash
 from incidentpanel.llm.common import components
 
 
@@ -45,6 +45,18 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_finished_components_take_no_round_and_further_links_join_roots(spark, monkeypatch):
+    made, pinned = [], common.pinned
+    monkeypatch.setattr(common, "pinned", lambda df: made.append(1) or pinned(df))
+    stars = components(spark.createDataFrame([(1, 5), (1, 7), (2, 6), (3, 8)], "a long, b long"))
+    assert len(made) == 1
+    known = pinned(stars)
+    assert overlap._joined(known, spark.createDataFrame([], "a long, b long")) is known
+    more = spark.createDataFrame([(6, 7), (8, 20), (21, 30), (5, 2)], "a long, b long")
+    found = dict(tuple(r) for r in overlap._joined(known, more).collect())
+    assert found == {1: 1, 5: 1, 7: 1, 2: 1, 6: 1, 3: 3, 8: 3, 20: 3, 21: 21, 30: 21}
+
+
 @pytest.mark.parametrize("codes", [simhash.COARSE, simhash.FINE])
 def test_anchors_lose_no_link(spark, codes):
     rng = random.Random(3)
