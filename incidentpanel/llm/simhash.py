@@ -188,12 +188,26 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
+def _candidates(marked: DataFrame) -> DataFrame:
+    """Pairs (a, b) of distinct sets ``node`` in one group of fingerprints, each with the set of the group's smallest id.
+
+    ``marked`` has ``doc_id``, ``node`` and ``fp``.  A group of n sets has n - 1 pairs.
+    """
+    sets = pinned(marked.groupBy("node", "fp").agg(F.min("doc_id").alias("least_id")))
+    member = pinned(sets.join(groups(sets, "least_id"), "fp"))
+    heads = member.where(F.col("least_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("node").alias("head"))
+    pairs = member.join(heads, "root").where("node <> head")
+    return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
     Near copies have sets of five-word shingles with a Jaccard similarity of 0.8 or more,
-    directly or by a chain; this is not the threshold of the fingerprints above, whose
-    anchors cannot carry the bits such copies differ in (see ``overlap``).
+    directly or by a chain.  Every text gets its fingerprint, and the groups of fingerprints
+    are found as in ``near_duplicates``; their members are candidates, confirmed by their whole
+    sets.  Anchors cannot carry the bits that copies of this similarity may differ in, so the
+    candidates of the set join are compared as well (see ``overlap``).
 
     Keeps every column.  Of rows repeated under that same id one stays; null and empty
     texts are one group; an empty table gives an empty table.  Rows are
@@ -203,14 +217,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     name, check = "__simhash_row", "__simhash_check"
     named = docs.withColumns({name: F.xxhash64("doc_id", "text"), check: F.hash("text", "doc_id")})
     with staging(docs.sparkSession):
-        slim = stored(overlap.marked(named, ["doc_id", name, check]).withColumn("row", F.monotonically_increasing_id()), "simhash-prefixes")
+        slim = stored(overlap.marked(named, ["doc_id", name, check], text_fingerprint).withColumn("row", F.monotonically_increasing_id()), "simhash-prefixes")
         picked = slim.groupBy("node").agg(
             F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.min(F.struct(name, check)).alias("pick"), F.min("row").alias("row")
         )
         nodes = pinned(picked)
         # One row of each set brings its prefix and its map.
         prefixes, maps = (join_sized(slim.select("row", "node", "size", c), nodes.select("row"), ["row"], "left_semi") for c in ("prefix", "bits"))
-        roots = overlap.linked(nodes, prefixes, maps, named, [name, check])
+        roots = overlap.linked(nodes, prefixes, maps, named, [name, check], _candidates(slim))
         rooted = nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
         found = rooted.drop("least_id").join(least, "root")

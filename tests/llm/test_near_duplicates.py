@@ -174,6 +174,36 @@ def test_a_group_of_loose_copies_makes_few_pairs(spark, monkeypatch):
     assert sum(made) < 5 * len(texts)
 
 
+def test_kept_documents_run_the_fingerprint_groups(spark, monkeypatch):
+    """All texts are grouped by their fingerprints; sets of one group are candidates, and whole sets decide."""
+    rng = random.Random(31)
+    texts = [None, "", "one two"]
+    for _ in range(12):
+        base = [f"w{rng.randrange(900)}" for _ in range(600)]
+        texts.append(" ".join(base))
+        for edits in (1, 2, 4, 30):
+            copy = list(base)
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = f"own{len(texts)}"
+            texts.append(" ".join(copy))
+        texts.append(" ".join(base + ["same"] * 400))
+        texts.append(" ".join(base[:100] + ["same"] * 90_000))
+    texts += texts[5:9]
+    rng.shuffle(texts)
+    sets, prints = [shingles(t) for t in texts], [brute_fingerprint(t) for t in texts]
+    every = [(a, b) for a in range(len(texts)) for b in range(a)]
+    grouped = roots(len(texts), [(a, b) for a, b in every if (prints[a] ^ prints[b]).bit_count() <= 2])
+    loose = [(a, b) for a, b in every if grouped[a] == grouped[b] and 5 * len(sets[a] & sets[b]) < 4 * len(sets[a] | sets[b])]
+    links = [(a, b) for a, b in every if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    seen, linked = [], overlap.linked
+    monkeypatch.setattr(overlap, "linked", lambda *x: seen.append([tuple(r) for r in x[5].collect()]) or linked(*x))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == sorted(set(roots(len(texts), links)))
+    # A group of n distinct sets has n - 1 candidates, some of them not similar enough.
+    want = sum(len({sets[i] for i in range(len(texts)) if grouped[i] == g}) - 1 for g in set(grouped))
+    assert len(seen[0]) == len(set(seen[0])) == want and want > 10 and loose
+
+
 def brute_vectors(rows, cosine):
     unit = []
     for _, v, _ in rows:
