@@ -12,24 +12,28 @@ unigram.  Each token is scored in its longest suffix state.
 Counting passes send tasks' own sums of token, pair and triple hashes to Spark, where
 they are added; a pair is only counted if its tokens may be frequent enough for it to
 count, a triple if its pairs may be (bit maps of a fixed size tell).  The tree is a
-table in the shared folder and grows with the corpus.  Tasks hold its largest states,
-as far as ``HELD`` listed symbols of each order go, and the tokens with a share of
-``P_MIN``; what these do not settle is looked up by joins, so no result depends on
-either.
+table in the shared folder and grows with the corpus.
+
+A score is a sum over independent lookups: the logarithm of a token's unigram, of what
+each state it is in leaves to shorter ones, and, where a state lists it, of the factor by
+which that raises it.  Tasks hold the largest states, as far as ``HELD`` listed symbols of
+each order go, and the most frequent tokens (a share of ``P_MIN``, or half of ``HELD``);
+all other lookups a text needs are keys of one join, so no result depends on either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentpanel.llm.common import bucket, pinned, stored
+from incidentpanel.llm.common import bucket, shuffles_removed, stored
 from incidentpanel.llm.sieve import Sieve
-from incidentpanel.llm.tokens import LOWER, SPACE, Tally, lookup, mix, pair, runs, span_hashes, text_blocks
+from incidentpanel.llm.tokens import LOWER, SPACE, Places, Tally, lookup, mix, pair, runs, span_hashes, text_blocks
 
 # How much of the tree tasks hold; no result depends on these two.
 P_MIN = 1e-6
@@ -40,6 +44,8 @@ DISCOUNT = 0.75
 
 END = mix(np.array([1], np.uint64))[0]
 START = mix(np.array([2], np.uint64))[0]
+# Tell keys of contexts and of listed symbols of both orders apart, and from tokens.
+TAGS = [(0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179), (0x3C6EF372FE94F82B, 0x510E527FADE682D1)]
 
 
 def token_stream(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,57 +95,83 @@ def _count(docs: DataFrame, find, schema: str) -> DataFrame:
 
 def _arrays(df: DataFrame, *columns: str) -> list[np.ndarray]:
     """Columns of a bounded table, sorted by the first as unsigned."""
-    frame = df.select(*columns).toPandas()
-    made = [frame[c].to_numpy() for c in columns]
+    table = df.select(*columns).toArrow()
+    order = np.argsort(table.column(columns[0]).to_numpy().astype(np.int64).view(np.uint64))
+    made = [table.column(c).to_numpy()[order] for c in columns]
     made[0] = made[0].astype(np.int64).view(np.uint64)
-    order = np.argsort(made[0])
-    return [x[order] for x in made]
+    del table
+    pa.default_memory_pool().release_unused()
+    return made
 
 
 class Tree:
     """Sorted arrays of what tasks hold: tokens with counts, and for each order its states and listed symbols.
 
-    ``tables`` has all states ``(context, left)`` and symbols ``(context, symbol, mass)`` of each order.
-    ``rest`` has for each order the contexts of states that are not held, as a bit map, if there are any.
+    All values are decimal logarithms: of the unigram, of what a state leaves, of the factor on a listed symbol.
+    ``tables`` has all states ``(context, left)`` and symbols ``(context, symbol, mass, key)`` of each order,
+    ``values`` the lookups ``(key, value)`` of states that are not held, ``rest`` their keys as a bit map, if any.
     """
 
-    def __init__(self, total: int, distinct: int, tokens: np.ndarray, counts: np.ndarray):
-        self.total, self.distinct = total, distinct
-        self.tokens, self.unigram = tokens, (counts + 1.0) / (total + distinct + 1.0)
+    def __init__(self, total: int, distinct: int, least: int, tokens: np.ndarray, counts: np.ndarray):
+        self.total, self.distinct, self.least = total, distinct, least
+        self.tokens, self.unigram = Places(tokens), np.log10((counts + 1.0) / (total + distinct + 1.0))
         self.states: list[tuple[np.ndarray, ...]] = []
-        self.rest: list[Sieve | None] = []
+        self.places: list[tuple[Places, Places]] = []
+        self.masses: list[list[np.ndarray]] = []
+        self.rest: Sieve | None = None
         self.tables: list[tuple[DataFrame, DataFrame]] = []
+        self.values: list[DataFrame] = []
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "tables": []}
-
-    def add(self, contexts: np.ndarray, left: np.ndarray, symbols: np.ndarray, mass: np.ndarray) -> None:
-        by, on = np.argsort(contexts), np.argsort(symbols)
-        self.states.append((contexts[by], left[by], symbols[on], mass[on]))
+        return {**self.__dict__, "tables": [], "values": [], "masses": []}
+
+    def add(self, contexts: np.ndarray, left: np.ndarray, symbols: np.ndarray, raised: np.ndarray) -> None:
+        self.states.append((contexts, left, symbols, raised))
+        self.places.append((Places(contexts), Places(symbols)))
+
+    def lookups(self, token: np.ndarray, before: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Sums of the lookups that are held, the place of each token, and (position, key) of all others.
+
+        A token that is not held is among the others, and has no unigram in its sum.
+        """
+        at = self.tokens(token)
+        made = np.where(at >= 0, self.unigram[at] if len(self.unigram) else 0.0, 0.0)
+        later = np.flatnonzero(at < 0)
+        others = [(later, token[later])]
+        for context, (_, left, _, raised), (states, symbols), tags in zip((before, two), self.states, self.places, TAGS, strict=False):
+            state = states(context)
+            inside = np.flatnonzero(state >= 0)
+            entry = symbols(pair(context[inside], token[inside]))
+            listed = np.where(entry >= 0, raised[entry] if len(raised) else 0.0, 0.0)
+            made[inside] += left[state[inside]] + listed
+            if self.rest is None:
+                continue
+            later = np.flatnonzero(state < 0)
+            for keys, tag in ((lambda x, c=context: c[x], tags[0]), (lambda x, c=context: pair(c[x], token[x]), tags[1])):
+                key = keys(later) ^ np.uint64(tag)
+                may = self.rest(key)
+                later = later[may]
+                others.append((later, key[may]))
+        return made, at, *(np.concatenate(x) for x in zip(*others, strict=True))
 
     def probabilities(self, token: np.ndarray, before: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each token in its longest state; a token that is not frequent gets the factor on its unigram."""
-        at = lookup(self.tokens, token)
-        p = np.where(at >= 0, self.unigram[at] if len(self.unigram) else 1.0, 1.0)
-        for context, (contexts, left, symbols, mass) in zip((before, two), self.states, strict=False):
-            state = lookup(contexts, context)
+        """Of each token in any two of the states that are held; a token that is not held gets the factor on its unigram.
+
+        The sums of ``lookups`` are the logarithms of these where ``before`` ends ``two``, as it does in a text;
+        the masses, which these do not need, are read from the tables at the first call.
+        """
+        if not self.masses:
+            self.masses = [_arrays(symbols, "key", "mass") for _, symbols in self.tables]
+        at = self.tokens(token)
+        p = np.where(at >= 0, 10.0 ** (self.unigram[at] if len(self.unigram) else 0.0), 1.0)
+        for context, (_, left, _, _), (states, _), (keys, mass) in zip((before, two), self.states, self.places, self.masses, strict=False):
+            state = states(context)
             inside = np.flatnonzero(state >= 0)
-            entry = lookup(symbols, pair(context[inside], token[inside]))
+            entry = lookup(keys, pair(context[inside], token[inside]))
             listed = np.where(entry >= 0, mass[entry] if len(mass) else 0.0, 0.0)
-            p[inside] = listed + left[state[inside]] * p[inside]
+            p[inside] = listed + 10.0 ** left[state[inside]] * p[inside]
         return p, at
 
-    def unsettled(self, token: np.ndarray, before: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Which tokens need the tables: in a state that may not be held, or listed there without being held."""
-        made = np.zeros(len(token), bool)
-        scarce = lookup(self.tokens, token) < 0
-        for context, (contexts, _, symbols, _), rest in zip((before, two), self.states, self.rest, strict=False):
-            if rest is not None:
-                made |= rest(context) & (lookup(contexts, context) < 0)
-            some = np.flatnonzero(scarce & ~made)
-            made[some] = lookup(symbols, pair(context[some], token[some])) >= 0
-        return made
-
 
 def _retained(listed: DataFrame, sizes: DataFrame) -> DataFrame:
     """Divergence test of contexts: rows (context, symbol, n, lower) with their context's size.
@@ -161,6 +193,16 @@ def _retained(listed: DataFrame, sizes: DataFrame) -> DataFrame:
     return kept.select("context", "size", "symbols", (F.col("left") / F.col("size")).alias("left"))
 
 
+def _least_level(counted: DataFrame, held: int) -> int:
+    """Of rows (level, n) the lowest level so that it and those above have at most ``held``; 0 if all have."""
+    room = 0
+    for r in sorted(counted.collect(), key=lambda r: -r.level):
+        room += r.n
+        if room > held:
+            return r.level + 1
+    return 0
+
+
 def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT, held: int = HELD) -> tuple[Tree, DataFrame]:
     """The tree of all texts of ``docs`` and the whole vocabulary ``(token, n)``."""
     spark = docs.sparkSession
@@ -169,7 +211,10 @@ def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT, hel
         F.sum("n"), F.count("*"), F.sum(F.when(F.col("token") == F.lit(int(END.view(np.int64))), F.col("n")))
     ).first()
     total = total or 0
-    tree = Tree(total, distinct, *_arrays(vocabulary.where(F.col("n") >= max(min_count, int(np.ceil(p_min * total)))), "token", "n"))
+    # Tokens are held by powers of two of their count.
+    level = _least_level(vocabulary.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("n")), held // 2)
+    least = min(max(min_count, int(np.ceil(p_min * total))), 1 << level)
+    tree = Tree(total, distinct, least, *_arrays(vocabulary.where(F.col("n") >= least), "token", "n"))
     if not total:
         return tree, vocabulary
     often = Sieve.of(vocabulary.where(F.col("n") >= min_count), "token", BITS)
@@ -199,49 +244,58 @@ def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT, hel
     thirds = stored(
         _count(docs, triples, "context long, before long, symbol long, n long").where(F.col("n") >= min_count), "triples"
     )
-    _grow(tree, stored(_in_tables(thirds.join(lower, "symbol"), tree.tables), "triples-lower"), named, held)
+    _grow(tree, stored(_in_states(thirds.join(lower, "symbol"), *tree.tables[0]), "triples-lower"), named, held)
+    if tree.values:
+        keys = [x.select("key") for x in tree.values]
+        tree.rest = Sieve.of(reduce(DataFrame.union, keys), "key", BITS).value
     return tree, vocabulary
 
 
-def _in_tables(made: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Rows (symbol, before, two, lower) with ``lower`` brought from the unigram to the longest state, by joins."""
-    for context, (states, symbols) in zip(("before", "two"), tables, strict=False):
-        state = states.select(F.col("context").alias(context), "left")
-        listed = symbols.select(F.col("context").alias(context), "symbol", "mass")
-        made = made.join(state, context, "left").join(listed, [context, "symbol"], "left")
-        p = F.when(F.col("left").isNull(), F.col("lower")).otherwise(F.coalesce("mass", F.lit(0.0)) + F.col("left") * F.col("lower"))
-        made = made.withColumn("lower", p).drop("left", "mass")
-    return made
+def _in_states(made: DataFrame, states: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Rows (symbol, before, lower) with ``lower`` brought from the unigram to the state of one token, by joins."""
+    state = states.select(F.col("context").alias("before"), "left")
+    listed = symbols.select(F.col("context").alias("before"), "symbol", "mass")
+    made = made.join(state, "before", "left").join(listed, ["before", "symbol"], "left")
+    p = F.when(F.col("left").isNull(), F.col("lower")).otherwise(F.coalesce("mass", F.lit(0.0)) + F.col("left") * F.col("lower"))
+    return made.withColumn("lower", p).drop("left", "mass")
+
+
+def _names(batch: pa.RecordBatch) -> pa.Array:
+    name = pair(*(batch.column(c).to_numpy().view(np.uint64) for c in ("context", "symbol")))
+    return pa.array(name.view(np.int64))
 
 
 def _pair_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        name = pair(*(batch.column(c).to_numpy().view(np.uint64) for c in ("context", "symbol")))
-        yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), batch.column("n")], ["context", "size"])
+        yield pa.RecordBatch.from_arrays([_names(batch), batch.column("n")], ["context", "size"])
+
+
+def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.append_column("key", _names(batch))
 
 
 def _grow(tree: Tree, listed: DataFrame, sizes: DataFrame, held: int) -> None:
     """Test the contexts of one order and add its states with their listed symbols."""
+    context_tag, symbol_tag = (int(np.uint64(x).view(np.int64)) for x in TAGS[len(tree.states)])
     kept = stored(_retained(listed, sizes), "states")
-    rows = stored(
-        listed.join(kept.select("context", "size"), "context").select("context", "symbol", "size", ((F.col("n") - DISCOUNT) / F.col("size")).alias("mass")),
-        "symbols",
-    )
-    tree.tables.append((kept.select("context", "left"), rows.select("context", "symbol", "mass")))
+    mass = (F.col("n") - DISCOUNT) / F.col("size")
+    raised = F.log10(1 + mass / (F.col("left") * F.col("lower")))
+    rows = listed.join(kept.select("context", "size", "left"), "context")
+    rows = rows.select("context", "symbol", "size", mass.alias("mass"), raised.alias("raised"))
+    rows = stored(rows.mapInArrow(_with_keys, "context long, symbol long, size long, mass double, raised double, key long"), "symbols")
+    tree.tables.append((kept.select("context", "left"), rows.select("context", "symbol", "mass", "key")))
     # The largest states are held, by powers of two of their size.
-    level = F.floor(F.log2("size")).alias("level")
-    least = room = 0
-    for r in sorted(kept.groupBy(level).agg(F.sum("symbols").alias("n")).collect(), reverse=True):
-        room += r.n
-        if room > held:
-            least = r.level + 1
-            break
-    large = F.floor(F.log2("size")) >= least
-    contexts, left = _arrays(kept.where(large), "context", "left")
-    frame = rows.where(large).select("context", "symbol", "mass").toPandas()
-    hashes = [frame[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("context", "symbol")]
-    tree.add(contexts, left, pair(*hashes), frame["mass"].to_numpy().astype(float))
-    tree.rest.append(Sieve.of(kept.where(~large), "context", BITS).value if least else None)
+    level = F.floor(F.log2("size"))
+    least = _least_level(kept.groupBy(level.alias("level")).agg(F.sum("symbols").alias("n")), held)
+    states = kept.select("context", F.log10("left").alias("left"), level.alias("level"))
+    symbols = rows.select("key", "raised", level.alias("level"))
+    large = F.col("level") >= least
+    tree.add(*_arrays(states.where(large), "context", "left"), *_arrays(symbols.where(large), "key", "raised"))
+    if least:
+        for df, key, tag, value in ((states, "context", context_tag, "left"), (symbols, "key", symbol_tag, "raised")):
+            small = df.where(F.col("level") < least)
+            tree.values.append(small.select(F.col(key).bitwiseXOR(F.lit(tag)).alias("key"), F.col(value).alias("value")))
 
 
 def _lists(row: np.ndarray, texts: int, values: np.ndarray) -> pa.ListArray:
@@ -251,11 +305,9 @@ def _lists(row: np.ndarray, texts: int, values: np.ndarray) -> pa.ListArray:
 
 def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` plus n_tokens, n_known, train_tokens, base_score and score, one row per row."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(tree)
+    held = docs.sparkSession.sparkContext.broadcast(tree)
     scale = float(np.log10(tree.total + tree.distinct + 1.0))
-    lists = ["rare", "plain", "symbol", "before", "two"]
-    extra = "n_tokens long, n_frequent long, base double, model double, " + ", ".join(f"{x} array<long>" for x in lists)
+    extra = "n_tokens long, n_held long, base double, model double, keys array<long>"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,54 +316,43 @@ def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame, keep: list[str]) -
             for first, end, offsets, data in text_blocks(batch, "text"):
                 token, row, before, two = token_stream(offsets, data)
                 texts = end - first
-                p, at = tree.probabilities(token, before, two)
-                frequent = at >= 0
-                base = np.where(frequent, np.log10(tree.unigram[at]) if len(tree.unigram) else 0.0, 0.0)
-                # What a rare token's join adds is log10(c + 1); its constant part is added here.
-                base -= scale * ~frequent
-                later = tree.unsettled(token, before, two)
-                log_p = np.where(later, 0.0, np.log10(p) - scale * ~frequent)
-                rare, later_at = np.flatnonzero(~frequent), np.flatnonzero(later)
+                log_p, at, position, key = tree.lookups(token, before, two)
+                known = at >= 0
+                base = np.where(known, tree.unigram[at] if len(tree.unigram) else 0.0, -scale)
+                # What the join adds for a token is log10(c + 1); its constant part is added here.
+                log_p -= scale * ~known
+                order = np.argsort(position, kind="stable")
                 sums = [
                     pa.array(np.bincount(row, minlength=texts)),
-                    pa.array(np.bincount(row[frequent], minlength=texts)),
+                    pa.array(np.bincount(row[known], minlength=texts)),
                     pa.array(np.bincount(row, base, texts)),
                     pa.array(np.bincount(row, log_p, texts)),
-                    *(_lists(row[rare], texts, x) for x in (token[rare], (~later[rare]).astype(np.uint64))),
-                    *(_lists(row[later_at], texts, x[later_at]) for x in (token, before, two)),
+                    _lists(row[position[order]], texts, key[order]),
                 ]
                 own = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [*(own.column(c) for c in [*keep, "__row"]), *sums],
-                    [*keep, "__row", "n_tokens", "n_frequent", "base", "model", *lists],
+                    [*keep, "__row", "n_tokens", "n_held", "base", "model", "keys"],
                 )
 
     numbered = docs.select(*keep, F.monotonically_increasing_id().alias("__row"), "text")
     made = stored(numbered.mapInArrow(run, f"{fields}, `__row` long, {extra}"), "lm-scores")
-    listed = made.select("__row", F.explode(F.arrays_zip("rare", "plain")).alias("x")).select("__row", F.col("x.rare").alias("token"), "x.plain")
-    seen = listed.groupBy("__row", "token").agg(F.count("*").alias("times"), F.sum("plain").alias("plain"))
-    add = F.log10(F.col("n") + 1.0)
+    words = vocabulary.where(F.col("n") < tree.least).select(F.col("token").alias("key"), F.log10(F.col("n") + 1.0).alias("value"), F.lit(1).alias("word"))
+    values = reduce(DataFrame.union, [words, *(x.withColumn("word", F.lit(0)) for x in tree.values)])
+    wanted = made.select("__row", F.explode("keys").alias("key"))
+    # Keys of the values are distinct and evenly spread, so what is wanted needs no sort.
     found = (
-        seen.join(vocabulary, "token")
+        wanted.join(values.hint("shuffle_hash"), "key")
         .groupBy("__row")
-        .agg(F.sum("times").alias("known"), F.sum(F.col("times") * add).alias("more"), F.sum(F.col("plain") * add).alias("more_model"))
+        .agg(F.sum("word").alias("known"), F.sum(F.col("value") * F.col("word")).alias("more"), F.sum("value").alias("more_model"))
     )
-    out = made.join(found, "__row", "left")
-    model = F.col("model") + F.coalesce("more_model", F.lit(0.0))
-    if any(x is not None for x in tree.rest) or made.where(F.size("symbol") > 0).limit(1).count():
-        later = made.select("__row", F.explode(F.arrays_zip("symbol", "before", "two")).alias("x")).select("__row", "x.*")
-        unigram = vocabulary.select(F.col("token").alias("symbol"), ((F.col("n") + 1.0) * F.lit(10.0**-scale)).alias("seen"))
-        every = later.join(unigram, "symbol", "left").withColumn("lower", F.coalesce("seen", F.lit(10.0**-scale))).drop("seen")
-        settled = _in_tables(every, tree.tables).groupBy("__row").agg(F.sum(F.log10("lower")).alias("late"))
-        out = out.join(settled, "__row", "left")
-        model = model + F.coalesce("late", F.lit(0.0))
-    return out.select(
+    return made.join(found, "__row", "left").select(
         *keep,
         "n_tokens",
-        (F.col("n_frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        (F.col("n_held") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(int(tree.total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        model.alias("score"),
+        (F.col("model") + F.coalesce("more_model", F.lit(0.0))).alias("score"),
     )
 
 
@@ -328,5 +369,7 @@ def score_all(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFram
     not read.
     """
     rows = docs.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "text")
-    tree, vocabulary = train(rows.where("not held_out"))
+    # Each step is stored, so what it shuffled is not needed any more.
+    with shuffles_removed(docs.sparkSession):
+        tree, vocabulary = train(rows.where("not held_out"))
     return score(rows, tree, vocabulary, ["doc_id", "held_out"])

@@ -139,3 +139,33 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = np.searchsorted(table, keys)
     at[at == len(table)] = 0
     return np.where(table[at] == keys, at, -1)
+
+
+class Places:
+    """Index of keys in a sorted table of 64-bit hashes, -1 if they are not there; their leading bits tell where to look."""
+
+    def __init__(self, table: np.ndarray):
+        self.table, self.starts = table, None
+
+    def __getstate__(self) -> dict:
+        return {"table": self.table, "starts": None}
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        made = np.full(len(keys), -1)
+        if not len(self.table):
+            return made
+        bits = max(1, int(len(self.table)).bit_length())
+        shift = np.uint64(64 - bits)
+        if self.starts is None:
+            many = np.bincount((self.table >> shift).astype(np.int64), minlength=1 << bits)
+            self.starts = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+        part = (keys >> shift).astype(np.int64)
+        at, end = self.starts[part], self.starts[part + 1]
+        left = np.flatnonzero(at < end)
+        at, end, keys = at[left], end[left], keys[left]
+        while len(left):
+            good = self.table[at] == keys
+            made[left[good]] = at[good]
+            more = np.flatnonzero(~good & (at + 1 < end))
+            left, at, end, keys = left[more], at[more] + 1, end[more], keys[more]
+        return made

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from incidentpanel.llm import langid, lm, quality
 from incidentpanel.llm.common import load
-from incidentpanel.llm.tokens import LOWER, SPACE, Tally, lookup, mix, pair, runs, span_hashes
+from incidentpanel.llm.tokens import LOWER, SPACE, Places, Tally, lookup, mix, pair, runs, span_hashes
 
 SF = "/root/testdata/sf0.01"
 shared = pytest.mark.skipif(not Path(SF).exists(), reason="shared tables are not here")
@@ -109,6 +109,70 @@ def test_scores_do_not_depend_on_what_tasks_hold(spark):
         assert np.array(scores(p_min=0.2, held=held).expected) == whole
 
 
+def plain_scores(rows, trained):
+    """A suffix tree in dicts: log10 probability of each text."""
+    lines = [[w or "</s>" for w in words_of(t)] for i, t in rows if trained(i)]
+    unigram = Counter(w for x in lines for w in x)
+    total = sum(unigram.values()) + len(unigram) + 1
+    two_before = Counter(), Counter()
+    for x in lines:
+        x = ["<s>", *x]
+        two_before[0].update(((x[k - 1],), x[k]) for k in range(1, len(x)))
+        two_before[1].update(((x[k - 2], x[k - 1]), x[k]) for k in range(2, len(x)))
+    seen = {**{(w,): n for w, n in unigram.items()}, ("<s>",): len(lines), **{(*c, w): n for (c, w), n in two_before[0].items()}}
+    states = {}
+
+    def p(context, w):
+        if not context:
+            return (unigram[w] + 1) / total
+        lower = p(context[1:], w)
+        if context not in states:
+            return lower
+        left, listed = states[context]
+        return listed.get(w, 0.0) + left * lower
+
+    for counted in two_before:
+        by = {}
+        for (context, w), n in counted.items():
+            if n >= lm.MIN_COUNT:
+                by.setdefault(context, {})[w] = n
+        for context, listed in by.items():
+            size, some = seen[context], sum(listed.values())
+            lower = {w: p(context[1:], w) for w in listed}
+            gain = sum(n * math.log(n / (size * lower[w])) for w, n in listed.items())
+            if size > some:
+                gain += (size - some) * math.log((size - some) / (size * max(1e-9, 1 - sum(lower.values()))))
+            if gain > 0.5 * math.log(size) * len(listed):
+                left = (size - some + lm.DISCOUNT * len(listed)) / size
+                states[context] = left, {w: (n - lm.DISCOUNT) / size for w, n in listed.items()}
+    out = []
+    for i, t in rows:
+        x = ["<s>", *(w or "</s>" for w in words_of(t))]
+        out.append((i, sum(math.log10(p(tuple(x[max(0, k - 2) : k]), x[k])) for k in range(1, len(x)))))
+    return sorted(out)
+
+
+def test_scores_equal_a_plain_tree_by_one_join_of_keys(spark):
+    rows = [(i, t) for i, t in texts() if i is not None]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = np.array(plain_scores(rows, lambda i: i % 7 != 2))
+    for limits in ({}, {"p_min": 0.2, "held": 8}, {"p_min": 0.2, "held": 0}):
+        tree, vocabulary = lm.train(df.where("doc_id % 7 <> 2"), **limits)
+        out = lm.score(df, tree, vocabulary, ["doc_id"])
+        found = np.array(sorted((r.doc_id, r.score) for r in out.collect()))
+        assert np.allclose(found, want, rtol=1e-9, atol=1e-6)
+        # Keys meet their values once, and rows their sums; whatever the order of the state.
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 2
+
+
+def test_places_find_what_a_search_finds():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 700, 5000):
+        table = np.unique(np.concatenate([mix(rng.integers(0, 1 << 40, size).astype(np.uint64)), np.arange(size // 9, dtype=np.uint64)]))
+        keys = np.concatenate([table, mix(rng.integers(0, 1 << 40, 300).astype(np.uint64)), np.array([0, (1 << 64) - 1], np.uint64)])
+        assert Places(table)(keys).tolist() == lookup(table, keys).tolist()
+
+
 def test_every_state_has_a_distribution(spark):
     df = spark.createDataFrame(texts(), "doc_id long, text string")
     tree, vocabulary = lm.train(df)
