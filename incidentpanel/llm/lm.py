@@ -16,8 +16,8 @@ table in the shared folder and grows with the corpus.
 
 A score is a sum over independent lookups: the logarithm of a token's unigram, of what
 each state it is in leaves to shorter ones, and, where a state lists it, of the factor by
-which that raises it.  Tasks hold the largest states, as far as ``HELD`` listed symbols of
-each order go, and the most frequent tokens (a share of ``P_MIN``, or half of ``HELD``);
+which that raises it.  Tasks hold the largest states, as far as ``HELD`` states and ``HELD``
+listed symbols of each order go, and the most frequent tokens (a share of ``P_MIN``, or half of ``HELD``);
 all other lookups a text needs are keys of one join, so no result depends on either.
 """
 
@@ -147,11 +147,14 @@ class Tree:
             if self.rest is None:
                 continue
             later = np.flatnonzero(state < 0)
-            for keys, tag in ((lambda x, c=context: c[x], tags[0]), (lambda x, c=context: pair(c[x], token[x]), tags[1])):
-                key = keys(later) ^ np.uint64(tag)
-                may = self.rest(key)
-                later = later[may]
-                others.append((later, key[may]))
+            key = context[later] ^ np.uint64(tags[0])
+            may = self.rest(key)
+            others.append((later[may], key[may]))
+            # Symbols that are not held belong to states that are not, or to small ones that are.
+            later = np.concatenate([inside[entry < 0], later[may]])
+            key = pair(context[later], token[later]) ^ np.uint64(tags[1])
+            may = self.rest(key)
+            others.append((later[may], key[may]))
         return made, at, *(np.concatenate(x) for x in zip(*others, strict=True))
 
     def probabilities(self, token: np.ndarray, before: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,13 +196,13 @@ def _retained(listed: DataFrame, sizes: DataFrame) -> DataFrame:
     return kept.select("context", "size", "symbols", (F.col("left") / F.col("size")).alias("left"))
 
 
-def _least_level(counted: DataFrame, held: int) -> int:
-    """Of rows (level, n) the lowest level so that it and those above have at most ``held``; 0 if all have."""
+def _least_level(counted: list[tuple[int, int]], held: int) -> int:
+    """Of (level, n) the lowest level so that it and those above have at most ``held``; 0 if all have."""
     room = 0
-    for r in sorted(counted.collect(), key=lambda r: -r.level):
-        room += r.n
+    for level, n in sorted(counted, reverse=True):
+        room += n
         if room > held:
-            return r.level + 1
+            return level + 1
     return 0
 
 
@@ -212,7 +215,7 @@ def train(docs: DataFrame, p_min: float = P_MIN, min_count: int = MIN_COUNT, hel
     ).first()
     total = total or 0
     # Tokens are held by powers of two of their count.
-    level = _least_level(vocabulary.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("n")), held // 2)
+    level = _least_level([tuple(r) for r in vocabulary.groupBy(F.floor(F.log2("n"))).count().collect()], held // 2)
     least = min(max(min_count, int(np.ceil(p_min * total))), 1 << level)
     tree = Tree(total, distinct, least, *_arrays(vocabulary.where(F.col("n") >= least), "token", "n"))
     if not total:
@@ -285,17 +288,19 @@ def _grow(tree: Tree, listed: DataFrame, sizes: DataFrame, held: int) -> None:
     rows = rows.select("context", "symbol", "size", mass.alias("mass"), raised.alias("raised"))
     rows = stored(rows.mapInArrow(_with_keys, "context long, symbol long, size long, mass double, raised double, key long"), "symbols")
     tree.tables.append((kept.select("context", "left"), rows.select("context", "symbol", "mass", "key")))
-    # The largest states are held, by powers of two of their size.
-    level = F.floor(F.log2("size"))
-    least = _least_level(kept.groupBy(level.alias("level")).agg(F.sum("symbols").alias("n")), held)
+    # The largest states are held, and of those the listed symbols; both by steps of an eighth of a power of two of their size.
+    level = F.floor(8 * F.log2("size"))
+    levels = kept.groupBy(level.alias("level")).agg(F.count("*").alias("states"), F.sum("symbols").alias("symbols")).collect()
+    least_state, least_symbol = (_least_level([(r.level, r[n]) for r in levels], held) for n in ("states", "symbols"))
     states = kept.select("context", F.log10("left").alias("left"), level.alias("level"))
     symbols = rows.select("key", "raised", level.alias("level"))
-    large = F.col("level") >= least
-    tree.add(*_arrays(states.where(large), "context", "left"), *_arrays(symbols.where(large), "key", "raised"))
-    if least:
-        for df, key, tag, value in ((states, "context", context_tag, "left"), (symbols, "key", symbol_tag, "raised")):
+    arrays: list[np.ndarray] = []
+    for df, key, tag, value, least in ((states, "context", context_tag, "left", least_state), (symbols, "key", symbol_tag, "raised", least_symbol)):
+        arrays += _arrays(df.where(F.col("level") >= least), key, value)
+        if least:
             small = df.where(F.col("level") < least)
             tree.values.append(small.select(F.col(key).bitwiseXOR(F.lit(tag)).alias("key"), F.col(value).alias("value")))
+    tree.add(*arrays)
 
 
 def _lists(row: np.ndarray, texts: int, values: np.ndarray) -> pa.ListArray:
